@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -77,6 +78,7 @@ if __name__ == "__main__":
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
+    os.environ.setdefault("PYSPARK_SUBMIT_ARGS", "--conf spark.ui.showConsoleProgress=false pyspark-shell")
     session = build_session(master="local[8]")
     session.conf.set("spark.sql.shuffle.partitions", "8")
     session.sparkContext.setLogLevel("ERROR")

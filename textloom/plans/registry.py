@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textloom.plans import corpus
+from textloom.plans import corpus, text
 
-GROUPS = [corpus]
+GROUPS = [corpus, text]
 
 
 def queries() -> dict:
