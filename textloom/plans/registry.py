@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textloom.plans import corpus, text
+from textloom.plans import corpus, runs, streams, text
 
-GROUPS = [corpus, text]
+GROUPS = [corpus, text, runs, streams]
 
 
 def queries() -> dict:

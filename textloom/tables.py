@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.functions.numbers import grad_accum
+from textloom.functions.records import classify_error
+from textloom.functions.times import log_stamp
+from textloom.sources.runs import stats_text
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,3 +26,91 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     path = F.concat(F.lit("/corpus/"), F.col("source"), F.lit("/doc_"), F.col("doc_id"), F.lit("."), F.col("lang"))
     return docs.select("doc_id", path.alias("path"), F.col("n_chars").alias("length"))
+
+
+def user_run() -> Column:
+    return F.concat(F.lit("run_"), F.col("user_id").cast("string"))
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events rendered as log lines ``(run, line_no, line)``, one run per user.
+
+    Views become device lines whose text stands on a second line without a time; the other types become
+    memory, trial, trial result, batch size, epoch, stage and dataset size lines.
+    """
+    value, size = F.col("value"), (F.col("event_id") % 64 + 1).cast("string")
+    text = value.cast("string")
+    device = F.concat(F.lit("GPU Memory Usage: GPU "), F.col("user_id") % 8, F.lit(": "), text, F.lit("MB/512.0MB (0.0%)"))
+    memory = F.concat(F.lit("RAM Usage: "), text, F.lit("GB/1082.0GB (0.0%)"))
+    trial = F.concat(F.lit("Trying batch size: "), size, F.lit(" with gradient accumulation steps: 1"))
+    misfit = F.when(value < 120, F.concat(F.lit("OOM error at batch size "), size)).otherwise(
+        F.concat(F.lit("Error at batch size "), size, F.lit(": "), F.col("props"))
+    )
+    progress = (
+        F.when(value < 40, F.concat(F.lit("Batch size "), size, F.lit(" works!")))
+        .when(value < 80, F.concat(F.lit("Maximum batch size found: "), size))
+        .when(value < 120, F.concat(F.lit("Epoch "), F.col("event_id") % 3 + 1, F.lit("/3")))
+        .when(value < 200, F.concat(F.lit("Step "), F.col("event_id") % 6 + 1, F.lit(": next stage...")))
+        .otherwise(F.concat(F.lit("Train dataset size: "), F.col("event_id"), F.lit(" samples")))
+    )
+    kind = F.col("event_type")
+    message = (
+        F.when(kind == "click", memory).when(kind == "purchase", trial).when(kind == "error", misfit).otherwise(progress)
+    )
+    head = F.concat(log_stamp(F.col("ts")), F.lit(" - INFO - "))
+    lines = F.when(kind == "view", F.array(head, device)).otherwise(F.array(F.concat(head, message)))
+    return (
+        load(spark, sf_dir, "events")
+        .select(user_run().alias("run"), "event_id", F.posexplode(lines).alias("_part", "line"))
+        .select("run", (F.col("event_id") * 2 + F.col("_part")).alias("line_no"), "line")
+    )
+
+
+def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics texts ``(run, body)``, one run per user."""
+    facts = (
+        load(spark, sf_dir, "events")
+        .groupBy("user_id")
+        .agg(
+            F.round(1 + F.avg("value"), 2).alias("perplexity"),
+            (F.count(F.lit(1)) * 60).alias("seconds"),
+            F.max("ts").alias("completed_at"),
+        )
+    )
+    batch = (F.col("user_id") % 32 + 1).cast("int")
+    args = F.create_map(
+        F.lit("seed"), F.lit("42"), F.lit("user"), F.col("user_id").cast("string"), F.lit("tags"), F.lit("a: b,c")
+    )
+    body = stats_text(
+        F.col("completed_at"), batch, grad_accum(batch), F.col("perplexity"), F.col("seconds"), args
+    )
+    return facts.select(user_run().alias("run"), body.alias("body"))
+
+
+def run_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(run, has_pid, has_stats, last_ts)`` per user, from its first and last value."""
+    return (
+        load(spark, sf_dir, "events")
+        .groupBy("user_id")
+        .agg(
+            (F.min_by("value", "event_id") > 10).alias("has_pid"),
+            (F.max_by("value", "event_id") > 30).alias("has_stats"),
+            F.max("ts").alias("last_ts"),
+        )
+        .select(user_run().alias("run"), "has_pid", "has_stats", "last_ts")
+    )
+
+
+def batch_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(run, seq, ts, batch_size, message, result)``: every event as a batch-size trial of its user."""
+    message = F.when(F.col("value") >= 120, "device lost").when(
+        F.col("value") >= 40, "CUDA out of memory. Tried to allocate"
+    )
+    return load(spark, sf_dir, "events").select(
+        F.col("user_id").alias("run"),
+        F.col("event_id").alias("seq"),
+        "ts",
+        (F.col("event_id") % 64 + 1).cast("int").alias("batch_size"),
+        message.alias("message"),
+        classify_error(message).alias("result"),
+    )
