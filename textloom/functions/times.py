@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 FILE_STAMP_FORMAT = "yyyyMMdd_HHmmss"
 RUN_STAMP_FORMAT = "yyyyMMdd-HHmmss"
-# Fixed value: a log line's leading time, with comma milliseconds.
-LOG_STAMP = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2},[0-9]{3}"
+# A log line is "yyyy-MM-dd HH:mm:ss,SSS - LEVEL - message".
+LOG_SEPARATOR = " - "
+LOG_STAMP_CHARS = 23
 
 
 def stamp(ts: Column, fmt: str = STAMP_FORMAT) -> Column:
@@ -24,8 +25,11 @@ def log_stamp(ts: Column) -> Column:
 
 def parse_log_stamp(line: Column) -> Column:
     """Time at the start of a log line, null when the line has none."""
-    text = F.regexp_extract(line, LOG_STAMP, 0)
-    return F.replace(text, F.lit(","), F.lit(".")).try_cast("timestamp_ntz")
+    shaped = (F.substring(line, 20, 1) == ",") & (
+        F.substring(line, LOG_STAMP_CHARS + 1, len(LOG_SEPARATOR)) == LOG_SEPARATOR
+    )
+    text = F.concat(F.substring(line, 1, 19), F.lit("."), F.substring(line, 21, 3))
+    return F.when(shaped, text.try_cast("timestamp_ntz"))
 
 
 def duration_text(seconds: Column) -> Column:

@@ -30,5 +30,5 @@ def chat_encode(turns: DataFrame, key: str = "conv_id", turns_per_segment: int =
         F.struct("turn", F.concat(begin, body).alias("text")).alias("_turn"),
     )
     return rendered.groupBy(key, "segment").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("_turn")), lambda t: t["text"]), "").alias("text")
+        F.array_join(F.sort_array(F.collect_list("_turn"))["text"], "").alias("text")
     )

@@ -69,8 +69,8 @@ def assemble_documents(pages: DataFrame, key: str = "doc_id", limit: int = PAGE_
     ``(key, page_no)`` identifies a page, so the limit bounds what is collected per document. Documents
     without any text stay, with an empty text.
     """
-    page = F.when(F.col("text") != "", F.struct("page_no", "text"))
-    ordered = F.transform(F.array_sort(F.collect_list(page)), lambda p: F.concat(p["text"], F.lit("\n\n")))
+    page = F.when(F.col("text") != "", F.struct("page_no", F.concat("text", F.lit("\n\n")).alias("text")))
+    ordered = F.sort_array(F.collect_list(page))["text"]
     return (
         page_limit(pages, limit)
         .groupBy(key)

@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.session import materialise
 from textloom.operators.tokens import BOUNDED_CHARS, FIRST_ID, tokenize, vocabulary
 
-# The context before the first token, and the class of tokens outside the vocabulary.
+# The context before the first token, and its place and that of unknown tokens in a sweep.
 START = "<s>"
-UNKNOWN = "<unk>"
-
-SALTS = 8
+START_PLACE = -1
+UNKNOWN_PLACE = 0
 
 
 def bigrams(documents: DataFrame, *keep: str, text_col: str = "text") -> DataFrame:
@@ -24,18 +24,22 @@ def bigrams(documents: DataFrame, *keep: str, text_col: str = "text") -> DataFra
     return pairs.select(*keep, "_p.context", "_p.token").filter("token is not null")
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str = "left"):
-    """Equi-join whose hot keys are cut into ``SALTS`` parts on the left; ``right`` is unique on the key."""
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+def bigram_counts(documents: DataFrame) -> DataFrame:
+    """``(context, token, n)``, stored once: a model is read several times, the texts only for this."""
+    counts = bigrams(documents).groupBy("context", "token").agg(F.count(F.lit(1)).alias("n"))
+    return materialise(counts, "bigrams")
+
+
+def with_context_counts(counts: DataFrame, contexts: DataFrame, how: str) -> DataFrame:
+    """Join on the context. Hot contexts have many tokens: a sort-merge join, whose hot partitions AQE splits."""
+    return counts.join(contexts.hint("merge"), "context", how)
 
 
 def ngram_lm(documents: DataFrame) -> DataFrame:
     """Bigram counts with the count of their context: ``(context, token, n, context_n)``."""
-    counts = bigrams(documents).groupBy("context", "token").agg(F.count(F.lit(1)).alias("n"))
+    counts = bigram_counts(documents)
     contexts = counts.groupBy("context").agg(F.sum("n").alias("context_n"))
-    return salted_join(counts, contexts, ["context"], ["token"], "inner").select("context", "token", "n", "context_n")
+    return with_context_counts(counts, contexts, "inner").select("context", "token", "n", "context_n")
 
 
 def log_probability(n: Column, context_n: Column, k: Column, classes: Column) -> Column:
@@ -47,20 +51,23 @@ def lm_perplexity(train: DataFrame, test: DataFrame, k: float, key: str = "doc_i
     """Perplexity of the test documents under bigram counts of the train documents.
 
     Rows ``(group, key, tokens, loss, perplexity)``: per document, per group (key null) and in total
-    (both null). The log probability is computed once per distinct test bigram and joined back, salted,
-    because frequent bigrams occur in most documents.
+    (both null). Each text is tokenised once. The log probability is computed once per distinct test
+    bigram and joined back; one side of each join is unique on its key, and AQE splits the partitions of
+    frequent bigrams, which occur in most documents.
     """
-    counts = bigrams(train).groupBy("context", "token").agg(F.count(F.lit(1)).alias("n"))
+    counts = bigram_counts(train)
     contexts = counts.groupBy("context").agg(F.sum("n").alias("context_n"))
     classes = counts.select("token").distinct().agg(F.count(F.lit(1)) + 1).scalar()
-    seen = bigrams(test, key, group).groupBy(key, group, "context", "token").agg(F.count(F.lit(1)).alias("m"))
+    seen = materialise(
+        bigrams(test, key, group).groupBy(key, group, "context", "token").agg(F.count(F.lit(1)).alias("m")), "seen"
+    )
     distinct = seen.select("context", "token").distinct()
-    known = distinct.join(counts, ["context", "token"], "left")
-    scored = salted_join(known, contexts, ["context"], ["token"]).select(
+    known = distinct.join(counts.hint("merge"), ["context", "token"], "left")
+    scored = with_context_counts(known, contexts, "left").select(
         "context", "token", log_probability(F.col("n"), F.col("context_n"), F.lit(k), classes).alias("_log_p")
     )
     documents = (
-        salted_join(seen, scored, ["context", "token"], [key], "inner")
+        seen.join(scored.hint("merge"), ["context", "token"])
         .groupBy(group, key)
         .agg(F.sum("m").alias("_m"), F.sum(F.col("m") * F.col("_log_p")).alias("_ll"))
     )
@@ -73,27 +80,40 @@ def lm_perplexity(train: DataFrame, test: DataFrame, k: float, key: str = "doc_i
 def sweep(
     documents: DataFrame, vocab_sizes: Sequence[int], ks: Sequence[float], text_col: str = "text"
 ) -> DataFrame:
-    """Every configuration (order 1 and 2, vocabulary size, k) on the same split, ranked by loss.
+    """Every configuration (order 1 and 2, vocabulary size, k) on the same split, with its loss.
 
     The corpus is counted once: one row per bigram with its train and test count. Configurations only
-    re-aggregate these counts. Tokens outside a vocabulary count as one class.
+    re-aggregate these counts, over token places instead of texts. Tokens outside a vocabulary are one class.
     """
-    pairs = bigrams(documents, "split", text_col=text_col).groupBy("context", "token").agg(
-        F.count_if(F.col("split") == "train").alias("n"), F.count_if(F.col("split") == "test").alias("m")
+    pairs = materialise(
+        bigrams(documents, "split", text_col=text_col)
+        .groupBy("context", "token")
+        .agg(F.count_if(F.col("split") == "train").alias("n"), F.count_if(F.col("split") == "test").alias("m")),
+        "pairs",
     )
     counts = pairs.groupBy("token").agg(F.sum("n").alias("n")).filter("n > 0")
     vocab = vocabulary(counts, max(vocab_sizes), BOUNDED_CHARS)
-    # at most max(vocab_sizes) short rows
-    ranks = F.broadcast(vocab.select("token", (F.col("id") - FIRST_ID + 1).alias("place")))
-    context_ranks = F.broadcast(ranks.select(F.col("token").alias("context"), F.col("place").alias("context_place")))
-    placed = pairs.join(ranks, "token", "left").join(context_ranks, "context", "left")
+    # at most max(vocab_sizes) short rows each
+    token_places = F.broadcast(vocab.select("token", (F.col("id") - FIRST_ID + 1).alias("token_place")))
+    context_places = F.broadcast(
+        vocab.select(F.col("token").alias("context"), (F.col("id") - FIRST_ID + 1).alias("context_place"))
+    )
+    start = F.when(F.col("context") == START, F.lit(START_PLACE))
+    placed = (
+        pairs.join(token_places, "token", "left")
+        .join(context_places, "context", "left")
+        .select("token_place", F.coalesce(start, "context_place").alias("context_place"), "n", "m")
+    )
     sized = placed.withColumn("vocab_size", F.explode(F.array(*[F.lit(v) for v in vocab_sizes])))
-    inside = F.when(F.col("place") <= F.col("vocab_size"), F.col("token")).otherwise(UNKNOWN)
-    context = F.when(
-        (F.col("context") == START) | (F.col("context_place") <= F.col("vocab_size")), F.col("context")
-    ).otherwise(UNKNOWN)
-    mapped = sized.groupBy("vocab_size", context.alias("context"), inside.alias("token")).agg(
-        F.sum("n").alias("n"), F.sum("m").alias("m")
+
+    def inside(place: str) -> Column:
+        return F.when(F.col(place) <= F.col("vocab_size"), F.col(place)).otherwise(UNKNOWN_PLACE)
+
+    mapped = materialise(
+        sized.groupBy("vocab_size", inside("context_place").alias("context"), inside("token_place").alias("token")).agg(
+            F.sum("n").alias("n"), F.sum("m").alias("m")
+        ),
+        "mapped",
     )
     tokens = mapped.groupBy("vocab_size", "token").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
     sizes = tokens.groupBy("vocab_size").agg(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.numbers import percent_floor
 from textloom.functions.records import single_quoted_metrics
-from textloom.functions.times import LOG_STAMP, parse_duration, parse_log_stamp
+from textloom.functions.times import LOG_SEPARATOR, LOG_STAMP_CHARS, parse_duration, parse_log_stamp
 from textloom.operators.ranking import running_extremes
 
 # How the messages of each event begin.
@@ -46,6 +46,7 @@ EVENT_PREFIXES = [
 NUMBER = "[0-9]+(?:\\.[0-9]+)?"
 GPU_SAMPLE = "GPU [0-9]+: [^,]*"
 EPOCH = "Epoch ([0-9]+)/([0-9]+)"
+INT_MAX = 2**31 - 1
 
 
 def seconds_between(start: Column, end: Column) -> Column:
@@ -65,10 +66,14 @@ def parse_log(lines: DataFrame, inherit: bool = True) -> DataFrame:
     level. ``line_no`` is unique in a run.
     """
     stamped = lines.withColumn("_ts", parse_log_stamp(F.col("line")))
-    head = LOG_STAMP + " - ([A-Z]+) - "
-    level = F.when(F.col("_ts").isNotNull(), F.regexp_extract("line", head, 1))
-    message = F.when(F.col("_ts").isNotNull(), F.regexp_replace("line", head, "")).otherwise(F.col("line"))
-    split = stamped.select("run", "line_no", F.col("_ts").alias("ts"), level.alias("level"), message.alias("message"))
+    rest = F.substring("line", LOG_STAMP_CHARS + len(LOG_SEPARATOR) + 1, INT_MAX)
+    level = F.when(F.col("_ts").isNotNull(), F.substring_index(rest, LOG_SEPARATOR, 1))
+    message = F.when(
+        F.col("_ts").isNotNull(), F.substr(rest, F.length("level") + len(LOG_SEPARATOR) + 1)
+    ).otherwise(F.col("line"))
+    split = stamped.withColumn("level", level).select(
+        "run", "line_no", F.col("_ts").alias("ts"), "level", message.alias("message")
+    )
     if inherit:
         record = F.when(F.col("ts").isNotNull(), F.struct("line_no", "ts", "level"))
         above = running_extremes(split, "run", "line_no", {"_above": ("max", record)}, inclusive=True)
@@ -92,12 +97,12 @@ def typed_messages(split: DataFrame) -> DataFrame:
         "_numbers",
         F.when(
             event.isNotNull() & ~event.isin("argument", "cache", "eval"),
-            F.transform(F.regexp_extract_all(message, F.lit(NUMBER), F.lit(0)), lambda n: n.try_cast("double")),
+            F.regexp_extract_all(message, F.lit(NUMBER), F.lit(0)),
         ),
     )
 
     def number(index: int, *events: str) -> Column:
-        return F.when(event.isin(*events), F.get("_numbers", F.lit(index)))
+        return F.when(event.isin(*events), F.get("_numbers", F.lit(index)).try_cast("double"))
 
     probes = ["safe_probe", "safe_result", "probe", "probe_result", "found"]
     batch = F.coalesce(number(0, *probes), F.when(message.startswith("Maximum batch size: "), number(0, "final")))

@@ -111,13 +111,13 @@ def encode(
     cut = chunks.select(*keys, F.slice(tokenize(F.col("text")), 1, max_length - 1).alias("_tokens"))
     exploded = cut.select(*keys, F.posexplode_outer("_tokens").alias("_pos", "token"))
     placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "id"))
-    ids = vocab_lookup(exploded, vocab, bounded).groupBy(*keys).agg(F.array_sort(F.collect_list(placed)).alias("_ids"))
+    ids = vocab_lookup(exploded, vocab, bounded).groupBy(*keys).agg(F.sort_array(F.collect_list(placed)).alias("_ids"))
     filled = F.size("_ids") + 1
     rest = F.lit(max_length) - filled
     return ids.select(
         *keys,
         F.concat(
-            F.array(F.lit(BOS)), F.transform("_ids", lambda p: p["id"]), F.array_repeat(F.lit(pad), rest)
+            F.array(F.lit(BOS)), F.col("_ids.id"), F.array_repeat(F.lit(pad), rest)
         ).alias("input_ids"),
         F.concat(F.array_repeat(F.lit(1), filled), F.array_repeat(F.lit(0), rest)).alias("attention_mask"),
         F.concat(

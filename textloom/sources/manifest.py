@@ -40,7 +40,7 @@ def manifest_parts(
 
     def names(side: str) -> Column:
         placed = F.collect_list(F.when(F.col("split") == side, F.struct("rank", F.col(name_col).alias("name"))))
-        return F.transform(F.array_sort(placed), lambda p: p["name"]).alias(f"{side}_files")
+        return F.sort_array(placed)["name"].alias(f"{side}_files")
 
     parts = ranked.groupBy("part").agg(names("train"), names("test")).withColumn("_sizes", sizes)
     fields = [

@@ -93,7 +93,7 @@ def parse_run_stats(bodies: DataFrame) -> DataFrame:
 
 
 def argument_lines(args: Column) -> Column:
-    entries = F.array_sort(F.map_entries(args))
+    entries = F.sort_array(F.map_entries(args))
     return F.array_join(
         F.transform(entries, lambda e: F.concat(F.lit("  "), e["key"], F.lit(": "), e["value"])), "\n"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions.numbers import grad_accum
 from textloom.functions.records import classify_error
 from textloom.functions.times import log_stamp
+from textloom.session import spread
 from textloom.sources.runs import stats_text
 
 
@@ -60,7 +61,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.concat(log_stamp(F.col("ts")), F.lit(" - INFO - "))
     lines = F.when(kind == "view", F.array(head, device)).otherwise(F.array(F.concat(head, message)))
     return (
-        load(spark, sf_dir, "events")
+        spread(load(spark, sf_dir, "events"), "event_id")
         .select(user_run().alias("run"), "event_id", F.posexplode(lines).alias("_part", "line"))
         .select("run", (F.col("event_id") * 2 + F.col("_part")).alias("line_no"), "line")
     )
