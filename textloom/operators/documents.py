@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 PAGE_LIMIT = 30
 MIN_CHARS = 500
 
+PAGES_PER_BATCH = 1000  # pages handed back at a time
+
 PAGE_SCHEMA = "doc_id {key_type}, page_no int, text string, error string"
 
 
@@ -28,23 +31,23 @@ def extract_pages(
     """
     key_type = df.schema[key].dataType.simpleString()
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc_id, data in zip(batch[key], batch[content]):
+    def pages_of(doc_id, data):
+        try:
+            for page_no, page in enumerate(islice(extractor(bytes(data)), page_limit)):
                 try:
-                    for page_no, page in enumerate(extractor(bytes(data))):
-                        if page_no >= page_limit:
-                            break
-                        try:
-                            rows.append((doc_id, page_no, page() if callable(page) else page, None))
-                        except Exception as problem:
-                            rows.append((doc_id, page_no, None, str(problem)))
+                    yield doc_id, page_no, page() if callable(page) else page, None
                 except Exception as problem:
-                    rows.append((doc_id, None, None, str(problem)))
-            out = pd.DataFrame(rows, columns=["doc_id", "page_no", "text", "error"])
-            out["page_no"] = out["page_no"].astype("Int32")
-            yield out
+                    yield doc_id, page_no, None, str(problem)
+        except Exception as problem:
+            yield doc_id, None, None, str(problem)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = chain.from_iterable(map(pages_of, batch[key], batch[content]))
+            while some := list(islice(rows, PAGES_PER_BATCH)):
+                out = pd.DataFrame(some, columns=["doc_id", "page_no", "text", "error"])
+                out["page_no"] = out["page_no"].astype("Int32")
+                yield out
 
     return df.select(key, content).mapInPandas(read, PAGE_SCHEMA.format(key_type=key_type))
 

@@ -9,7 +9,10 @@ from textloom.functions.text import base_name
 
 
 def discover(spark: SparkSession, folder: str, extension: str) -> DataFrame:
-    """Files of one extension directly in a folder, case-sensitive; file contents are not read."""
+    """Files of one extension directly in a folder, case-sensitive; file contents are not read.
+
+    Files of zero bytes hold no document and are not listed by Spark's file sources.
+    """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", f"*{extension}").load(folder)
     return listing.select("path", base_name(F.col("path")).alias("file_name"), "length", "modificationTime")
 

@@ -67,8 +67,7 @@ def match_logs(runs: DataFrame, logs: DataFrame) -> DataFrame:
 def read_run_stats(spark: SparkSession, root: str) -> DataFrame:
     """Statistics of every run directory that has them, parsed; the directory names the run."""
     bodies = (
-        spark.read.option("wholetext", True)
-        .text(f"{root}/*/{STATS_FILE}")
+        spark.read.text(f"{root}/*/{STATS_FILE}", wholetext=True)
         .select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("run"), F.col("value").alias("body"))
     )
     return parse_run_stats(bodies)
