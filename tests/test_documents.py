@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from textloom.operators import documents as docs
@@ -88,6 +89,13 @@ def test_rejects_name_the_reason(spark):
     assert {r.doc_id: r.reason for r in docs.rejects(frame, 5).collect()} == {2: "too short", 3: "error"}
 
 
+def test_counts_are_observed_in_passing(spark, folder):
+    seen = Observation()
+    frame = spark.createDataFrame([(1, "x" * 9), (2, "x")], "doc_id long, text string")
+    docs.min_chars(docs.observe_kept(frame, seen, 5), 5).write.parquet(os.path.join(folder, "kept"))
+    assert seen.get == {"found": 2, "kept": 1}
+
+
 def test_length_is_code_points(spark):
     frame = spark.createDataFrame([("é🙂a",)], "text string")
     assert docs.min_chars(frame, 3).count() == 1 and docs.min_chars(frame, 4).count() == 0

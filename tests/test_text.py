@@ -192,6 +192,17 @@ def test_scorer_sees_batches_in_order(spark):
     assert rows == {0: (42.0, 2), 1: (91.0, 1)}
 
 
+def test_scoring_in_place_covers_every_row(spark):
+    frame = spark.range(103).select(F.array(F.col("id"), F.col("id")).alias("input_ids")).repartition(5)
+
+    def scorer():
+        return lambda rows: sum(x for row in rows for x in row) / sum(len(row) for row in rows)
+
+    rows = batches.score_in_place(frame, scorer).collect()
+    assert sum(r.positions for r in rows) == 206 and max(r.positions for r in rows) == 8
+    assert sum(r.loss * r.positions for r in rows) == pytest.approx(2 * sum(range(103)))
+
+
 # --- count model --------------------------------------------------------------------------------
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from textloom.operators.ranking import global_rank
 
+EVAL_BATCH = 4  # fixed value: rows per batch in evaluation
+
 
 def epoch_batches(
     samples: DataFrame, keys: Sequence[str], epochs: int, batch_size: int, accumulation: int = 1, seed: int = 42
@@ -54,10 +56,37 @@ def largest_batch(frontier: DataFrame, low: int, high: int) -> DataFrame:
     )
 
 
+def score_in_place(
+    samples: DataFrame,
+    scorer: Callable[[], Callable[[list], float]],
+    batch_size: int = EVAL_BATCH,
+    value: str = "input_ids",
+) -> DataFrame:
+    """``(loss, positions)`` per batch of rows as the tasks read them; nothing is shuffled.
+
+    Perplexity weights a batch by its positions, so it does not depend on which rows share a batch as long
+    as the scorer returns the mean over positions.
+    """
+
+    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        loss_of = scorer()
+        for frame in frames:
+            values = [list(row) for row in frame[value]]
+            groups = [values[i : i + batch_size] for i in range(0, len(values), batch_size)]
+            yield pd.DataFrame(
+                {
+                    "loss": [float(loss_of(rows)) for rows in groups],
+                    "positions": [sum(len(row) for row in rows) for rows in groups],
+                }
+            )
+
+    return samples.select(value).mapInPandas(score, "loss double, positions bigint")
+
+
 def score_batches(
     batches: DataFrame, scorer: Callable[[], Callable[[list], float]], value: str = "input_ids", batch: str = "batch_id"
 ) -> DataFrame:
-    """``(batch_id, loss, positions)`` from a user scorer over the rows of each batch.
+    """``(batch_id, loss, positions)`` from a user scorer over the rows of each planned batch.
 
     ``scorer()`` runs once per task (load a model there); its result maps the batch's id lists to the mean
     loss. A batch is collected as one row, which the batch size bounds.

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from itertools import chain, islice
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 PAGE_LIMIT = 30
@@ -91,6 +91,12 @@ def min_chars(documents: DataFrame, minimum: int = MIN_CHARS, length_col: str |
     return documents.filter(long_enough(minimum, F.col(length_col) if length_col else None))
 
 
+def observe_kept(documents: DataFrame, observation: Observation, minimum: int = MIN_CHARS) -> DataFrame:
+    """Count found and kept documents while they pass; read ``observation.get`` after an action."""
+    kept = long_enough(minimum)
+    return documents.observe(observation, F.count(F.lit(1)).alias("found"), F.count_if(kept).alias("kept"))
+
+
 def rejects(documents: DataFrame, minimum: int = MIN_CHARS) -> DataFrame:
     """Documents that are not kept, with the reason."""
     reason = F.when(F.col("error").isNotNull(), "error").when(

@@ -10,6 +10,7 @@ from textloom.functions import text as tf
 from textloom.operators import batches, chat, model, tokens
 from textloom.operators import documents as docs
 from textloom.operators.chunks import first_chunks
+from textloom.operators.runs import perplexity
 from textloom.operators.split import train_test_split
 from textloom.plans.corpus import BASE_ALL, BASE_KEPT, CHUNKS_SQL, PARAGRAPH, SPLIT_SQL, all_chunks, documents
 from textloom.session import spread
@@ -317,6 +318,17 @@ def score_batches(spark, sf_dir):
     return scored_batches(spark, sf_dir).select("batch_id", F.round("loss", 6).alias("loss"), "positions")
 
 
+@query(
+    "evaluate_perplexity",
+    f"""WITH RECURSIVE {BASE_ALL}, {ENCODE_SQL},
+flat AS (SELECT unnest(input_ids) AS id FROM encoded)
+SELECT round(exp(avg(ln(1 + id))), 6) AS perplexity, count(*) AS weight FROM flat""",
+)
+def evaluate_perplexity(spark, sf_dir):
+    """Encode, score with a user function where the rows are, weight by positions."""
+    return perplexity(batches.score_in_place(encoded(spark, sf_dir), mean_log_id), weight="positions")
+
+
 # --- language model -----------------------------------------------------------------------------
 
 MODEL_SQL = rf"""
