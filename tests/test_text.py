@@ -106,12 +106,14 @@ def test_vocabulary_order_and_size(spark, vocab):
     assert tokens.vocabulary(vocab.select("token", "n"), max_size=50).count() == 4
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_encode(spark, vocab, bounded):
+@pytest.mark.parametrize("limit", [tokens.BOUNDED_SIZE, 1])
+def test_encode(spark, vocab, limit, monkeypatch):
+    """Within the limit by lookup in the tasks, beyond it by a join; the result is the same."""
+    monkeypatch.setattr(tokens, "BOUNDED_SIZE", limit)
     chunks = spark.createDataFrame(
         [(1, 0, "c x a"), (1, 1, ""), (2, 0, "a b c d a b"), (3, 0, "   ")], "doc_id long, chunk_no int, text string"
     )
-    rows = {(r.doc_id, r.chunk_no): r for r in tokens.encode(chunks, vocab, 5, bounded=bounded).collect()}
+    rows = {(r.doc_id, r.chunk_no): r for r in tokens.encode(chunks, vocab, 5).collect()}
     assert len(rows) == 4
     assert rows[1, 0].input_ids == [2, 4, 1, 5, 0]
     assert rows[1, 0].attention_mask == [1, 1, 1, 1, 0]

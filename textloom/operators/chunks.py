@@ -73,7 +73,8 @@ def first_chunks(
     """First ``n`` chunks in (document, chunk) order.
 
     A document with any non-empty paragraph yields at least one chunk, so the first ``n`` such documents hold
-    the answer and only those are cut.
+    the answer and only those are cut. They are found by key alone, so no text goes through the top-n merge.
     """
     yielding = documents.filter(F.replace(F.col("text"), F.lit(separator), F.lit("")) != "")
-    return first_n(chunk_paragraphs(first_n(yielding, [key], n), separator, limit), [key, "chunk_no"], n)
+    last = first_n(yielding.select(key), [key], n).agg(F.max(key)).scalar()
+    return first_n(chunk_paragraphs(yielding.filter(F.col(key) <= last), separator, limit), [key, "chunk_no"], n)

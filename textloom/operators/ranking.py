@@ -161,5 +161,5 @@ def sample_n(df: DataFrame, keys: Sequence[str], n: int = 256, seed=42) -> DataF
 
 
 def first_n(df: DataFrame, order: Sequence[str], n: int = 256) -> DataFrame:
-    """First ``n`` rows in order; fewer rows are no error."""
+    """First ``n`` rows in order; fewer rows are no error. Every task hands up to ``n`` rows to one merge."""
     return df.orderBy(*order).limit(n)

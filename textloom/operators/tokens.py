@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,25 +102,24 @@ def encode(
     max_length: int = MAX_LENGTH,
     keys: Sequence[str] = ("doc_id", "chunk_no"),
     pad_is_eos: bool = False,
-    bounded: bool = True,
 ) -> DataFrame:
     """Begin marker, ids cut to ``max_length``, padding, attention mask and special-token mask.
 
-    Lookup is a join on exploded tokens. All tokens of a chunk are in one task, so the regrouping combines
-    them before the shuffle and moves one row per chunk; a chunk has at most ``max_length`` of them.
+    A vocabulary within the bounded limits is handed to the tasks, which look whole Arrow batches up in it:
+    no token rows, no shuffle. A larger one is joined to the exploded tokens.
     """
+    keys = list(keys)
     pad = EOS if pad_is_eos else PAD
     cut = chunks.select(*keys, F.slice(tokenize(F.col("text")), 1, max_length - 1).alias("_tokens"))
-    exploded = cut.select(*keys, F.posexplode_outer("_tokens").alias("_pos", "token"))
-    placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "id"))
-    ids = vocab_lookup(exploded, vocab, bounded).groupBy(*keys).agg(F.sort_array(F.collect_list(placed)).alias("_ids"))
+    known = vocab.select("token", "id")
+    size = known.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(F.length("token")), F.lit(0)).alias("chars")).first()
+    bounded = size["rows"] <= BOUNDED_SIZE and size["chars"] <= BOUNDED_CHARS
+    ids = (_ids_in_tasks if bounded else _ids_by_join)(cut, known, keys)
     filled = F.size("_ids") + 1
     rest = F.lit(max_length) - filled
     return ids.select(
         *keys,
-        F.concat(
-            F.array(F.lit(BOS)), F.col("_ids.id"), F.array_repeat(F.lit(pad), rest)
-        ).alias("input_ids"),
+        F.concat(F.array(F.lit(BOS)), "_ids", F.array_repeat(F.lit(pad), rest)).alias("input_ids"),
         F.concat(F.array_repeat(F.lit(1), filled), F.array_repeat(F.lit(0), rest)).alias("attention_mask"),
         F.concat(
             F.array(F.lit(1)), F.array_repeat(F.lit(0), filled - 1), F.array_repeat(F.lit(1), rest)
@@ -126,6 +127,37 @@ def encode(
     )
 
 
+def _ids_in_tasks(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    table = known.toArrow()  # at most BOUNDED_SIZE rows
+    shared = cut.sparkSession.sparkContext.broadcast(
+        (table["token"].combine_chunks(), table["id"].combine_chunks())
+    )
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, ids = shared.value
+        for batch in batches:
+            lists = batch.column("_tokens")
+            flat = lists.flatten()
+            found = pc.fill_null(ids.take(pc.index_in(flat, value_set=tokens.cast(flat.type))), UNK)
+            offsets = pc.subtract(lists.offsets, lists.offsets[0])
+            columns = [batch.column(key) for key in keys]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, type(lists).from_arrays(offsets, found)], names=[*keys, "_ids"]
+            )
+
+    types = dict(cut.dtypes)
+    schema = ", ".join([f"`{key}` {types[key]}" for key in keys] + ["_ids array<int>"])
+    return cut.withColumn("_tokens", F.coalesce("_tokens", F.array())).mapInArrow(look_up, schema)
+
+
+def _ids_by_join(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    exploded = cut.select(*keys, F.posexplode_outer("_tokens").alias("_pos", "token"))
+    placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "id"))
+    found = vocab_lookup(exploded, known, bounded=False)
+    # a chunk has at most max_length tokens here
+    return found.groupBy(*keys).agg(F.sort_array(F.collect_list(placed)).alias("_ids")).withColumn("_ids", F.col("_ids.id"))
+
+
 def causal_labels(input_ids: Column, pad: int = PAD) -> Column:
     """Labels of next-token training: the ids, padding ignored."""
     return F.transform(input_ids, lambda x: F.when(x == pad, F.lit(IGNORED_LABEL)).otherwise(x))

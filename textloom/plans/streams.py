@@ -48,14 +48,19 @@ HAVING window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(t
 def stream_usage(spark, sf_dir):
     """Closed windows only: those the watermark has passed."""
     out = work_path(spark, "usage")
-    samples = table_stream(streams.state_session(spark), sf_dir, "events").select(
+    session = streams.state_session(spark)
+    session.conf.set("spark.sql.session.timeZone", "UTC")  # the table's times have no zone
+    samples = table_stream(session, sf_dir, "events").select(
         F.col("ts").cast("timestamp").alias("ts"), (F.col("user_id") % 8).cast("int").alias("device"), F.col("value").alias("used")
     )
-    running = streams.stream_usage(samples, f"{out}/data", f"{out}/checkpoint")
+    usage = streams.windowed_usage(samples, "1 hour", "10 minutes", "device").withColumns(
+        {name: F.col(name).cast("timestamp_ntz") for name in ("window_start", "window_end")}
+    )
+    running = streams.run_available(usage, f"{out}/data", f"{out}/checkpoint")
     stored = streams.finish(running, lambda: spark.read.parquet(f"{out}/data"))
     return stored.select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "window_start",
+        "window_end",
         "device",
         "samples",
         "peak_used",
