@@ -221,3 +221,10 @@ def test_bigram_perplexity_by_hand(spark):
         assert row.tokens == 3 and row.loss == pytest.approx(loss, abs=1e-6)
     counts = {(r.context, r.token): (r.n, r.context_n) for r in model.ngram_lm(train).collect()}
     assert counts["a", "b"] == (2, 3) and counts["<s>", "a"] == (2, 2)
+
+
+def test_functions_travel_by_value():
+    """Workers of a job started elsewhere cannot import the package."""
+    from pyspark import cloudpickle
+
+    assert "textloom" in cloudpickle.list_registry_pickle_by_value()
