@@ -25,21 +25,20 @@ def bigrams(documents: DataFrame, *keep: str, text_col: str = "text") -> DataFra
 
 
 def bigram_counts(documents: DataFrame) -> DataFrame:
-    """``(context, token, n)``, stored once: a model is read several times, the texts only for this."""
+    """``(context, token, n)``, stored once: a model is read several times, the texts only for this.
+
+    Joins on stored counts are planned from their real size. Hot contexts have many tokens; in a sort-merge
+    join AQE splits their partitions.
+    """
     counts = bigrams(documents).groupBy("context", "token").agg(F.count(F.lit(1)).alias("n"))
     return materialise(counts, "bigrams")
 
 
-def with_context_counts(counts: DataFrame, contexts: DataFrame, how: str) -> DataFrame:
-    """Join on the context. Hot contexts have many tokens: a sort-merge join, whose hot partitions AQE splits."""
-    return counts.join(contexts.hint("merge"), "context", how)
-
-
 def ngram_lm(documents: DataFrame) -> DataFrame:
     """Bigram counts with the count of their context: ``(context, token, n, context_n)``."""
     counts = bigram_counts(documents)
     contexts = counts.groupBy("context").agg(F.sum("n").alias("context_n"))
-    return with_context_counts(counts, contexts, "inner").select("context", "token", "n", "context_n")
+    return counts.join(contexts, "context").select("context", "token", "n", "context_n")
 
 
 def log_probability(n: Column, context_n: Column, k: Column, classes: Column) -> Column:
@@ -62,12 +61,12 @@ def lm_perplexity(train: DataFrame, test: DataFrame, k: float, key: str = "doc_i
         bigrams(test, key, group).groupBy(key, group, "context", "token").agg(F.count(F.lit(1)).alias("m")), "seen"
     )
     distinct = seen.select("context", "token").distinct()
-    known = distinct.join(counts.hint("merge"), ["context", "token"], "left")
-    scored = with_context_counts(known, contexts, "left").select(
+    known = distinct.join(counts, ["context", "token"], "left")
+    scored = known.join(contexts, "context", "left").select(
         "context", "token", log_probability(F.col("n"), F.col("context_n"), F.lit(k), classes).alias("_log_p")
     )
     documents = (
-        seen.join(scored.hint("merge"), ["context", "token"])
+        seen.join(scored, ["context", "token"])
         .groupBy(group, key)
         .agg(F.sum("m").alias("_m"), F.sum(F.col("m") * F.col("_log_p")).alias("_ll"))
     )
