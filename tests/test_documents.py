@@ -230,6 +230,8 @@ def test_packing_against_a_plain_model(spark):
     texts = ["".join(generator.choice("aab|") for _ in range(generator.randrange(60))) for _ in range(400)]
     texts += ["|".join(generator.choice(["", "a", "abcdefghijkl"]) for _ in range(12)) for _ in range(200)]
 
+    texts.append("|".join(generator.choice(["ab", "abcdefgh", ""]) for _ in range(9000)))  # thousands of chunks
+
     def direct(text):
         done, open_chunk = [], ""
         for piece in text.split("|"):

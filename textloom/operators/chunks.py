@@ -14,24 +14,38 @@ from textloom.operators.ranking import first_n
 from textloom.functions.text import paragraphs
 
 CHUNK_LIMIT = 2048
+RUN_STARTS = 512
 
 
 def chunk_starts(parts: Column, separator: str, limit: int) -> Column:
-    """1-based index of the paragraph each chunk starts with; a fold over lengths only."""
+    """1-based index of the paragraph each chunk starts with; a fold over lengths only.
+
+    Starts are gathered in runs of ``RUN_STARTS``, so appending one copies a run and not all starts of a
+    long document.
+    """
     state = F.struct(
-        F.array().cast("array<int>").alias("starts"), F.lit(0).alias("index"), F.lit(0).alias("filled")
+        F.array().cast("array<array<int>>").alias("runs"),
+        F.array().cast("array<int>").alias("open"),
+        F.lit(0).alias("index"),
+        F.lit(0).alias("filled"),
     )
 
     def step(acc, size):
         index = acc["index"] + 1
         fresh = (acc["filled"] == 0) | (acc["filled"] + size > limit)
+        full = fresh & (F.size(acc["open"]) >= RUN_STARTS)
         return F.struct(
-            F.when(fresh, F.array_append(acc["starts"], index)).otherwise(acc["starts"]).alias("starts"),
+            F.when(full, F.array_append(acc["runs"], acc["open"])).otherwise(acc["runs"]).alias("runs"),
+            F.when(full, F.array(index))
+            .when(fresh, F.array_append(acc["open"], index))
+            .otherwise(acc["open"])
+            .alias("open"),
             index.alias("index"),
             F.when(fresh, size).otherwise(acc["filled"] + len(separator) + size).alias("filled"),
         )
 
-    return F.aggregate(F.transform(parts, lambda p: F.length(p)), state, step, lambda acc: acc["starts"])
+    sizes = F.transform(parts, lambda p: F.length(p))
+    return F.aggregate(sizes, state, step, lambda acc: F.flatten(F.array_append(acc["runs"], acc["open"])))
 
 
 def chunk_paragraphs(

@@ -85,11 +85,11 @@ def bounded_vocabulary(counts: DataFrame) -> DataFrame:
     return vocabulary(counts, BOUNDED_SIZE, BOUNDED_CHARS)
 
 
-def vocab_lookup(tokens: DataFrame, vocab: DataFrame, bounded: bool = True) -> DataFrame:
+def vocab_lookup(tokens: DataFrame, vocab: DataFrame, bounded: bool = False) -> DataFrame:
     """Add ``id`` to rows with ``token``; unknown tokens get the reserved id.
 
-    Only a vocabulary within the bounded limits is broadcast. Otherwise the join is left to AQE, which
-    broadcasts by measured size and splits the partitions of frequent tokens.
+    ``bounded`` says that the vocabulary was made within the bounded limits and may be broadcast. Otherwise
+    the join is left to AQE, which broadcasts by measured size and splits the partitions of frequent tokens.
     """
     known = vocab.select("token", "id")
     joined = tokens.join(F.broadcast(known) if bounded else known, "token", "left")
@@ -153,7 +153,7 @@ def _ids_in_tasks(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFram
 def _ids_by_join(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     exploded = cut.select(*keys, F.posexplode_outer("_tokens").alias("_pos", "token"))
     placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "id"))
-    found = vocab_lookup(exploded, known, bounded=False)
+    found = vocab_lookup(exploded, known)
     # a chunk has at most max_length tokens here
     return found.groupBy(*keys).agg(F.sort_array(F.collect_list(placed)).alias("_ids")).withColumn("_ids", F.col("_ids.id"))
 

@@ -148,18 +148,19 @@ def vocab(spark, sf_dir):
 
 @query(
     "vocab_lookup",
-    f"""WITH {VOCAB_SQL}, top AS (SELECT token, id FROM vocab WHERE id < 1004),
+    f"""WITH {VOCAB_SQL}, top AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) + 3 AS id FROM counts WHERE length(token) <= 128
+        QUALIFY row_number() OVER (ORDER BY n DESC, token) <= 1000),
 words AS (SELECT conv_id, unnest(regexp_extract_all(text, {PATTERN_SQL})) AS token FROM conversations)
 SELECT conv_id, count(*) AS tokens, count(*) FILTER (id IS NULL) AS unknown, CAST(sum(coalesce(id, 1)) AS BIGINT) AS id_sum
 FROM words LEFT JOIN top USING (token) GROUP BY conv_id""",
 )
 def vocab_lookup(spark, sf_dir):
     """Conversation tokens against the 1,000 most frequent document tokens."""
-    known = tokens.vocabulary(corpus_counts(spark, sf_dir), 1000)
+    known = tokens.vocabulary(corpus_counts(spark, sf_dir), 1000, tokens.BOUNDED_CHARS)
     words = load(spark, sf_dir, "conversations").select(
         "conv_id", F.explode(tokens.tokenize(F.col("text"))).alias("token")
     )
-    found = tokens.vocab_lookup(words, known)
+    found = tokens.vocab_lookup(words, known, bounded=True)
     return found.groupBy("conv_id").agg(
         F.count(F.lit(1)).alias("tokens"),
         F.count_if(F.col("id") == tokens.UNK).alias("unknown"),
