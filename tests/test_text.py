@@ -49,9 +49,10 @@ def test_durations_and_names(spark):
 # --- ranking ------------------------------------------------------------------------------------
 
 
-def test_global_rank_equals_one_window(spark):
+@pytest.mark.parametrize("groups", [3, None])
+def test_global_rank_equals_one_window(spark, groups):
     frame = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).alias("epoch"))
-    ranked = ranking.global_rank(frame, ["doc_id"], within=["epoch"], groups=3)
+    ranked = ranking.global_rank(frame, ["doc_id"], within=["epoch"], groups=groups)
     plain = Window.partitionBy("epoch").orderBy(ranking.shuffle_hash(42, "doc_id"), "doc_id")
     want = frame.withColumn("rank", F.row_number().over(plain))
     columns = ["doc_id", "epoch", "rank"]
@@ -223,6 +224,50 @@ def test_bigram_perplexity_by_hand(spark):
     assert counts["a", "b"] == (2, 3) and counts["<s>", "a"] == (2, 2)
 
 
+def test_sweep_by_hand(spark):
+    """A corpus in which one token is most of the text, against direct counting."""
+    rows = [(i, "train" if i % 4 else "test", "hot " * (5 + i % 3) + f"w{i % 5} z{i}") for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, split string, text string")
+    got = {(r.order, r.vocab_size, r.k): (r.tokens, r.loss) for r in model.sweep(frame, [3, 1000], [0.5]).collect()}
+
+    from collections import Counter
+
+    train, test = Counter(), Counter()
+    for _, split, line in rows:
+        words = line.split()
+        (train if split == "train" else test).update(zip(["<s>", *words], words))
+    counts = Counter()
+    for (_, token), n in train.items():
+        counts[token] += n
+    ranked = sorted(counts, key=lambda t: (-counts[t], t))
+    for size in (3, 1000):
+        inside = set(ranked[:size]) | {"<s>"}
+
+        def mapped(pairs):
+            out = Counter()
+            for (context, token), n in pairs.items():
+                out[context if context in inside else None, token if token in inside else None] += n
+            return out
+
+        n, m = mapped(train), mapped(test)
+        uni, context_n = Counter(), Counter()
+        for (context, token), value in n.items():
+            uni[token] += value
+            context_n[context] += value
+        classes, total = len(uni) + 1, sum(uni.values())
+        for order in (1, 2):
+            loss = -sum(
+                value
+                * math.log(
+                    (uni[token] + 0.5) / (total + 0.5 * classes)
+                    if order == 1
+                    else (n[context, token] + 0.5) / (context_n[context] + 0.5 * classes)
+                )
+                for (context, token), value in m.items()
+            ) / sum(m.values())
+            assert got[order, size, 0.5] == (sum(m.values()), pytest.approx(loss, abs=2e-6))
+
+
 def test_functions_travel_by_value():
     """Workers of a job started elsewhere cannot import the package."""
     from pyspark import cloudpickle
