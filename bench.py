@@ -12,9 +12,11 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = (
-    "corpus_slice chunk_paragraphs assemble_documents html_text write_manifest fingerprint global_rank "
+    "corpus_slice chunk_paragraphs chunk_stats assemble_documents html_text write_manifest read_manifest apply_manifest "
+    "fingerprint global_rank split_by_digest "
     "train_test_split split_disjoint sample_n epoch_batches vocab encode truncation_report batch_size_frontier "
-    "ngram_lm lm_perplexity sweep perplexity parse_log hardware_usage search_bounds trial_frontier tail_per_run "
+    "score_batches evaluate_perplexity "
+    "ngram_lm lm_perplexity sweep perplexity read_logs parse_log hardware_usage search_bounds trial_frontier tail_per_run "
     "compare_runs run_status stream_usage stream_status"
 ).split()
 
@@ -34,6 +36,7 @@ def main() -> None:
 
     spark = build_session("bench", f"local[{cpus}]")
     spark.conf.set("spark.sql.shuffle.partitions", cpus)
+    spark.conf.set("spark.textloom.inputPartitions", cpus)  # the tables are one row group each
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry.queries()
     seconds = {}

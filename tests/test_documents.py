@@ -103,9 +103,35 @@ def test_length_is_code_points(spark):
 
 def test_incremental_keeps_short_leftovers(spark):
     sources = spark.createDataFrame([(1, "x"), (2, "x"), (3, "x" * 9)], "doc_id long, text string")
-    done = spark.createDataFrame([(1,), (9,)], "doc_id long")
+    done = spark.createDataFrame([(1, "y"), (9, "z")], "doc_id long, text string")
     rows = docs.incremental_ingest(sources, done, 5).collect()
-    assert sorted((r.doc_id, r.origin) for r in rows) == [(1, "done"), (3, "new"), (9, "done")]
+    assert sorted((r.doc_id, r.text, r.origin) for r in rows) == [(1, "y", "done"), (3, "x" * 9, "new"), (9, "z", "done")]
+
+
+def test_new_documents_are_appended_once(spark, folder):
+    path = os.path.join(folder, "kept")
+    first = spark.createDataFrame([(1, "x" * 9), (2, "x")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in docs.append_new(first, path, 5).collect()) == [1]
+    more = first.unionByName(spark.createDataFrame([(3, "y" * 9)], first.schema))
+    for _ in range(2):
+        assert sorted((r.doc_id, r.text) for r in docs.append_new(more, path, 5).collect()) == [(1, "x" * 9), (3, "y" * 9)]
+
+
+def test_assembly_without_limit_and_of_whole_documents(spark):
+    pages = spark.createDataFrame(
+        [(1, i, f"p{i}", None) for i in range(40)] + [(2, 0, "a", None), (2, 1, None, "torn")], "doc_id long, page_no int, text string, error string"
+    )
+    whole = {r.doc_id: r.text.count("p") for r in docs.assemble_documents(pages, limit=None).collect()}
+    assert whole == {1: 40, 2: 0}
+    assert [r.doc_id for r in docs.assemble_documents(pages, whole_only=True).collect()] == [1]
+
+
+def test_unreadable_files_carry_an_error(spark, folder):
+    for name, body in (("a b%.txt", b"good\r\n"), ("bad.txt", b"\xff")):
+        with open(os.path.join(folder, name), "wb") as f:
+            f.write(body)
+    rows = {os.path.basename(r.path): (r.text, r.error) for r in files.read_texts(spark, folder).collect()}
+    assert rows == {"a b%.txt": ("good\n", None), "bad.txt": (None, "invalid UTF-8")}
 
 
 def test_split_sizes_and_stability(spark):
@@ -142,16 +168,15 @@ def test_counts(spark):
     assert tuple(corpus_counts(frame).first()) == (3, 2, 1, 1)
 
 
-def test_manifest_parts_and_round_trip(spark, folder):
+def test_manifest_round_trip(spark, folder):
     named = spark.range(25).select(F.col("id").alias("doc_id"), F.concat(F.lit("d"), "id", F.lit(".txt")).alias("file_name"))
-    parts = manifest.manifest_parts(named, names_per_part=10, created_at=F.lit("2024-01-01 00:00:00"))
-    assert parts.count() == 3
+    rows = manifest.manifest_rows(named, created_at=F.lit("2024-01-01 00:00:00"))
+    assert {(r.train_size, r.test_size, r.created_at) for r in rows.collect()} == {(22, 3, "2024-01-01 00:00:00")}
     path = os.path.join(folder, "m")
-    manifest.write_manifest(parts, path)
+    manifest.write_manifest(rows, path)
     members = manifest.read_manifest(spark, path)
-    assert members.count() == 25
     want = {r.file_name: r.split for r in train_test_split(named).collect()}
-    assert {r.file_name: r.split for r in members.collect()} == want
+    assert {r.file_name: r.split for r in members.collect()} == want and members.count() == 25
     assert apply_split(named, members, "file_name").count() == 25
     again = manifest.load_or_split(spark, named.limit(3), path)
     assert again.count() == 25  # the stored manifest wins

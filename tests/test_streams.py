@@ -36,14 +36,15 @@ def test_usage_drops_late_rows_and_keeps_open_windows(spark, folder):
 
     def run(source):
         stream = streams.file_stream(streams.state_session(spark), source, spark.createDataFrame([], EVENTS).schema)
-        return streams.finish(streams.stream_usage(stream, out, state), lambda: spark.read.parquet(out)).collect()
+        query = streams.stream_usage(stream, out, state)
+        return streams.finish(query, lambda: streams.current_usage(spark, out)).collect()
 
     first = [("r", 1, "2024-01-01 00:10:00", 0, 5.0), ("r", 2, "2024-01-01 00:20:00", 0, 7.0), ("r", 3, "2024-01-01 02:00:00", 0, 1.0)]
     got = run(put(spark, folder, first, schema, "a"))
-    assert [(r.samples, r.peak_used, r.mean_used) for r in got] == [(2, 7.0, 6.0)]
+    assert sorted((r.window_start.hour, r.samples, r.mean_used, r.closed) for r in got) == [(0, 2, 6.0, True), (2, 1, 1.0, False)]
     late = [("r", 4, "2024-01-01 00:30:00", 0, 99.0), ("r", 5, "2024-01-01 04:00:00", 0, 2.0)]
     got = run(put(spark, folder, late, schema, "b"))
-    assert sorted((r.window_start.hour, r.samples, r.peak_used) for r in got) == [(0, 2, 7.0), (2, 1, 1.0)]
+    assert sorted((r.window_start.hour, r.samples, r.peak_used, r.closed) for r in got) == [(0, 2, 7.0, True), (2, 1, 1.0, True), (4, 1, 2.0, False)]
 
 
 def test_status_stays_current(spark, folder):
@@ -60,3 +61,7 @@ def test_status_stays_current(spark, folder):
     assert sorted((r.run, r.events, r.used) for r in got) == [("a", 1, 5.0), ("b", 1, 6.0)]
     got = run(put(spark, folder, [("a", 7, "2024-01-01 00:00:00", 0, 9.0), ("a", 3, "2024-01-01 00:00:00", 0, 1.0)], schema, "b"))
     assert sorted((r.run, r.events, r.used) for r in got) == [("a", 3, 9.0), ("b", 1, 6.0)]
+    for i, name in enumerate("cde"):
+        got = run(put(spark, folder, [("a", 10 + i, "2024-01-01 00:00:00", 0, 1.0 * i)], schema, name))
+    assert sorted((r.run, r.events, r.used) for r in got) == [("a", 6, 2.0), ("b", 1, 6.0)]
+    assert len([d for d in os.listdir(out) if d.startswith("version=")]) == 2

@@ -49,10 +49,9 @@ def test_durations_and_names(spark):
 # --- ranking ------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("groups", [3, None])
-def test_global_rank_equals_one_window(spark, groups):
+def test_global_rank_equals_one_window(spark):
     frame = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).alias("epoch"))
-    ranked = ranking.global_rank(frame, ["doc_id"], within=["epoch"], groups=groups)
+    ranked = ranking.global_rank(frame, ["doc_id"], within=["epoch"])
     plain = Window.partitionBy("epoch").orderBy(ranking.shuffle_hash(42, "doc_id"), "doc_id")
     want = frame.withColumn("rank", F.row_number().over(plain))
     columns = ["doc_id", "epoch", "rank"]
@@ -107,10 +106,10 @@ def test_vocabulary_order_and_size(spark, vocab):
     assert tokens.vocabulary(vocab.select("token", "n"), max_size=50).count() == 4
 
 
-@pytest.mark.parametrize("limit", [tokens.BOUNDED_SIZE, 1])
-def test_encode(spark, vocab, limit, monkeypatch):
-    """Within the limit by lookup in the tasks, beyond it by a join; the result is the same."""
-    monkeypatch.setattr(tokens, "BOUNDED_SIZE", limit)
+@pytest.mark.parametrize("head", [tokens.HEAD_TOKENS, 1, 0])
+def test_encode(spark, vocab, head, monkeypatch):
+    """Where the head ends, and the join begins, changes nothing."""
+    monkeypatch.setattr(tokens, "HEAD_TOKENS", head)
     chunks = spark.createDataFrame(
         [(1, 0, "c x a"), (1, 1, ""), (2, 0, "a b c d a b"), (3, 0, "   ")], "doc_id long, chunk_no int, text string"
     )
@@ -140,12 +139,11 @@ def test_truncation_report(spark):
     assert tuple(tokens.truncation_report(frame, max_length=6).first()) == (2, 1, 8, 5, round(2 / 12, 6))
 
 
-def test_chat_segments_concatenate(spark):
-    turns = spark.range(10).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.concat(F.lit(" \n"), "id", F.lit("\t")).alias("text"))
-    whole = chat.chat_encode(turns).first().text
-    parts = chat.chat_encode(turns, turns_per_segment=3).orderBy("segment").collect()
-    assert len(parts) == 4 and "".join(p.text for p in parts) == whole
-    assert whole.startswith("<|begin_of_text|><|start_header_id|>user<|end_header_id|>\n\n0<|eot_id|><|start_header_id|>")
+def test_chat_is_one_row_per_conversation(spark):
+    turns = spark.range(3000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.concat(F.lit(" \n"), "id", F.lit("\t")).alias("text"))
+    rows = chat.chat_encode(turns).collect()
+    assert len(rows) == 1 and rows[0].text.count("<|eot_id|>") == 3000
+    assert rows[0].text.startswith("<|begin_of_text|><|start_header_id|>user<|end_header_id|>\n\n0<|eot_id|><|start_header_id|>")
 
 
 # --- batches ------------------------------------------------------------------------------------
@@ -185,25 +183,33 @@ def test_no_size_fits(spark):
     assert tuple(best) == (None, None)
 
 
-def test_scorer_sees_batches_in_order(spark):
-    frame = spark.createDataFrame([(0, 1, [5]), (0, 0, [4]), (1, 0, [9])], "batch_id long, pos_in_batch int, input_ids array<int>")
+def scorer_of_masked_losses():
+    def masked_losses():  # made here, so that it travels by value
+        return lambda rows, labels: [float(sum(x for x in gold.tolist() if x != -100)) for gold in labels]
 
-    def scorer():
-        return lambda rows: float(rows[0][0] * 10 + len(rows))
+    return masked_losses
 
-    rows = {r.batch_id: (r.loss, r.positions) for r in batches.score_batches(frame, scorer).collect()}
-    assert rows == {0: (42.0, 2), 1: (91.0, 1)}
 
+def test_evaluation_does_not_depend_on_the_partitioning(spark):
+    """Labels are masked unevenly, so a mean per batch depends on which rows share it."""
+    rows = [(i, 0, [i] * 6, [-100] * (i % 6) + [i] * (6 - i % 6)) for i in range(103)]
+    frame = spark.createDataFrame(rows, "doc_id long, chunk_no int, input_ids array<int>, labels array<int>")
+    want, weight = 0.0, 0
+    for at in range(0, 103, 4):
+        part = rows[at : at + 4]
+        gold = [x for r in part for x in r[3] if x != -100]
+        want, weight = want + sum(gold) / len(gold) * 6 * len(part), weight + 6 * len(part)
+    for parts in (1, 3, 5):
+        scores = batches.score_rows(frame.repartition(parts), scorer_of_masked_losses())
+        found = batches.score_batches(scores, batches.evaluation_plan(scores)).collect()
+        assert sum(r.loss * r.positions for r in found) == pytest.approx(want) and sum(r.positions for r in found) == weight
 
-def test_scoring_in_place_covers_every_row(spark):
-    frame = spark.range(103).select(F.array(F.col("id"), F.col("id")).alias("input_ids")).repartition(5)
 
-    def scorer():
-        return lambda rows: sum(x for row in rows for x in row) / sum(len(row) for row in rows)
-
-    rows = batches.score_in_place(frame, scorer).collect()
-    assert sum(r.positions for r in rows) == 206 and max(r.positions for r in rows) == 8
-    assert sum(r.loss * r.positions for r in rows) == pytest.approx(2 * sum(range(103)))
+def test_a_batch_without_labels_has_no_loss(spark):
+    frame = spark.createDataFrame([(1, 0, [5], [-100])], "doc_id long, chunk_no int, input_ids array<int>, labels array<int>")
+    scores = batches.score_rows(frame, scorer_of_masked_losses())
+    row = batches.score_batches(scores, batches.evaluation_plan(scores)).first()
+    assert (row.loss, row.positions) == (None, 1)
 
 
 # --- count model --------------------------------------------------------------------------------

@@ -21,7 +21,7 @@ def percent(used: Column, total: Column) -> Column:
 
 def percent_floor(used: Column, total: Column) -> Column:
     """Integer percent, rounded down, of integer amounts."""
-    return F.floor(used * 100 / total)
+    return F.call_function("div", used.cast("decimal(20,0)") * 100, total.cast("decimal(20,0)"))
 
 
 def gigabytes(size: Column) -> Column:

@@ -29,7 +29,7 @@ def kv_field(body: Column, key: str) -> Column:
 
 
 def kv_arguments(body: Column) -> Column:
-    """Map of the indented ``name: value`` lines below ``Arguments:``."""
+    """Map of the indented ``name: value`` lines below ``Arguments:``; of a repeated name the last line counts."""
     block = F.substring_index(body, "Arguments:\n", -1)
     lines = F.filter(F.split(block, "\n"), lambda line: line.startswith("  ") & line.contains(":"))
     pairs = F.transform(
@@ -39,7 +39,12 @@ def kv_arguments(body: Column) -> Column:
             F.trim(F.regexp_replace(line, "^[^:]*:", "")).alias("value"),
         ),
     )
-    return F.map_from_entries(pairs)
+
+    def repeated(pair: Column, i: Column) -> Column:
+        later = F.slice(pairs, i + 2, F.size(pairs))
+        return F.exists(later, lambda p: p["key"] == pair["key"])
+
+    return F.map_from_entries(F.filter(pairs, lambda pair, i: ~repeated(pair, i)))
 
 
 def single_quoted_metrics(text: Column) -> Column:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.operators.ranking import global_rank
+from textloom.operators.ranking import global_rank, sorted_rank
+from textloom.operators.tokens import IGNORED_LABEL
 
 EVAL_BATCH = 4  # fixed value: rows per batch in evaluation
 
@@ -19,7 +21,7 @@ def epoch_batches(
     """``(epoch, batch_id, pos_in_batch, step, *keys)``: every epoch is shuffled anew and cut into batches."""
     rows = samples.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
     seeded = F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"))
-    ranked = global_rank(rows, keys, seeded, within=["epoch"], groups=epochs)
+    ranked = global_rank(rows, keys, seeded, within=["epoch"])
     place = F.col("rank") - 1
     batch = F.floor(place / batch_size)
     return ranked.select(
@@ -31,15 +33,18 @@ def epoch_batches(
     )
 
 
-def batch_size_frontier(sample: DataFrame, order: Sequence[str], cost: str, low: int, high: int, budget: int) -> DataFrame:
-    """For every batch size the worst batch of the (small) sample, and whether it fits the budget.
+def batch_size_frontier(
+    samples: DataFrame, order: Sequence[str], cost: str, low: int, high: int, budget: int
+) -> DataFrame:
+    """For every batch size the worst batch of all samples in order, and whether it fits the budget.
 
-    Batch sizes are all tried in one query. Fitting is not monotone when cost depends on the data, so
+    Places come from a range-partitioned sort. Each range sums its own part of every batch before the shuffle, so
+    about one row per batch and size moves. Fitting is not monotone when cost depends on the data, so
     :func:`largest_batch` reports both the largest size that fits and the largest below which all fit.
     """
-    numbered = sample.select(F.col(cost).alias("_cost"), F.row_number().over(Window.orderBy(*order)).alias("_place"))
-    sized = numbered.withColumn("batch_size", F.explode(F.sequence(F.lit(low), F.lit(high))))
-    batch = F.floor((F.col("_place") - 1) / F.col("batch_size"))
+    placed = sorted_rank(samples.select(*order, F.col(cost).alias("_cost")), [F.col(c) for c in order], "_place")
+    sized = placed.select("_cost", "_place", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("batch_size"))
+    batch = F.floor(F.col("_place") / F.col("batch_size"))
     worst = sized.groupBy("batch_size", batch.alias("_batch")).agg(F.sum("_cost").alias("_total"))
     return worst.groupBy("batch_size").agg(
         F.max("_total").alias("worst_cost"), (F.max("_total") <= budget).alias("fits")
@@ -56,54 +61,50 @@ def largest_batch(frontier: DataFrame, low: int, high: int) -> DataFrame:
     )
 
 
-def score_in_place(
+def score_rows(
     samples: DataFrame,
-    scorer: Callable[[], Callable[[list], float]],
-    batch_size: int = EVAL_BATCH,
-    value: str = "input_ids",
+    scorer: Callable[[], Callable[[list[np.ndarray], list[np.ndarray]], Sequence[float]]],
+    keys: Sequence[str] = ("doc_id", "chunk_no"),
+    ids: str = "input_ids",
+    labels: str = "labels",
 ) -> DataFrame:
-    """``(loss, positions)`` per batch of rows as the tasks read them; nothing is shuffled.
+    """``(*keys, loss_sum, labelled, positions)`` of each row: narrow rows whatever the scorer reads.
 
-    Perplexity weights a batch by its positions, so it does not depend on which rows share a batch as long
-    as the scorer returns the mean over positions.
+    ``scorer()`` runs once per task (load a model there). Its result maps a list of id arrays and a list of label arrays
+    to the summed loss over the labelled positions of each row. Labels of ``IGNORED_LABEL`` are not counted.
     """
+    keys = list(keys)
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         loss_of = scorer()
         for frame in frames:
-            values = [list(row) for row in frame[value]]
-            groups = [values[i : i + batch_size] for i in range(0, len(values), batch_size)]
-            yield pd.DataFrame(
-                {
-                    "loss": [float(loss_of(rows)) for rows in groups],
-                    "positions": [sum(len(row) for row in rows) for rows in groups],
-                }
-            )
+            rows = [np.asarray(row) for row in frame[ids]]
+            gold = [np.asarray(row) for row in frame[labels]]
+            scored = frame[keys].copy()
+            scored["loss_sum"] = [float(x) for x in loss_of(rows, gold)] if rows else []
+            scored["labelled"] = [int((row != IGNORED_LABEL).sum()) for row in gold]
+            scored["positions"] = [len(row) for row in rows]
+            yield scored
 
-    return samples.select(value).mapInPandas(score, "loss double, positions bigint")
+    types = dict(samples.dtypes)
+    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["loss_sum double", "labelled bigint", "positions bigint"])
+    return samples.select(*keys, ids, labels).mapInPandas(score, schema)
 
 
-def score_batches(
-    batches: DataFrame, scorer: Callable[[], Callable[[list], float]], value: str = "input_ids", batch: str = "batch_id"
-) -> DataFrame:
-    """``(batch_id, loss, positions)`` from a user scorer over the rows of each planned batch.
+def score_batches(scores: DataFrame, plan: DataFrame, keys: Sequence[str] = ("doc_id", "chunk_no")) -> DataFrame:
+    """``(batch_id, loss, positions)``: mean loss over the labelled positions of each planned batch.
 
-    ``scorer()`` runs once per task (load a model there); its result maps the batch's id lists to the mean
-    loss. A batch is collected as one row, which the batch size bounds.
+    ``scores`` comes from :func:`score_rows`, ``plan`` has ``(*keys, batch_id)``. Which task scored a row has no part in the
+    result. A batch without labelled positions has a null loss.
     """
-    grouped = batches.groupBy(batch).agg(F.sort_array(F.collect_list(F.struct("pos_in_batch", value))).alias("_rows"))
-    packed = grouped.select(batch, F.transform("_rows", lambda r: r[value]).alias("_values"))
+    joined = scores.join(plan.select(*keys, "batch_id"), list(keys))
+    total = F.sum("labelled")
+    return joined.groupBy("batch_id").agg(
+        F.when(total > 0, F.sum("loss_sum") / total).alias("loss"), F.sum("positions").alias("positions")
+    )
 
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        loss_of = scorer()
-        for frame in frames:
-            values = [[list(row) for row in rows] for rows in frame["_values"]]
-            yield pd.DataFrame(
-                {
-                    "batch_id": frame[batch],
-                    "loss": [float(loss_of(rows)) for rows in values],
-                    "positions": [sum(len(row) for row in rows) for rows in values],
-                }
-            )
-
-    return packed.mapInPandas(score, "batch_id bigint, loss double, positions bigint")
+
+def evaluation_plan(rows: DataFrame, keys: Sequence[str] = ("doc_id", "chunk_no"), batch_size: int = EVAL_BATCH) -> DataFrame:
+    """``(*keys, batch_id)``: rows in the order of their keys, cut into batches."""
+    placed = sorted_rank(rows.select(*keys), [F.col(k) for k in keys], "_place")
+    return placed.select(*keys, F.floor(F.col("_place") / batch_size).alias("batch_id"))

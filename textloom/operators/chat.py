@@ -12,23 +12,11 @@ END_HEADER = "<|end_header_id|>"
 END_OF_TURN = "<|eot_id|>"
 BLANKS = " \t\n\r\f\x0b"
 
-TURNS_PER_SEGMENT = 1024
 
-
-def chat_encode(turns: DataFrame, key: str = "conv_id", turns_per_segment: int = TURNS_PER_SEGMENT) -> DataFrame:
-    """``(key, segment, text)`` of rows ``(key, turn, role, text)`` with turns numbered from 0.
-
-    A conversation is the concatenation of its segments. Segments bound what one task collects; a
-    conversation shorter than a segment is one row.
-    """
+def chat_encode(turns: DataFrame, key: str = "conv_id") -> DataFrame:
+    """``(key, text)`` of rows ``(key, turn, role, text)`` with turns numbered from 0, one row per conversation."""
     header = F.concat(F.lit(START_HEADER), F.col("role"), F.lit(END_HEADER + "\n\n"))
     body = F.concat(header, F.trim(F.col("text"), F.lit(BLANKS)), F.lit(END_OF_TURN))
     begin = F.when(F.col("turn") == 0, F.lit(BEGIN_OF_TEXT)).otherwise("")
-    rendered = turns.select(
-        key,
-        F.floor(F.col("turn") / turns_per_segment).alias("segment"),
-        F.struct("turn", F.concat(begin, body).alias("text")).alias("_turn"),
-    )
-    return rendered.groupBy(key, "segment").agg(
-        F.array_join(F.sort_array(F.collect_list("_turn"))["text"], "").alias("text")
-    )
+    rendered = turns.select(key, F.struct("turn", F.concat(begin, body).alias("text")).alias("_turn"))
+    return rendered.groupBy(key).agg(F.array_join(F.sort_array(F.collect_list("_turn"))["text"], "").alias("text"))

@@ -48,11 +48,8 @@ def chunk_starts(parts: Column, separator: str, limit: int) -> Column:
     return F.aggregate(sizes, state, step, lambda acc: F.flatten(F.array_append(acc["runs"], acc["open"])))
 
 
-def chunk_paragraphs(
-    df: DataFrame, separator: str = "\n\n", limit: int = CHUNK_LIMIT, text_col: str = "text"
-) -> DataFrame:
-    """One row per chunk: the other columns of ``df``, ``chunk_no`` from 0 and ``text``. Narrow, no shuffle."""
-    keep = [c for c in df.columns if c != text_col]
+def _pieces(df: DataFrame, keep: list[str], separator: str, limit: int, text_col: str) -> DataFrame:
+    """``keep`` columns and ``_pieces``, the chunks of each row."""
     cut = df.select(*keep, paragraphs(F.col(text_col), separator).alias("_parts")).withColumn(
         "_starts", chunk_starts(F.col("_parts"), separator, limit)
     )
@@ -61,15 +58,34 @@ def chunk_paragraphs(
         F.arrays_zip(F.col("_starts").alias("from"), ends.alias("upto")),
         lambda r: F.array_join(F.slice(F.col("_parts"), r["from"], r["upto"] - r["from"]), separator),
     )
-    return cut.select(*keep, F.posexplode(F.filter(pieces, lambda c: c != "")).alias("chunk_no", text_col))
+    return cut.select(*keep, F.filter(pieces, lambda c: c != "").alias("_pieces"))
 
 
-def chunk_stats(chunks: DataFrame, *by: str, key: str = "doc_id") -> DataFrame:
-    """Chunks, characters and chunks per document for each group."""
-    per_document = chunks.groupBy(*by, key).agg(
-        F.count(F.lit(1)).alias("_chunks"),
-        F.sum(F.length("text")).alias("_chars"),
-        F.max(F.length("text")).alias("_longest"),
+def chunk_paragraphs(
+    df: DataFrame, separator: str = "\n\n", limit: int = CHUNK_LIMIT, text_col: str = "text"
+) -> DataFrame:
+    """One row per chunk: the other columns of ``df``, ``chunk_no`` from 0 and ``text``. Narrow, no shuffle."""
+    keep = [c for c in df.columns if c != text_col]
+    return _pieces(df, keep, separator, limit, text_col).select(
+        *keep, F.posexplode("_pieces").alias("chunk_no", text_col)
+    )
+
+
+def chunk_stats(
+    documents: DataFrame, *by: str, separator: str = "\n\n", limit: int = CHUNK_LIMIT, text_col: str = "text"
+) -> DataFrame:
+    """Chunks, characters and chunks per document for each group of documents that yield any.
+
+    Chunks are counted inside the row of their document; only the sums per group are shuffled.
+    """
+    sizes = _pieces(documents, list(by), separator, limit, text_col).select(
+        *by, F.transform("_pieces", lambda c: F.length(c)).alias("_sizes")
+    )
+    per_document = sizes.filter(F.size("_sizes") > 0).select(
+        *by,
+        F.size("_sizes").cast("bigint").alias("_chunks"),
+        F.aggregate("_sizes", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("_chars"),
+        F.array_max("_sizes").alias("_longest"),
     )
     return per_document.groupBy(*by).agg(
         F.count(F.lit(1)).alias("documents"),

@@ -66,20 +66,24 @@ def nonempty_pages(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("text").isNotNull() & (F.col("text") != ""))
 
 
-def assemble_documents(pages: DataFrame, key: str = "doc_id", limit: int = PAGE_LIMIT) -> DataFrame:
-    """Page texts in page order, each followed by a blank line.
+def assemble_documents(
+    pages: DataFrame, key: str = "doc_id", limit: int | None = PAGE_LIMIT, whole_only: bool = False
+) -> DataFrame:
+    """Page texts in page order, each followed by a blank line; ``(key, page_no)`` identifies a page.
 
-    ``(key, page_no)`` identifies a page, so the limit bounds what is collected per document. Documents
-    without any text stay, with an empty text.
+    The limit bounds what is collected per document; None takes every page. Documents without any text stay, with
+    an empty text. With ``whole_only`` a document of which a page failed (``error``) is left out.
     """
+    taken = pages if limit is None else page_limit(pages, limit)
     page = F.when(F.col("text") != "", F.struct("page_no", F.concat("text", F.lit("\n\n")).alias("text")))
     ordered = F.sort_array(F.collect_list(page))["text"]
-    return (
-        page_limit(pages, limit)
-        .groupBy(key)
-        .agg(F.array_join(ordered, "").alias("text"))
-        .withColumn("n_chars", F.length("text").cast("bigint"))
-    )
+    texts = F.array_join(ordered, "").alias("text")
+    if whole_only:
+        failed = F.bool_or(F.col("error").isNotNull()).alias("_failed")
+        documents = taken.groupBy(key).agg(texts, failed).filter(~F.col("_failed")).drop("_failed")
+    else:
+        documents = taken.groupBy(key).agg(texts)
+    return documents.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def long_enough(minimum: int = MIN_CHARS, length: Column | None = None) -> Column:
@@ -118,13 +122,22 @@ def processed_union(done: DataFrame, written: DataFrame, key: str = "doc_id") ->
 def incremental_ingest(
     sources: DataFrame, done: DataFrame, minimum: int = MIN_CHARS, key: str = "doc_id", length_col: str | None = None
 ) -> DataFrame:
-    """Earlier outputs plus the newly kept documents, tagged in ``origin``.
+    """Earlier outputs plus the newly kept documents, tagged in ``origin``; both tables have the documents' columns.
 
     The length filter applies to new documents only; whatever was written before counts as processed.
     """
     fresh = min_chars(skip_done(sources, done, key), minimum, length_col)
-    return (
-        done.select(key)
-        .withColumn("origin", F.lit("done"))
-        .unionByName(fresh.select(key).withColumn("origin", F.lit("new")))
-    )
+    return done.withColumn("origin", F.lit("done")).unionByName(fresh.withColumn("origin", F.lit("new")))
+
+
+def append_new(sources: DataFrame, path: str, minimum: int = MIN_CHARS, key: str = "doc_id") -> DataFrame:
+    """Append the kept documents that a Parquet folder does not hold yet, and return the folder's documents.
+
+    Running it again after a success appends nothing. Only keys of the stored documents are read for the join.
+    """
+    spark = sources.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    exists = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    fresh = skip_done(sources, spark.read.parquet(path), key) if exists else sources
+    min_chars(fresh, minimum).write.mode("append").parquet(path)
+    return spark.read.schema(sources.schema).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.session import materialise
-from textloom.operators.tokens import BOUNDED_CHARS, BOUNDED_SIZE, FIRST_ID, tokenize, vocabulary
+from textloom.operators.tokens import FIRST_ID, tokenize, vocabulary
 
 # The context before the first token, and its place and that of unknown tokens in a sweep.
 START = "<s>"
@@ -76,11 +76,6 @@ def lm_perplexity(train: DataFrame, test: DataFrame, k: float, key: str = "doc_i
     )
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table of at most ``rows`` short rows when that is within the bounded limit."""
-    return F.broadcast(df) if rows <= BOUNDED_SIZE else df
-
-
 def sweep(
     documents: DataFrame, vocab_sizes: Sequence[int], ks: Sequence[float], text_col: str = "text"
 ) -> DataFrame:
@@ -96,12 +91,10 @@ def sweep(
         "pairs",
     )
     counts = pairs.groupBy("token").agg(F.sum("n").alias("n")).filter("n > 0")
-    vocab = vocabulary(counts, max(vocab_sizes), BOUNDED_CHARS)
+    vocab = vocabulary(counts, max(vocab_sizes))
     place = F.col("id") - FIRST_ID + 1
-    token_places = small(vocab.select("token", place.alias("token_place")), max(vocab_sizes))
-    context_places = small(
-        vocab.select(F.col("token").alias("context"), place.alias("context_place")), max(vocab_sizes)
-    )
+    token_places = vocab.select("token", place.alias("token_place"))
+    context_places = vocab.select(F.col("token").alias("context"), place.alias("context_place"))
     start = F.when(F.col("context") == START, F.lit(START_PLACE))
     placed = (
         pairs.join(token_places, "token", "left")
@@ -126,7 +119,7 @@ def sweep(
     contexts = mapped.groupBy("vocab_size", "context").agg(F.sum("n").alias("context_n"))
     unigram = tokens.join(F.broadcast(sizes), "vocab_size").withColumn("order", F.lit(1))
     bigram = (
-        mapped.join(small(contexts, sum(v + 2 for v in vocab_sizes)), ["vocab_size", "context"])
+        mapped.join(contexts, ["vocab_size", "context"])
         .join(F.broadcast(sizes.select("vocab_size", "classes")), "vocab_size")  # one row per size
         .withColumn("order", F.lit(2))
     )

@@ -16,7 +16,6 @@ from textloom.session import materialise
 
 BUCKET_DIGITS = 4
 BLOCK_ROWS = 65_536
-BROADCAST_GROUPS = 16
 
 
 def shuffle_hash(seed: int | str | Column, *keys: str) -> Column:
@@ -68,11 +67,10 @@ def global_rank(
     seed=42,
     rank_col: str = "rank",
     within: Sequence[str] = (),
-    groups: int | None = None,
 ) -> DataFrame:
     """Add the 1-based exact rank in shuffle order; ``keys`` identify a row.
 
-    ``within`` restarts the rank per group; ``groups`` tells how many groups there are, where that is known.
+    ``within`` restarts the rank per group.
     Rows are sorted only inside their bucket; the rank is the bucket's offset plus the place inside it. Rank
     narrow key columns and join wide ones afterwards.
     """
@@ -81,7 +79,7 @@ def global_rank(
     sizes = hashed.groupBy(*within, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(*within).orderBy("_bucket")
     offsets = sizes.select(*within, "_bucket", (F.sum("_n").over(running) - F.col("_n")).alias("_before"))
-    if not within or (groups is not None and groups <= BROADCAST_GROUPS):  # at most 16 x 65,536 short rows
+    if not within:  # at most 65,536 short rows; with groups the join is on the partitioning of the rank itself
         offsets = F.broadcast(offsets)
     place = F.row_number().over(Window.partitionBy(*within, "_bucket").orderBy("_hash", *keys))
     return (

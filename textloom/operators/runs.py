@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions.numbers import percent_floor
 from textloom.functions.records import single_quoted_metrics
 from textloom.functions.times import LOG_SEPARATOR, LOG_STAMP_CHARS, parse_duration, parse_log_stamp
-from textloom.operators.ranking import running_extremes
+from textloom.operators.ranking import running_extremes, sorted_rank
 
 # How the messages of each event begin.
 EVENT_PREFIXES = [
@@ -43,6 +43,14 @@ EVENT_PREFIXES = [
     ("extract", "Error processing "),
     ("argument", "  "),
 ]
+# What an extraction line is about, by how it begins.
+EXTRACT_KINDS = {
+    "Found ": "found",
+    "Successfully processed ": "processed",
+    "Extracted text too short for ": "too_short",
+    "Error on page ": "page_error",
+    "Error processing ": "file_error",
+}
 NUMBER = "[0-9]+(?:\\.[0-9]+)?"
 GPU_SAMPLE = "GPU [0-9]+: [^,]*"
 EPOCH = "Epoch ([0-9]+)/([0-9]+)"
@@ -109,6 +117,12 @@ def typed_messages(split: DataFrame) -> DataFrame:
     accum = F.coalesce(
         number(1, "probe"), F.when(message.startswith("Gradient accumulation steps: "), number(0, "final"))
     )
+    dataset = F.when(event == "size", F.when(message.startswith("Train "), "train").otherwise("eval"))
+    kind = F.lit(None).cast("string")
+    for prefix, name in EXTRACT_KINDS.items():
+        kind = F.when(message.startswith(prefix), name).otherwise(kind)
+    kind = F.when(event == "extract", kind)
+    named = F.regexp_extract(message, "(?:^Successfully processed | for | of |^Error processing )(/[^:]*)", 1)
     outcome = F.when(message.contains("works!"), "success").when(message.startswith("OOM error"), "oom").otherwise("fail")
     result = F.when(event.isin("probe_result", "safe_result"), outcome)
     device_shift = {"gpu": 1, "ram": 0}
@@ -131,6 +145,12 @@ def typed_messages(split: DataFrame) -> DataFrame:
         accum.cast("int").alias("grad_accum"),
         result.alias("result"),
         number(0, "stage").cast("int").alias("stage"),
+        F.when(event == "stage", F.regexp_extract(message, "^Step [0-9]+: (.*)$", 1)).alias("title"),
+        dataset.alias("dataset"),
+        kind.alias("kind"),
+        F.when(F.col("kind") == "page_error", number(0, "extract")).cast("int").alias("page"),
+        F.when(event.eqNullSafe("extract") & (named != ""), F.trim(named)).alias("path"),
+        F.when(F.col("kind") == "found", number(0, "extract")).cast("bigint").alias("files"),
         number(0, "split", "size", "range").cast("bigint").alias("first_count"),
         number(1, "split", "range").cast("bigint").alias("second_count"),
         F.when(event == "cache", ~message.startswith("Cache not found")).alias("cache_hit"),
@@ -217,14 +237,22 @@ def elapsed(parsed: DataFrame) -> DataFrame:
 
 
 def trials(parsed: DataFrame) -> DataFrame:
-    """Batch-size trials ``(run, seq, ts, batch_size, result)``.
+    """Batch-size trials ``(run, seq, ts, batch_size, result)``, a row per trial.
 
-    A tried safe size is reported in a line of its own and, in some logs, also like any other size; equal
-    outcomes of one size in a run are one trial.
+    A tried safe size is reported in a line of its own and, in some logs, also like any other size: an ordinary line
+    is left out where the outcome just before it in the run is the safe line of the same size and result.
     """
     outcome = parsed.filter(F.col("event").isin("probe_result", "safe_result"))
-    return outcome.groupBy("run", "batch_size", "result").agg(
-        F.min("line_no").alias("seq"), F.min("ts").alias("ts")
+    record = F.struct("line_no", "event", "batch_size", "result")
+    seen = running_extremes(outcome, "run", "line_no", {"_before": ("max", record)}, inclusive=False)
+    twin = (
+        (F.col("event") == "probe_result")
+        & (F.col("_before.event") == "safe_result")
+        & (F.col("_before.batch_size") == F.col("batch_size"))
+        & (F.col("_before.result") == F.col("result"))
+    )
+    return seen.filter(~F.coalesce(twin, F.lit(False))).select(
+        "run", F.col("line_no").alias("seq"), "ts", "batch_size", "result"
     )
 
 
@@ -240,14 +268,20 @@ def trial_frontier(attempts: DataFrame) -> DataFrame:
     )
 
 
-def search_bounds(attempts: DataFrame) -> DataFrame:
-    """Largest success and smallest failure known before each trial, by ``seq`` in a run."""
+def search_bounds(attempts: DataFrame, low: int, high: int) -> DataFrame:
+    """Range of sizes still open before each trial, by ``seq`` in a run.
+
+    It starts as ``low`` to ``high``; a success moves the lower end above its size, a failure the upper end below.
+    """
     ok = F.col("result") == "success"
-    bounds = {
-        "lower": ("max", F.when(ok, F.col("batch_size"))),
-        "upper": ("min", F.when(~ok, F.col("batch_size"))),
+    ends = {
+        "lower": ("max", F.when(ok, F.col("batch_size") + 1)),
+        "upper": ("min", F.when(~ok, F.col("batch_size") - 1)),
     }
-    return running_extremes(attempts, "run", "seq", bounds, inclusive=False)
+    found = running_extremes(attempts, "run", "seq", ends, inclusive=False)
+    return found.withColumns(
+        {"lower": F.greatest(F.coalesce("lower", F.lit(low)), F.lit(low)), "upper": F.least(F.coalesce("upper", F.lit(high)), F.lit(high))}
+    )
 
 
 def retain_last(checkpoints: DataFrame, k: int = 1, group: str = "run", order: str = "step") -> DataFrame:
@@ -298,8 +332,9 @@ def run_status(facts: DataFrame, as_of: Column, quiet: str = "INTERVAL 10 MINUTE
 
 
 def rank_runs(stats: DataFrame) -> DataFrame:
-    """Runs by effective batch, highest first; equal ones by name, last first."""
-    return stats.orderBy(F.desc("effective_batch"), F.desc("run"))
+    """Runs with their ``position`` by effective batch, highest first; equal ones by name, last first."""
+    placed = sorted_rank(stats, [F.desc("effective_batch"), F.desc("run")], "position")
+    return placed.withColumn("position", F.col("position") + 1)
 
 
 def best_run(stats: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Defaults of the options a sweep varies.
+# Defaults of a run's options.
 DEFAULTS = {
     "train_test_split": "0.9",
     "learning_rate": "0.0002",
@@ -16,6 +16,8 @@ DEFAULTS = {
     "max_batch_size": "128",
     "safe_batch_size": "8",
     "base_grad_accum": "32",
+    "flash_attention": "true",
+    "sdpa_attention": "true",
     "lora_r": "8",
     "lora_alpha": "32",
     "lora_dropout": "0.1",
@@ -24,9 +26,17 @@ DEFAULTS = {
     "load_in_8bit": "false",
     "use_fp16": "true",
     "use_bf16": "false",
+    "compile_model": "false",
     "use_gradient_checkpointing": "true",
     "use_8bit_optimizer": "true",
     "use_double_quant": "true",
+    "logging_steps": "10",
+    "eval_steps": "100",
+    "save_steps": "500",
+    "save_total_limit": "1",
+    "use_wandb": "false",
+    "wandb_project": "llama-finetuning",
+    "wandb_tags": "",
 }
 
 # The named runs and what they change; "false" declares a switch as left out.

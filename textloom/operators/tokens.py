@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,9 +22,10 @@ MAX_LENGTH = 512
 # A run of letters and digits, or a run of other visible characters.
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\r\f\x0b]+"
 
-# A vocabulary within both limits is at most 128,000 short strings, small enough to broadcast.
-BOUNDED_SIZE = 128_000
-BOUNDED_CHARS = 128
+# The head of a vocabulary that every task holds: its most frequent tokens, at most 65,536 strings of at most 64
+# characters. All other tokens, longer or rarer, are joined; where the head ends changes no id.
+HEAD_TOKENS = 65_536
+HEAD_CHARS = 64
 
 
 def tokenize(text: Column, pattern: str = TOKEN_PATTERN) -> Column:
@@ -51,28 +53,26 @@ def token_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def frequent(counts: DataFrame, size: int) -> DataFrame:
-    """Tokens that can be among the ``size`` most frequent: all down to the count of the last one.
+    """Tokens that can be among the ``size`` most frequent, and at most a power of two of their counts below.
 
-    The count is found in the histogram of counts, whose rows grow with the square root of the corpus.
+    The bound comes from the number of tokens per bit length of the count, which is at most 64 rows.
     """
-    histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_tokens"))
-    down = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
-    threshold = (
+    histogram = counts.groupBy(F.length(F.bin("n")).alias("_bits")).agg(F.count(F.lit(1)).alias("_tokens"))
+    down = Window.orderBy(F.desc("_bits")).rowsBetween(Window.unboundedPreceding, -1)
+    bits = (
         histogram.withColumn("_above", F.coalesce(F.sum("_tokens").over(down), F.lit(0)))
         .filter(F.col("_above") < size)
-        .agg(F.min("n"))
+        .agg(F.min("_bits"))
         .scalar()
     )
-    return counts.filter(F.col("n") >= threshold)
+    return counts.filter(F.length(F.bin("n")) >= bits)
 
 
-def vocabulary(counts: DataFrame, max_size: int | None = None, max_chars: int | None = None) -> DataFrame:
-    """``(token, n, id)``: ids from ``FIRST_ID`` by falling count, then token.
+def vocabulary(counts: DataFrame, max_size: int | None = None) -> DataFrame:
+    """``(token, n, id)``: ids from ``FIRST_ID`` by falling count, then token; at most ``max_size`` of them.
 
-    With ``max_size`` or ``max_chars`` the other tokens have no id and encode as unknown.
+    The ``max_size`` most frequent tokens are the caller's choice; without it every token has an id.
     """
-    if max_chars is not None:
-        counts = counts.filter(F.length("token") <= max_chars)
     if max_size is not None:
         counts = frequent(counts, max_size)
     ranked = sorted_rank(counts, [F.desc("n"), F.col("token")])
@@ -81,18 +81,12 @@ def vocabulary(counts: DataFrame, max_size: int | None = None, max_chars: int |
     return ranked.select("token", "n", (F.col("rank") + FIRST_ID).cast("int").alias("id"))
 
 
-def bounded_vocabulary(counts: DataFrame) -> DataFrame:
-    return vocabulary(counts, BOUNDED_SIZE, BOUNDED_CHARS)
-
-
-def vocab_lookup(tokens: DataFrame, vocab: DataFrame, bounded: bool = False) -> DataFrame:
+def vocab_lookup(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """Add ``id`` to rows with ``token``; unknown tokens get the reserved id.
 
-    ``bounded`` says that the vocabulary was made within the bounded limits and may be broadcast. Otherwise
-    the join is left to AQE, which broadcasts by measured size and splits the partitions of frequent tokens.
+    The join is left to AQE, which broadcasts by measured size and splits the partitions of frequent tokens.
     """
-    known = vocab.select("token", "id")
-    joined = tokens.join(F.broadcast(known) if bounded else known, "token", "left")
+    joined = tokens.join(vocab.select("token", "id"), "token", "left")
     return joined.withColumn("id", F.coalesce("id", F.lit(UNK)))
 
 
@@ -105,16 +99,13 @@ def encode(
 ) -> DataFrame:
     """Begin marker, ids cut to ``max_length``, padding, attention mask and special-token mask.
 
-    A vocabulary within the bounded limits is handed to the tasks, which look whole Arrow batches up in it:
-    no token rows, no shuffle. A larger one is joined to the exploded tokens.
+    ``keys`` identify a chunk. Tokens of the vocabulary's head are looked up inside the tasks, whole Arrow batches at
+    once; only the positions of other tokens become rows and are joined with the vocabulary.
     """
     keys = list(keys)
     pad = EOS if pad_is_eos else PAD
     cut = chunks.select(*keys, F.slice(tokenize(F.col("text")), 1, max_length - 1).alias("_tokens"))
-    known = vocab.select("token", "id")
-    size = known.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(F.length("token")), F.lit(0)).alias("chars")).first()
-    bounded = size["rows"] <= BOUNDED_SIZE and size["chars"] <= BOUNDED_CHARS
-    ids = (_ids_in_tasks if bounded else _ids_by_join)(cut, known, keys)
+    ids = _with_ids(cut, vocab.select("token", "id"), keys)
     filled = F.size("_ids") + 1
     rest = F.lit(max_length) - filled
     return ids.select(
@@ -127,35 +118,64 @@ def encode(
     )
 
 
-def _ids_in_tasks(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
-    table = known.toArrow()  # at most BOUNDED_SIZE rows
-    shared = cut.sparkSession.sparkContext.broadcast(
-        (table["token"].combine_chunks(), table["id"].combine_chunks())
-    )
+def _head_lookup(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Replace ``_tokens`` with ``_ids``, null where the token is not in the head, and those tokens in ``_others``."""
+    head = known.filter((F.col("id") < FIRST_ID + HEAD_TOKENS) & (F.length("token") <= HEAD_CHARS)).toArrow()
+    shared = cut.sparkSession.sparkContext.broadcast((head["token"].combine_chunks(), head["id"].combine_chunks()))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, ids = shared.value
         for batch in batches:
             lists = batch.column("_tokens")
             flat = lists.flatten()
-            found = pc.fill_null(ids.take(pc.index_in(flat, value_set=tokens.cast(flat.type))), UNK)
-            offsets = pc.subtract(lists.offsets, lists.offsets[0])
+            found = ids.take(pc.index_in(flat, value_set=tokens.cast(flat.type)))
+            ends = pc.subtract(lists.offsets, lists.offsets[0])
+            missing = pc.is_null(found)
+            before = np.concatenate([[0], np.cumsum(missing.to_numpy(zero_copy_only=False))])
+            other_ends = pa.array(before[ends.to_numpy()], ends.type)
             columns = [batch.column(key) for key in keys]
             yield pa.RecordBatch.from_arrays(
-                [*columns, type(lists).from_arrays(offsets, found)], names=[*keys, "_ids"]
+                [
+                    *columns,
+                    type(lists).from_arrays(ends, found),
+                    type(lists).from_arrays(other_ends, flat.filter(missing)),
+                ],
+                names=[*keys, "_ids", "_others"],
             )
 
     types = dict(cut.dtypes)
-    schema = ", ".join([f"`{key}` {types[key]}" for key in keys] + ["_ids array<int>"])
+    schema = ", ".join([f"`{key}` {types[key]}" for key in keys] + ["_ids array<int>", "_others array<string>"])
     return cut.withColumn("_tokens", F.coalesce("_tokens", F.array())).mapInArrow(look_up, schema)
 
 
-def _ids_by_join(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
-    exploded = cut.select(*keys, F.posexplode_outer("_tokens").alias("_pos", "token"))
-    placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "id"))
-    found = vocab_lookup(exploded, known)
+def _with_ids(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Ids of the tokens of each chunk.
+
+    A chunk becomes one row with the ids of its head tokens and one row per other position; all go through one
+    join and meet again by the chunk's keys. The first kind of row carries a key no token can be, spread by a hash.
+    """
+    looked = _head_lookup(cut, known, keys)
+    places = F.transform(
+        F.filter(F.transform("_ids", lambda x, i: F.struct(i.alias("pos"), x.alias("id"))), lambda p: p["id"].isNull()),
+        lambda p: p["pos"],
+    )
+    others = F.transform(
+        F.arrays_zip(places.alias("pos"), F.col("_others").alias("token")),
+        lambda o: F.struct(F.lit(None).cast("array<int>").alias("ids"), o["pos"].alias("pos"), o["token"].alias("token")),
+    )
+    own = F.struct(
+        F.col("_ids").alias("ids"),
+        F.lit(None).cast("int").alias("pos"),
+        F.concat(F.lit(" "), F.xxhash64(*keys).cast("string")).alias("token"),
+    )
+    rows = looked.select(*keys, F.explode(F.concat(F.array(own), others)).alias("_r")).select(*keys, "_r.*")
+    found = rows.join(known, "token", "left")
+    placed = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(UNK)).alias("id")))
     # a chunk has at most max_length tokens here
-    return found.groupBy(*keys).agg(F.sort_array(F.collect_list(placed)).alias("_ids")).withColumn("_ids", F.col("_ids.id"))
+    whole = found.groupBy(*keys).agg(F.first("ids", ignorenulls=True).alias("_head"), F.collect_list(placed).alias("_rest"))
+    head = F.transform("_head", lambda x, i: F.struct(i.alias("pos"), x.alias("id")))
+    merged = F.concat(F.filter(head, lambda p: p["id"].isNotNull()), "_rest")
+    return whole.select(*keys, F.sort_array(merged)["id"].alias("_ids"))
 
 
 def causal_labels(input_ids: Column, pad: int = PAD) -> Column:

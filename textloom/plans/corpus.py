@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.functions.text import base_name, html_text, output_name
+from textloom.functions.text import html_text, output_name
 from textloom.operators import documents as docs
 from textloom.operators.chunks import chunk_paragraphs, chunk_stats, first_chunks
-from textloom.operators.ranking import global_rank, sample_n
+from textloom.operators.ranking import global_rank, sample_n, sorted_rank
 from textloom.operators.split import apply_split, corpus_counts, having_result, split_overlap, train_test_split
-from textloom.session import spread, work_path
+from textloom.session import materialise, spread, work_path
 from textloom.sources import cache, files, manifest
 from textloom.tables import file_listing, load, page_rows
 
@@ -96,22 +96,39 @@ FROM per_doc GROUP BY split, lang""",
 def corpus_slice(spark, sf_dir):
     """Length filter, exact split, paragraph packing and statistics by split and language."""
     members = kept_split(spark, sf_dir).select("doc_id", "lang", "split", "text")
-    return chunk_stats(chunk_paragraphs(spread(members, "doc_id"), PARAGRAPH), "split", "lang")
+    return chunk_stats(spread(members, "doc_id"), "split", "lang", separator=PARAGRAPH)
 
 
 # --- sources ------------------------------------------------------------------------------------
 
 
+def stored_files(spark: SparkSession, sf_dir: str) -> str:
+    """Every document as a file in a folder of its own, ``name=my doc 5%``; returns the folder above.
+
+    Every 97th document gets a byte that no UTF-8 text has.
+    """
+    folder = work_path(spark, "files")
+    broken = F.when(F.col("doc_id") % 97 == 0, F.expr("cast(X'FF' AS string)")).otherwise("")
+    text = F.concat("text", broken)
+    name = F.concat(F.lit("my doc "), F.col("doc_id"), F.lit("%"))
+    rows = documents(spark, sf_dir).select(name.alias("name"), text.alias("value"))
+    rows.write.partitionBy("name").option("lineSep", "\n").text(folder)
+    return folder
+
+
+def file_doc_id(path):
+    """Document id in the path of a stored file; the folder name has its percent sign escaped once by the writer."""
+    return F.regexp_extract(path, "name=my doc ([0-9]+)%25/[^/]*$", 1).cast("bigint")
+
+
 @query(
     "discover_files",
-    """SELECT '/corpus/' || source || '/doc_' || doc_id || '.' || lang AS path,
-       'doc_' || doc_id || '.' || lang AS file_name, n_chars AS length FROM documents WHERE lang = 'en'""",
+    """SELECT doc_id, CAST(strlen(text) + CASE WHEN doc_id % 97 = 0 THEN 2 ELSE 1 END AS BIGINT) AS length FROM documents""",
 )
 def discover_files(spark, sf_dir):
-    listing = file_listing(spark, sf_dir)
-    return listing.filter(files.in_folder(F.col("path"), ".en")).select(
-        "path", base_name(F.col("path")).alias("file_name"), "length"
-    )
+    """Files found by extension below a folder; only the listing is read."""
+    found = files.discover(spark, stored_files(spark, sf_dir), ".txt", recursive=True)
+    return found.select(file_doc_id(F.col("path")).alias("doc_id"), "length")
 
 
 @query(
@@ -150,13 +167,18 @@ def html_text_query(spark, sf_dir):
 
 @query(
     "read_texts",
-    """SELECT doc_id, length(t) AS n_chars, md5(t) AS text_md5, CAST(NULL AS VARCHAR) AS error
-FROM (SELECT doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS t FROM documents)""",
+    """SELECT doc_id, CASE WHEN doc_id % 97 <> 0 THEN length(t) END AS n_chars, CASE WHEN doc_id % 97 <> 0 THEN md5(t) END AS text_md5,
+       CASE WHEN doc_id % 97 = 0 THEN 'invalid UTF-8' END AS error
+FROM (SELECT doc_id, replace(replace(text || chr(10), chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS t FROM documents)""",
 )
 def read_texts(spark, sf_dir):
-    stored = documents(spark, sf_dir).select("doc_id", F.encode("text", "UTF-8").alias("content"))
-    return files.decode_texts(stored).select(
-        "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"), "error"
+    """Texts read from files, one per document; every 97th is not valid."""
+    read = files.read_texts(spark, stored_files(spark, sf_dir), recursive=True)
+    return read.select(
+        file_doc_id(F.col("path")).alias("doc_id"),
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.md5("text").alias("text_md5"),
+        "error",
     )
 
 
@@ -178,27 +200,33 @@ DONE_SQL = "done AS (SELECT DISTINCT doc_id FROM labels)"
 @query(
     "incremental_ingest",
     f"""WITH {DONE_SQL}
-SELECT doc_id, 'done' AS origin FROM done
-UNION ALL
-SELECT doc_id, 'new' AS origin FROM documents
-WHERE length(text) >= 500 AND doc_id NOT IN (SELECT doc_id FROM done)""",
+SELECT doc_id, lang, md5(text) AS text_md5, CASE WHEN doc_id IN (SELECT doc_id FROM done) THEN 'done' ELSE 'new' END AS origin
+FROM documents WHERE length(text) >= 500 OR doc_id IN (SELECT doc_id FROM done)""",
 )
 def incremental_ingest(spark, sf_dir):
-    done = load(spark, sf_dir, "labels").select("doc_id").distinct()
-    return docs.incremental_ingest(documents(spark, sf_dir), done, length_col="n_chars")
+    """Documents with a label were written before; the rest is filtered and joins them."""
+    source = documents(spark, sf_dir)
+    done = having_result(source, load(spark, sf_dir, "labels"), "doc_id")
+    found = docs.incremental_ingest(source, done, length_col="n_chars")
+    return found.select("doc_id", "lang", F.md5("text").alias("text_md5"), "origin")
 
 
-MANIFEST_SQL = f"""WITH {BASE_KEPT}, {SPLIT_SQL},
-parts AS (
-  SELECT (rank - 1) // 256 AS part,
-         coalesce(list('doc_' || doc_id || '.txt' ORDER BY rank) FILTER (split = 'train'), []) AS train_files,
-         coalesce(list('doc_' || doc_id || '.txt' ORDER BY rank) FILTER (split = 'test'), []) AS test_files
-  FROM members GROUP BY 1
+@query(
+    "append_new",
+    f"""WITH {DONE_SQL}
+SELECT doc_id, lang, md5(text) AS text_md5 FROM documents WHERE length(text) >= 500 OR doc_id IN (SELECT doc_id FROM done)""",
 )
-SELECT part, CAST(to_json({{
-  train_files: train_files, test_files: test_files,
-  train_size: (SELECT count(*) FROM members WHERE split = 'train'),
-  test_size: (SELECT count(*) FROM members WHERE split = 'test')}}) AS VARCHAR) AS manifest FROM parts"""
+def append_new(spark, sf_dir):
+    """A folder with the labelled documents, appended to twice; the second time nothing is new."""
+    source, path = documents(spark, sf_dir), work_path(spark, "ingested")
+    having_result(source, load(spark, sf_dir, "labels"), "doc_id").write.parquet(path)
+    docs.append_new(source, path)
+    return docs.append_new(source, path).select("doc_id", "lang", F.md5("text").alias("text_md5"))
+
+
+MANIFEST_SQL = f"""WITH {BASE_KEPT}, {SPLIT_SQL}
+SELECT 'doc_' || doc_id || '.txt' AS file_name, split, rank, CAST(floor(n * 0.9) AS BIGINT) AS train_size,
+       CAST(n - floor(n * 0.9) AS BIGINT) AS test_size FROM members"""
 
 
 def named_documents(spark, sf_dir):
@@ -208,7 +236,10 @@ def named_documents(spark, sf_dir):
 
 @query("write_manifest", MANIFEST_SQL)
 def write_manifest(spark, sf_dir):
-    return manifest.manifest_parts(named_documents(spark, sf_dir), names_per_part=256)
+    """The manifest as stored and read again."""
+    path = work_path(spark, "manifest")
+    manifest.write_manifest(manifest.manifest_rows(named_documents(spark, sf_dir)), path)
+    return spark.read.schema(manifest.MANIFEST_SCHEMA).json(path).drop("created_at")
 
 
 @query(
@@ -218,7 +249,7 @@ def write_manifest(spark, sf_dir):
 def read_manifest(spark, sf_dir):
     """Split, store the manifest, load it again and look the documents up in it."""
     named = named_documents(spark, sf_dir)
-    members = manifest.load_or_split(spark, named, names_per_part=256)
+    members = manifest.load_or_split(spark, named)
     return apply_split(named, members, "file_name")
 
 
@@ -290,10 +321,25 @@ def min_chars(spark, sf_dir):
     return docs.min_chars(documents(spark, sf_dir)).select("doc_id", F.length("text").cast("bigint").alias("n_chars"))
 
 
-@query("rejects", "SELECT doc_id, n_chars, 'too short' AS reason FROM documents WHERE length(text) < 500")
+@query(
+    "rejects",
+    """SELECT doc_id, n_chars, CASE WHEN doc_id % 97 = 0 THEN 'error' ELSE 'too short' END AS reason
+FROM documents WHERE length(text) < 500 OR doc_id % 97 = 0""",
+)
 def rejects(spark, sf_dir):
-    extracted = documents(spark, sf_dir).withColumn("error", F.lit(None).cast("string"))
-    return docs.rejects(extracted).select("doc_id", "n_chars", "reason")
+    """Every 97th document failed in extraction."""
+    failed = F.when(F.col("doc_id") % 97 == 0, "unreadable")
+    return docs.rejects(documents(spark, sf_dir).withColumn("error", failed)).select("doc_id", "n_chars", "reason")
+
+
+@query("observe_kept", "SELECT count(*) AS found, count(*) FILTER (length(text) >= 500) AS kept FROM documents")
+def observe_kept(spark, sf_dir):
+    """Counts observed while the kept documents are written."""
+    counted = Observation("kept")
+    watched = docs.observe_kept(documents(spark, sf_dir).select("doc_id", "text"), counted)
+    docs.min_chars(watched).write.parquet(work_path(spark, "observed"))
+    values = F.create_map(*[x for k, v in counted.get.items() for x in (F.lit(k), F.lit(v).cast("bigint"))])
+    return spark.range(1).select(values["found"].alias("found"), values["kept"].alias("kept"))
 
 
 @query("drop_columns", "SELECT doc_id, lang, source, n_chars FROM documents")
@@ -314,9 +360,7 @@ def skip_done(spark, sf_dir):
     f"""WITH {BASE_KEPT}, {SPLIT_SQL} SELECT doc_id, lang, n_chars, split FROM members""",
 )
 def apply_manifest(spark, sf_dir):
-    members = manifest.manifest_members(
-        write_manifest(spark, sf_dir).select(F.from_json("manifest", manifest.MANIFEST_SCHEMA).alias("m")).select("m.*")
-    )
+    members = manifest.manifest_rows(named_documents(spark, sf_dir)).select("file_name", "split")
     doc_id = F.regexp_extract("file_name", "([0-9]+)", 1).cast("bigint")
     return apply_split(
         documents(spark, sf_dir).select("doc_id", "lang", "n_chars"), members.withColumn("doc_id", doc_id)
@@ -358,7 +402,7 @@ FROM documents JOIN ranked ON md5(text) = digest""",
 )
 def split_by_digest(spark, sf_dir):
     """The split by distinct text, which keeps copies on one side."""
-    units = documents(spark, sf_dir).select("doc_id", F.md5("text").alias("digest"))
+    units = materialise(documents(spark, sf_dir).select("doc_id", F.md5("text").alias("digest")), "digests")
     return train_test_split(units, ["digest"], distinct_keys=True).select("doc_id", "split")
 
 
@@ -398,8 +442,8 @@ SELECT lang, count(*) AS documents, CAST(sum(k) AS BIGINT) AS chunks, CAST(sum(c
 FROM per_doc GROUP BY lang""",
 )
 def chunk_stats_query(spark, sf_dir):
-    chunks = chunk_paragraphs(spread(documents(spark, sf_dir).select("doc_id", "lang", "text"), "doc_id"), PARAGRAPH)
-    return chunk_stats(chunks, "lang")
+    source = spread(documents(spark, sf_dir).select("doc_id", "lang", "text"), "doc_id")
+    return chunk_stats(source, "lang", separator=PARAGRAPH)
 
 
 @query(
@@ -440,6 +484,12 @@ def first_n_query(spark, sf_dir):
     return first_chunks(documents(spark, sf_dir).select("doc_id", "text"), 256, PARAGRAPH)
 
 
-@query("sorted_paths", "SELECT '/corpus/' || source || '/doc_' || doc_id || '.' || lang AS path FROM documents ORDER BY 1")
+@query(
+    "sorted_paths",
+    """SELECT path, row_number() OVER (ORDER BY path) AS position
+FROM (SELECT '/corpus/' || source || '/doc_' || doc_id || '.' || lang AS path FROM documents)""",
+)
 def sorted_paths(spark, sf_dir):
-    return file_listing(spark, sf_dir).select("path").orderBy("path")
+    """Paths in order, with their place in it."""
+    placed = sorted_rank(file_listing(spark, sf_dir).select("path"), [F.col("path")])
+    return placed.select("path", (F.col("rank") + 1).alias("position"))

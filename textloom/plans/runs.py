@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions import numbers, records, times
 from textloom.functions.text import csv_fields, digits
 from textloom.operators import runs as ops
-from textloom.operators.sweep import DEFAULTS, RUNS, sweep_grid
+from textloom.operators.sweep import RUNS, sweep_grid
 from textloom.session import work_path
 from textloom.sources import runs as sources
 from textloom.tables import batch_trials, load, log_lines, run_markers, run_stats, user_run
@@ -34,17 +34,25 @@ def events(spark, sf_dir):
 # --- oracle building blocks: the same facts straight from the events -----------------------------
 
 LOG_SQL = """
-e AS (SELECT *, 'run_' || user_id AS run, date_trunc('millisecond', ts) AS t, CAST(event_id % 64 + 1 AS INTEGER) AS b FROM events),
+e AS (SELECT *, 'run_' || user_id AS run, date_trunc('millisecond', ts) AS t, CAST(event_id % 64 + 1 AS INTEGER) AS b,
+             CASE WHEN event_type NOT IN ('view', 'click', 'purchase', 'error') AND value >= 160 THEN event_id % 20 END AS k FROM events),
+kinds(k, event) AS (VALUES (0, 'size'), (1, 'size'), (2, 'split'), (3, 'range'), (4, 'safe_probe'), (5, 'safe_result'), (6, 'cache'),
+  (7, 'cache'), (8, 'eval'), (9, 'final'), (10, 'extract'), (11, NULL), (12, 'extract'), (13, 'extract'), (14, 'extract'),
+  (15, 'extract'), (16, 'safe_result'), (17, 'final'), (18, 'final'), (19, 'final')),
 log AS (
-  SELECT run, event_id * 2 AS line_no, t AS ts, e.value, event_id, b, props,
+  SELECT run, event_id * 2 AS line_no, t AS ts, e.value, event_id, b, props, e.k,
          CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN 'ram' WHEN 'purchase' THEN 'probe' WHEN 'error' THEN 'probe_result'
            ELSE CASE WHEN value < 40 THEN 'probe_result' WHEN value < 80 THEN 'found' WHEN value < 120 THEN 'epoch'
-                     WHEN value < 200 THEN 'stage' ELSE 'size' END END AS event,
-         CASE WHEN event_type = 'error' THEN CASE WHEN value < 120 THEN 'oom' ELSE 'fail' END
-              WHEN event_type = 'signup' AND value < 40 THEN 'success' END AS result,
-         CAST(NULL AS INTEGER) AS device FROM e
+                     WHEN value < 160 THEN 'stage' ELSE kinds.event END END AS event,
+         CASE WHEN event_type = 'error' THEN CASE WHEN value < 120 THEN 'oom' ELSE 'fail' END WHEN e.k = 16 THEN 'fail'
+              WHEN event_type = 'signup' AND (value < 40 OR e.k = 5) THEN 'success' END AS result,
+         CAST(NULL AS INTEGER) AS device, FALSE AS twin FROM e LEFT JOIN kinds USING (k)
   UNION ALL
-  SELECT run, event_id * 2 + 1, t, value, event_id, b, props, 'gpu', NULL, CAST(user_id % 8 AS INTEGER) FROM e WHERE event_type = 'view'
+  SELECT run, event_id * 2 + 1, t, value, event_id, b, props, NULL, 'gpu', NULL, CAST(user_id % 8 AS INTEGER), FALSE FROM e WHERE event_type = 'view'
+  UNION ALL
+  SELECT run, event_id * 2 + 1, t, value, event_id, b, props, NULL, 'probe_result', 'success', NULL, TRUE FROM e WHERE k = 5
+  UNION ALL
+  SELECT run, event_id * 2 + 1, t, value, event_id, b, props, NULL, 'argument', NULL, NULL, FALSE FROM e WHERE k = 11
 )
 """
 
@@ -285,28 +293,44 @@ def read_logs(spark, sf_dir):
     sizes = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n"))  # one row per writing task
     shifts = sizes.select("path", (F.sum("n").over(Window.orderBy("path")) - F.col("n")).alias("shift"))
     fields = F.split("line", " ", 2)
-    return lines.join(F.broadcast(shifts), "path").select(
+    return lines.join(shifts, "path").select(
         fields[0].cast("bigint").alias("event_id"),
         fields[1].cast("timestamp_ntz").alias("logged_at"),
         (F.col("shift") + F.col("line_no")).alias("position"),
     )
 
 
-PARSED_COLUMNS = ["run", "line_no", "ts", "event", "device", "used", "batch_size", "result", "stage", "first_count", "epoch"]
-
-
 @query(
     "parse_log",
     f"""WITH {LOG_SQL}
 SELECT run, line_no, ts, event, device, CASE WHEN event IN ('gpu', 'ram') THEN value END AS used,
-       CASE WHEN event IN ('probe', 'probe_result', 'found') THEN b END AS batch_size, result,
+       CASE WHEN event IN ('probe', 'probe_result', 'found', 'safe_probe', 'safe_result') OR k = 17 THEN b END AS batch_size,
+       CASE WHEN event = 'probe' THEN 1 WHEN k = 18 THEN b END AS grad_accum, result,
        CASE WHEN event = 'stage' THEN CAST(event_id % 6 + 1 AS INTEGER) END AS stage,
-       CASE WHEN event = 'size' THEN event_id END AS first_count,
+       CASE WHEN event = 'stage' THEN 'next stage ' || b END AS title,
+       CASE k WHEN 0 THEN 'train' WHEN 1 THEN 'eval' END AS dataset,
+       CASE k WHEN 10 THEN 'page_error' WHEN 12 THEN 'found' WHEN 13 THEN 'processed' WHEN 14 THEN 'too_short' WHEN 15 THEN 'file_error' END AS kind,
+       CASE WHEN k = 10 THEN b END AS page,
+       CASE WHEN k IN (10, 13, 14, 15) THEN '/in/my doc ' || event_id || '.src' END AS path,
+       CASE WHEN k = 12 THEN event_id END AS files,
+       CASE WHEN k IN (0, 1, 2) THEN event_id WHEN k = 3 THEN CAST(b AS BIGINT) END AS first_count,
+       CASE WHEN k = 2 THEN CAST(b AS BIGINT) WHEN k = 3 THEN event_id END AS second_count,
+       CASE k WHEN 6 THEN TRUE WHEN 7 THEN FALSE END AS cache_hit,
+       CASE WHEN event = 'argument' THEN 'seed' END AS name, CASE WHEN event = 'argument' THEN CAST(event_id AS VARCHAR) END AS argument,
+       CASE WHEN k = 8 THEN value END AS eval_loss, CASE WHEN k = 9 THEN CAST(floor(value) AS BIGINT) END AS seconds,
+       CASE WHEN k = 19 THEN value END AS perplexity,
        CASE WHEN event = 'epoch' THEN 'Epoch ' || event_id % 3 + 1 || '/3' END AS epoch
 FROM log""",
 )
 def parse_log(spark, sf_dir):
-    return ops.parse_log(log_lines(spark, sf_dir)).select(*PARSED_COLUMNS)
+    """Every event kind of the grammar with all its typed fields."""
+    parsed = ops.parse_log(log_lines(spark, sf_dir))
+    return parsed.withColumn("eval_loss", F.col("metrics")["eval_loss"]).select(
+        *"run line_no ts event device used batch_size grad_accum result stage title dataset kind page path files".split(),
+        *"first_count second_count cache_hit name eval_loss perplexity epoch".split(),
+        F.col("value").alias("argument"),
+        F.col("seconds").cast("bigint").alias("seconds"),
+    )
 
 
 @query(
@@ -394,8 +418,8 @@ def trial_frontier(spark, sf_dir):
 
 @query(
     "log_trials",
-    f"""WITH {LOG_SQL} SELECT run, b AS batch_size, result, min(line_no) AS seq, min(ts) AS ts
-FROM log WHERE event = 'probe_result' GROUP BY ALL""",
+    f"""WITH {LOG_SQL} SELECT run, b AS batch_size, result, line_no AS seq, ts
+FROM log WHERE event IN ('probe_result', 'safe_result') AND NOT twin""",
 )
 def log_trials(spark, sf_dir):
     return ops.trials(ops.parse_log(log_lines(spark, sf_dir)))
@@ -404,27 +428,44 @@ def log_trials(spark, sf_dir):
 @query(
     "search_bounds",
     f"""WITH {TRIALS_SQL}
-SELECT run, seq, batch_size, result, max(batch_size) FILTER (result = 'success') OVER w AS lower,
-       min(batch_size) FILTER (result <> 'success') OVER w AS upper
+SELECT run, seq, batch_size, result, greatest(1, coalesce(max(batch_size) FILTER (result = 'success') OVER w + 1, 1)) AS lower,
+       least(64, coalesce(min(batch_size) FILTER (result <> 'success') OVER w - 1, 64)) AS upper
 FROM trials WINDOW w AS (PARTITION BY run ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
 )
 def search_bounds(spark, sf_dir):
     attempts = batch_trials(spark, sf_dir).select("run", "seq", "batch_size", "result")
-    return ops.search_bounds(attempts)
+    return ops.search_bounds(attempts, 1, 64)
 
 
 # --- statistics, comparison, status -------------------------------------------------------------
 
 
+def stored_stats(spark, sf_dir):
+    """Statistics texts as files, one per run in a folder named ``run=<run> 5%``; the seed stands there twice."""
+    folder = work_path(spark, "run_stats")
+    body = F.replace(F.col("body"), F.lit("Arguments:\n"), F.lit("Arguments:\n  seed: 1\n"))
+    rows = run_stats(spark, sf_dir).select(F.concat("run", F.lit(" 5%")).alias("run"), body.alias("value"))
+    rows.write.partitionBy("run").text(folder)
+    return folder
+
+
+def read_stats(spark, sf_dir):
+    """The stored statistics, read back and parsed, under the names the runs have."""
+    parsed = sources.read_run_stats(spark, stored_stats(spark, sf_dir), "part-*")
+    # the writer escapes the percent sign of a folder's name
+    return parsed.withColumn("run", F.regexp_extract("run", "^run=(.*) 5%25$", 1))
+
+
 @query(
     "read_run_stats",
     f"""WITH {STATS_SQL}
-SELECT run, completed_at, batch_size, grad_accum, effective_batch, perplexity, training_time, CAST(user_id AS VARCHAR) AS user_arg
-FROM stats""",
+SELECT run, completed_at, batch_size, grad_accum, effective_batch, perplexity, training_time, CAST(user_id AS VARCHAR) AS user_arg,
+       '42' AS seed FROM stats""",
 )
 def read_run_stats(spark, sf_dir):
-    parsed = sources.parse_run_stats(run_stats(spark, sf_dir))
-    return parsed.withColumn("user_arg", F.col("args")["user"]).drop("args")
+    """Statistics files of run folders; of a repeated argument the last counts."""
+    args = F.col("args")
+    return read_stats(spark, sf_dir).withColumns({"user_arg": args["user"], "seed": args["seed"]}).drop("args")
 
 
 BODY_SQL = f"""WITH {STATS_SQL}
@@ -446,21 +487,27 @@ def write_run_stats(spark, sf_dir):
 @query(
     "write_summary",
     f"""WITH {STATS_SQL}
-SELECT run, 'Experiment: ' || run || chr(10) || repeat('-', 41) || chr(10) || 'Maximum batch size: ' || batch_size || chr(10) ||
-  'Gradient accumulation steps: ' || grad_accum || chr(10) || 'Effective batch size: ' || effective_batch || chr(10) ||
-  'Final perplexity: ' || perplexity || chr(10) || 'Training time: ' || training_time || chr(10) || chr(10) ||
-  'Configuration:' || chr(10) || '  seed: 42' || chr(10) || '  tags: a: b,c' || chr(10) || '  user: ' || user_id || chr(10) AS summary
+SELECT 'run = ' || run || chr(10) || 'completed_at = ' || strftime(completed_at, '%Y-%m-%d %H:%M:%S') || chr(10) ||
+  'batch_size = ' || batch_size || chr(10) || 'grad_accum = ' || grad_accum || chr(10) || 'effective_batch = ' || effective_batch || chr(10) ||
+  'perplexity = ' || perplexity || chr(10) || 'training_time = ' || training_time || chr(10) || 'arguments' || chr(10) ||
+  '  seed: 42' || chr(10) || '  tags: a: b,c' || chr(10) || '  user: ' || user_id AS summary
 FROM stats""",
 )
 def write_summary(spark, sf_dir):
-    parsed = sources.parse_run_stats(run_stats(spark, sf_dir))
-    return parsed.select("run", sources.summary_text().alias("summary"))
+    """Report sections written as text and read back."""
+    path = work_path(spark, "summary")
+    sources.write_summary(sources.parse_run_stats(run_stats(spark, sf_dir)), path)
+    return sources.read_summary(spark, path)
 
 
-@query("rank_runs", f"WITH {STATS_SQL} SELECT run, batch_size, effective_batch, perplexity, training_time FROM stats")
+@query(
+    "rank_runs",
+    f"""WITH {STATS_SQL} SELECT run, batch_size, effective_batch, perplexity, training_time,
+  row_number() OVER (ORDER BY effective_batch DESC, run DESC) AS position FROM stats""",
+)
 def rank_runs(spark, sf_dir):
     parsed = sources.parse_run_stats(run_stats(spark, sf_dir))
-    return ops.rank_runs(parsed).select("run", "batch_size", "effective_batch", "perplexity", "training_time")
+    return ops.rank_runs(parsed).select("run", "batch_size", "effective_batch", "perplexity", "training_time", "position")
 
 
 BEST_SQL = """
@@ -480,7 +527,8 @@ def best_run(spark, sf_dir):
     f"""WITH {STATS_SQL}, {BEST_SQL}
 SELECT run, batch_size, effective_batch, stats.perplexity, training_time,
        '  seed: 42' || chr(10) || '  tags: a: b,c' || chr(10) || '  user: ' || user_id AS config,
-       run = best_batch_run AS best_batch, run = best_perplexity_run AS best_perplexity FROM stats, best""",
+       run = best_batch_run AS best_batch, run = best_perplexity_run AS best_perplexity,
+       row_number() OVER (ORDER BY effective_batch DESC, run DESC) AS position FROM stats, best""",
 )
 def compare_runs(spark, sf_dir):
     compared = ops.compare_runs(sources.parse_run_stats(run_stats(spark, sf_dir)))
@@ -521,23 +569,38 @@ def run_status(spark, sf_dir):
     return ops.run_status(facts(spark, sf_dir), as_of, "INTERVAL 6 HOURS")
 
 
-def _grid_sql() -> str:
-    """The grid's key/value rows as SQL values: run number, name, key, declared and effective value."""
-    rows = []
-    for number, (name, overrides) in enumerate(RUNS.items()):
-        for key, default in DEFAULTS.items():
-            declared = overrides.get(key, default)
-            effective = default if default == "true" else declared
-            rows.append(f"({number}, '{name}', '{key}', '{declared}', '{effective}')")
-    return "VALUES " + ", ".join(rows)
+# What every run of the grid declares, and what a few declare otherwise. Written out here once more, apart
+# from the operator's own table.
+GRID_SQL = """
+keys(key, value, switch) AS (VALUES
+  ('train_test_split', '0.9', FALSE), ('learning_rate', '0.0002', FALSE), ('num_epochs', '3', FALSE), ('max_length', '512', FALSE),
+  ('seed', '42', FALSE), ('start_batch_size', '1', FALSE), ('max_batch_size', '128', FALSE), ('safe_batch_size', '8', FALSE),
+  ('base_grad_accum', '32', FALSE), ('flash_attention', 'true', TRUE), ('sdpa_attention', 'true', TRUE), ('lora_r', '8', FALSE),
+  ('lora_alpha', '32', FALSE), ('lora_dropout', '0.1', FALSE), ('lora_target_modules', 'q_proj,k_proj,v_proj,o_proj', FALSE),
+  ('load_in_4bit', 'true', TRUE), ('load_in_8bit', 'false', TRUE), ('use_fp16', 'true', TRUE), ('use_bf16', 'false', TRUE),
+  ('compile_model', 'false', TRUE), ('use_gradient_checkpointing', 'true', TRUE), ('use_8bit_optimizer', 'true', TRUE),
+  ('use_double_quant', 'true', TRUE), ('logging_steps', '10', FALSE), ('eval_steps', '100', FALSE), ('save_steps', '500', FALSE),
+  ('save_total_limit', '1', FALSE), ('use_wandb', 'false', TRUE), ('wandb_project', 'llama-finetuning', FALSE), ('wandb_tags', '', FALSE)),
+names(num, name) AS (VALUES (0, 'exp1_all_optimizations'), (1, 'exp2_lora_only'), (2, 'exp3_8bit_quantization'), (3, 'exp4_higher_lora_rank'),
+  (4, 'exp5_bf16_precision'), (5, 'exp6_max_batch_size'), (6, 'exp7_higher_lr'), (7, 'exp8_different_modules')),
+changes(num, key, value) AS (VALUES
+  (1, 'load_in_4bit', 'false'), (1, 'use_8bit_optimizer', 'false'), (1, 'use_double_quant', 'false'),
+  (2, 'load_in_4bit', 'false'), (2, 'load_in_8bit', 'true'), (2, 'use_double_quant', 'false'), (3, 'lora_r', '16'), (3, 'lora_alpha', '64'),
+  (4, 'use_fp16', 'false'), (4, 'use_bf16', 'true'), (5, 'num_epochs', '1'), (5, 'start_batch_size', '16'), (5, 'max_batch_size', '256'),
+  (5, 'safe_batch_size', '32'), (6, 'learning_rate', '0.0005'), (7, 'lora_target_modules', 'q_proj,v_proj')),
+grid AS (
+  SELECT num, name, key, coalesce(c.value, k.value) AS declared,
+         CASE WHEN switch AND k.value = 'true' THEN 'true' ELSE coalesce(c.value, k.value) END AS effective
+  FROM names CROSS JOIN keys k LEFT JOIN changes c USING (num, key))
+"""
 
 
 @query(
     "sweep_grid",
-    f"""WITH grid(num, name, key, declared, effective) AS ({_grid_sql()}),
-used AS (SELECT user_id, list_extract({list(RUNS)}, CAST(user_id % 8 + 1 AS INTEGER)) AS name, count(*) AS events FROM events GROUP BY user_id)
+    f"""WITH {GRID_SQL},
+used AS (SELECT user_id, user_id % 8 AS num, count(*) AS events FROM events GROUP BY user_id)
 SELECT name, key, declared, effective, count(*) AS runs, CAST(sum(events) AS BIGINT) AS events
-FROM used JOIN grid USING (name) GROUP BY ALL""",
+FROM used JOIN grid USING (num) GROUP BY ALL""",
 )
 def sweep_grid_query(spark, sf_dir):
     """Configuration values in use: every user is a run of one of the named configurations."""

@@ -41,30 +41,28 @@ def stream_ingest(spark, sf_dir):
     "stream_usage",
     """WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, CAST(user_id % 8 AS INTEGER) AS device, value FROM events)
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, device, count(*) AS samples, max(value) AS peak_used,
-       round(avg(value), 6) AS mean_used
-FROM w GROUP BY ALL
-HAVING window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)""",
+       round(avg(value), 6) AS mean_used,
+       window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts) - INTERVAL 10 MINUTE) FROM events) AS closed
+FROM w GROUP BY ALL""",
 )
 def stream_usage(spark, sf_dir):
-    """Closed windows only: those the watermark has passed."""
+    """All windows; those the watermark has passed are closed."""
     out = work_path(spark, "usage")
     session = streams.state_session(spark)
     session.conf.set("spark.sql.session.timeZone", "UTC")  # the table's times have no zone
     samples = table_stream(session, sf_dir, "events").select(
         F.col("ts").cast("timestamp").alias("ts"), (F.col("user_id") % 8).cast("int").alias("device"), F.col("value").alias("used")
     )
-    usage = streams.windowed_usage(samples, "1 hour", "10 minutes", "device").withColumns(
-        {name: F.col(name).cast("timestamp_ntz") for name in ("window_start", "window_end")}
-    )
-    running = streams.run_available(usage, f"{out}/data", f"{out}/checkpoint")
-    stored = streams.finish(running, lambda: spark.read.parquet(f"{out}/data"))
+    running = streams.stream_usage(samples, f"{out}/data", f"{out}/checkpoint")
+    stored = streams.finish(running, lambda: streams.current_usage(session, f"{out}/data"))
     return stored.select(
-        "window_start",
-        "window_end",
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
         "device",
         "samples",
         "peak_used",
         F.round("mean_used", 6).alias("mean_used"),
+        "closed",
     )
 
 

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark.sql import functions as F
 
 from textloom.functions import text as tf
 from textloom.operators import batches, chat, model, tokens
 from textloom.operators import documents as docs
-from textloom.operators.chunks import first_chunks
 from textloom.operators.runs import perplexity
 from textloom.operators.split import train_test_split
 from textloom.plans.corpus import BASE_ALL, BASE_KEPT, CHUNKS_SQL, PARAGRAPH, SPLIT_SQL, all_chunks, documents
-from textloom.session import spread
+from textloom.session import materialise, spread
 from textloom.tables import load
 
 QUERIES = {}
@@ -40,13 +38,11 @@ vocab AS (SELECT token, n, CAST(row_number() OVER (ORDER BY n DESC, token) + 3 A
 
 ENCODE_SQL = f"""
 {CHUNKS_SQL}, {VOCAB_SQL},
-bounded AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) + 3 AS id FROM counts WHERE length(token) <= 128
-            QUALIFY row_number() OVER (ORDER BY n DESC, token) <= 128000),
 pieces AS (
   SELECT doc_id, chunk_no, unnest(regexp_extract_all(text, {PATTERN_SQL})) AS token,
          generate_subscripts(regexp_extract_all(text, {PATTERN_SQL}), 1) AS pos FROM chunks
 ),
-looked AS (SELECT doc_id, chunk_no, pos, coalesce(b.id, 1) AS id FROM pieces LEFT JOIN bounded b USING (token) WHERE pos <= 511),
+looked AS (SELECT doc_id, chunk_no, pos, coalesce(b.id, 1) AS id FROM pieces LEFT JOIN vocab b USING (token) WHERE pos <= 511),
 ids AS (
   SELECT c.doc_id, c.chunk_no, coalesce(list(l.id ORDER BY l.pos) FILTER (l.id IS NOT NULL), []) AS ids
   FROM chunks c LEFT JOIN looked l USING (doc_id, chunk_no) GROUP BY ALL
@@ -148,7 +144,7 @@ def vocab(spark, sf_dir):
 
 @query(
     "vocab_lookup",
-    f"""WITH {VOCAB_SQL}, top AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) + 3 AS id FROM counts WHERE length(token) <= 128
+    f"""WITH {VOCAB_SQL}, top AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) + 3 AS id FROM counts
         QUALIFY row_number() OVER (ORDER BY n DESC, token) <= 1000),
 words AS (SELECT conv_id, unnest(regexp_extract_all(text, {PATTERN_SQL})) AS token FROM conversations)
 SELECT conv_id, count(*) AS tokens, count(*) FILTER (id IS NULL) AS unknown, CAST(sum(coalesce(id, 1)) AS BIGINT) AS id_sum
@@ -156,11 +152,11 @@ FROM words LEFT JOIN top USING (token) GROUP BY conv_id""",
 )
 def vocab_lookup(spark, sf_dir):
     """Conversation tokens against the 1,000 most frequent document tokens."""
-    known = tokens.vocabulary(corpus_counts(spark, sf_dir), 1000, tokens.BOUNDED_CHARS)
+    known = tokens.vocabulary(corpus_counts(spark, sf_dir), 1000)
     words = load(spark, sf_dir, "conversations").select(
         "conv_id", F.explode(tokens.tokenize(F.col("text"))).alias("token")
     )
-    found = tokens.vocab_lookup(words, known, bounded=True)
+    found = tokens.vocab_lookup(words, known)
     return found.groupBy("conv_id").agg(
         F.count(F.lit(1)).alias("tokens"),
         F.count_if(F.col("id") == tokens.UNK).alias("unknown"),
@@ -169,7 +165,7 @@ def vocab_lookup(spark, sf_dir):
 
 
 def encoded(spark, sf_dir):
-    known = tokens.bounded_vocabulary(corpus_counts(spark, sf_dir))
+    known = tokens.vocabulary(corpus_counts(spark, sf_dir))
     return tokens.encode(all_chunks(spark, sf_dir), known)
 
 
@@ -227,7 +223,7 @@ def truncation_report(spark, sf_dir):
 
 @query(
     "chat_encode",
-    """SELECT conv_id, CAST(0 AS BIGINT) AS segment, '<|begin_of_text|>' || string_agg(
+    """SELECT conv_id, '<|begin_of_text|>' || string_agg(
   '<|start_header_id|>' || role || '<|end_header_id|>' || chr(10) || chr(10) ||
   trim(text, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) || '<|eot_id|>', '' ORDER BY turn) AS text
 FROM conversations GROUP BY conv_id""",
@@ -255,9 +251,8 @@ def epoch_batches(spark, sf_dir):
 
 FRONTIER_SQL = f"""
 {CHUNKS_SQL},
-sample AS (SELECT * FROM chunks ORDER BY doc_id, chunk_no LIMIT 256),
 costs AS (SELECT row_number() OVER (ORDER BY doc_id, chunk_no) AS rn,
-                 least(len(regexp_extract_all(text, {PATTERN_SQL})) + 1, 512) AS cost FROM sample),
+                 least(len(regexp_extract_all(text, {PATTERN_SQL})) + 1, 512) AS cost FROM chunks),
 sizes AS (SELECT CAST(unnest(range(1, 65)) AS INTEGER) AS batch_size),
 totals AS (SELECT batch_size, (rn - 1) // batch_size AS b, sum(cost) AS total FROM costs, sizes GROUP BY ALL),
 frontier AS (SELECT batch_size, CAST(max(total) AS BIGINT) AS worst_cost, max(total) <= 12000 AS fits FROM totals GROUP BY 1)
@@ -265,10 +260,9 @@ frontier AS (SELECT batch_size, CAST(max(total) AS BIGINT) AS worst_cost, max(to
 
 
 def frontier(spark, sf_dir):
-    sample = first_chunks(documents(spark, sf_dir).select("doc_id", "text"), 256, PARAGRAPH)
     cost = F.least(F.size(tokens.tokenize(F.col("text"))) + 1, F.lit(tokens.MAX_LENGTH))
     return batches.batch_size_frontier(
-        sample.select("doc_id", "chunk_no", cost.alias("cost")), ["doc_id", "chunk_no"], "cost", 1, 64, 12000
+        all_chunks(spark, sf_dir).select("doc_id", "chunk_no", cost.alias("cost")), ["doc_id", "chunk_no"], "cost", 1, 64, 12000
     )
 
 
@@ -291,43 +285,49 @@ def largest_batch(spark, sf_dir):
     return batches.largest_batch(frontier(spark, sf_dir), 1, 64)
 
 
-def mean_log_id():
-    """Example scorer: mean of ln(1 + id) over all positions of the batch, padding included."""
-    return lambda rows: sum(math.log(1 + x) for row in rows for x in row) / sum(len(row) for row in rows)
+def log_id_losses():
+    """Example scorer: the loss of a labelled position is ln(1 + label)."""
+    return lambda rows, labels: [np.log1p(gold[gold != tokens.IGNORED_LABEL]).sum() for gold in labels]
 
 
-def scored_batches(spark, sf_dir):
-    rows = encoded(spark, sf_dir)
-    plan = batches.epoch_batches(rows.select("doc_id", "chunk_no"), ["doc_id", "chunk_no"], 1, 4)
-    return batches.score_batches(plan.join(rows, ["doc_id", "chunk_no"]), mean_log_id)
+def stored_scores(spark, sf_dir):
+    """Chunks encoded and scored once; the narrow scores are stored, for plan and result read them."""
+    rows = encoded(spark, sf_dir).withColumn("labels", tokens.causal_labels(F.col("input_ids")))
+    return materialise(batches.score_rows(rows, log_id_losses), "scores")
 
 
 SCORED_SQL = f"""
 {ENCODE_SQL},
-placed AS (SELECT doc_id, chunk_no, input_ids,
-  (row_number() OVER (ORDER BY md5('42:0:' || doc_id || ':' || chunk_no), doc_id, chunk_no) - 1) // 4 AS batch_id FROM encoded),
-flat AS (SELECT batch_id, unnest(input_ids) AS id FROM placed),
-scored AS (SELECT batch_id, avg(ln(1 + id)) AS loss, count(*) AS positions FROM flat GROUP BY batch_id)
+rows AS (SELECT doc_id, chunk_no, len(input_ids) AS positions,
+                list_transform(list_filter(input_ids, lambda x: x <> 0), lambda x: ln(1 + x)) AS losses FROM encoded),
+scored AS (SELECT doc_id, chunk_no, positions, len(losses) AS labelled, list_sum(losses) AS loss_sum FROM rows)
 """
 
 
 @query(
     "score_batches",
-    f"WITH RECURSIVE {BASE_ALL}, {SCORED_SQL} SELECT batch_id, round(loss, 6) AS loss, positions FROM scored",
+    f"""WITH RECURSIVE {BASE_ALL}, {SCORED_SQL},
+placed AS (SELECT *, (row_number() OVER (ORDER BY md5('42:0:' || doc_id || ':' || chunk_no), doc_id, chunk_no) - 1) // 4 AS batch_id FROM scored)
+SELECT batch_id, round(sum(loss_sum) / sum(labelled), 6) AS loss, CAST(sum(positions) AS BIGINT) AS positions FROM placed GROUP BY batch_id""",
 )
 def score_batches(spark, sf_dir):
-    return scored_batches(spark, sf_dir).select("batch_id", F.round("loss", 6).alias("loss"), "positions")
+    scores = stored_scores(spark, sf_dir)
+    plan = batches.epoch_batches(scores.select("doc_id", "chunk_no"), ["doc_id", "chunk_no"], 1, 4)
+    return batches.score_batches(scores, plan).select("batch_id", F.round("loss", 6).alias("loss"), "positions")
 
 
 @query(
     "evaluate_perplexity",
-    f"""WITH RECURSIVE {BASE_ALL}, {ENCODE_SQL},
-flat AS (SELECT unnest(input_ids) AS id FROM encoded)
-SELECT round(exp(avg(ln(1 + id))), 6) AS perplexity, count(*) AS weight FROM flat""",
+    f"""WITH RECURSIVE {BASE_ALL}, {SCORED_SQL},
+placed AS (SELECT *, (row_number() OVER (ORDER BY doc_id, chunk_no) - 1) // 4 AS batch_id FROM scored),
+per_batch AS (SELECT sum(loss_sum) / sum(labelled) AS loss, sum(positions) AS positions FROM placed GROUP BY batch_id)
+SELECT round(exp(sum(loss * positions) / sum(positions)), 6) AS perplexity, CAST(sum(positions) AS BIGINT) AS weight FROM per_batch""",
 )
 def evaluate_perplexity(spark, sf_dir):
-    """Encode, score with a user function where the rows are, weight by positions."""
-    return perplexity(batches.score_in_place(encoded(spark, sf_dir), mean_log_id), weight="positions")
+    """Batches of four in dataset order, the mean loss of each over its labelled positions, weighted by positions."""
+    scores = stored_scores(spark, sf_dir)
+    scored = batches.score_batches(scores, batches.evaluation_plan(scores))
+    return perplexity(scored, weight="positions")
 
 
 # --- language model -----------------------------------------------------------------------------
@@ -378,7 +378,7 @@ def lm_perplexity(spark, sf_dir):
     "sweep",
     f"""WITH {BASE_KEPT}, {MODEL_SQL},
 counts AS (SELECT token, count(*) AS n FROM tok WHERE split = 'train' GROUP BY token),
-ranks AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) AS place FROM counts WHERE length(token) <= 128),
+ranks AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) AS place FROM counts),
 sizes AS (SELECT unnest([1000, 10000]) AS vocab_size),
 mapped AS (
   SELECT vocab_size, split,

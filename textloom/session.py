@@ -8,8 +8,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SPLIT_BYTES = 64 * 1024 * 1024
-
 
 def build_session(app: str = "textloom", master: str | None = None) -> SparkSession:
     """Session with the settings the operators are tuned for; a cluster's own master is kept."""
@@ -57,17 +55,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size the optimizer expects, from file sizes and pruned columns; nothing is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def clear_work(spark: SparkSession) -> None:
+    """Delete everything this library stored below the shared folder; no frame made before may be used after it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_dir(spark), "textloom"))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give row-local text work one task per core when the input is too small to fill the cores.
+    """Repartition row-local text work where the session asks for it.
 
-    A large input already has more splits than cores and passes through without a shuffle.
+    ``spark.textloom.inputPartitions`` is for inputs of few splits, such as one file with one row group; without the
+    setting the input's own splits are the tasks. Nothing depends on the size of the input.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) < cores * SPLIT_BYTES:
-        return df.repartition(cores, *keys)
-    return df
+    partitions = df.sparkSession.conf.get("spark.textloom.inputPartitions", None)
+    return df.repartition(int(partitions), *keys) if partitions else df

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from textloom.functions.text import base_name
 
 
-def discover(spark: SparkSession, folder: str, extension: str) -> DataFrame:
-    """Files of one extension directly in a folder, case-sensitive; file contents are not read.
+def discover(spark: SparkSession, folder: str, extension: str, recursive: bool = False) -> DataFrame:
+    """Files of one extension directly in a folder, or also below it, case-sensitive; file contents are not read.
 
     Files of zero bytes hold no document and are not listed by Spark's file sources.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", f"*{extension}").load(folder)
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{extension}")
+    listing = reader.option("recursiveFileLookup", str(recursive).lower()).load(folder)
     return listing.select("path", base_name(F.col("path")).alias("file_name"), "length", "modificationTime")
 
 
@@ -23,11 +24,23 @@ def in_folder(path: Column, extension: str, folder: str | None = None) -> Column
     return match if folder is None else match & (F.concat(F.lit(folder + "/"), base_name(path)) == path)
 
 
-def read_files(spark: SparkSession, folder: str, extension: str) -> DataFrame:
-    """Whole files as ``(path, content)``; one file is one document."""
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", f"*{extension}").load(folder).select("path", "content")
-    )
+def plain_path(path: Column) -> Column:
+    """A path as file systems name it; the metadata column of file sources is percent-encoded."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def read_files(spark: SparkSession, folder: str, extension: str, recursive: bool = False) -> DataFrame:
+    """Whole files as ``(path, content)``; one file is one document. Files that cannot be read are left out."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{extension}").option("ignoreCorruptFiles", "true")
+    return reader.option("recursiveFileLookup", str(recursive).lower()).load(folder).select("path", "content")
+
+
+def unreadable_files(spark: SparkSession, folder: str, extension: str, recursive: bool = False) -> DataFrame:
+    """``path`` of the listed files that give no content; the contents are read, only paths are compared."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{extension}")
+    listed = reader.option("recursiveFileLookup", str(recursive).lower()).load(folder).select("path")
+    read = read_files(spark, folder, extension, recursive).filter(F.length("content") >= 0)
+    return listed.join(read.select("path"), "path", "left_anti")
 
 
 def decode_texts(files: DataFrame, content: str = "content") -> DataFrame:
@@ -42,9 +55,12 @@ def decode_texts(files: DataFrame, content: str = "content") -> DataFrame:
     )
 
 
-def read_texts(spark: SparkSession, folder: str, extension: str = ".txt") -> DataFrame:
-    """Texts of a folder; unreadable ones carry ``error`` and a null text instead of failing the job."""
-    return decode_texts(read_files(spark, folder, extension))
+def read_texts(spark: SparkSession, folder: str, extension: str = ".txt", recursive: bool = False) -> DataFrame:
+    """``(path, text, error)`` of a folder; files that cannot be read or decoded carry ``error`` and no text."""
+    broken = unreadable_files(spark, folder, extension, recursive).select(
+        "path", F.lit(None).cast("string").alias("text"), F.lit("unreadable").alias("error")
+    )
+    return decode_texts(read_files(spark, folder, extension, recursive)).unionByName(broken)
 
 
 def write_documents(documents: DataFrame, path: str, by_split: bool = False, mode: str = "append") -> None:

@@ -1,4 +1,4 @@
-"""Split manifests: JSON parts of bounded size, and back to ``(file_name, split)`` rows."""
+"""Split manifests: one JSON object per file name, and back to ``(file_name, split)`` rows."""
 
 from __future__ import annotations
 
@@ -6,69 +6,45 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators.ranking import global_rank
-from textloom.operators.split import train_test_split
 from textloom.session import work_path
 
-NAMES_PER_PART = 10_000
+MANIFEST_SCHEMA = "file_name string, split string, rank bigint, train_size bigint, test_size bigint, created_at string"
 
-MANIFEST_SCHEMA = (
-    "train_files array<string>, test_files array<string>, train_size bigint, test_size bigint, created_at string"
-)
 
-
-def manifest_parts(
+def manifest_rows(
     files: DataFrame,
     key: str = "doc_id",
     name_col: str = "file_name",
     ratio: float = 0.9,
     seed: int = 42,
-    names_per_part: int = NAMES_PER_PART,
     created_at: Column | None = None,
 ) -> DataFrame:
-    """``(part, manifest)``: JSON objects with at most ``names_per_part`` names each, in shuffle order.
+    """``(file_name, split, rank, train_size, test_size[, created_at])``, a row per file, in one form for every corpus size.
 
-    Every part repeats the sizes of the whole split. A corpus below the part size gives the single object a
-    file-based tool expects; a larger one gives as many parts as it needs, each made by one task.
+    Files are ranked once; rank and number of files give both the side and the sizes.
     """
-    members = train_test_split(files.select(key, name_col), [key], ratio, seed)
-    sizes = members.agg(
-        F.struct(
-            F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "test").alias("test")
-        )
-    ).scalar()
-    ranked = global_rank(members, [key], seed).withColumn("part", F.floor((F.col("rank") - 1) / names_per_part))
-
-    def names(side: str) -> Column:
-        placed = F.collect_list(F.when(F.col("split") == side, F.struct("rank", F.col(name_col).alias("name"))))
-        return F.sort_array(placed)["name"].alias(f"{side}_files")
-
-    parts = ranked.groupBy("part").agg(names("train"), names("test")).withColumn("_sizes", sizes)
+    ranked = global_rank(files.select(key, name_col), [key], seed)
+    total = files.agg(F.count(F.lit(1))).scalar()
+    train = F.floor(F.col("_total") * F.lit(ratio))
     fields = [
-        F.col("train_files"),
-        F.col("test_files"),
-        F.col("_sizes.train").alias("train_size"),
-        F.col("_sizes.test").alias("test_size"),
+        F.col(name_col).alias("file_name"),
+        F.when(F.col("rank") <= train, "train").otherwise("test").alias("split"),
+        "rank",
+        train.alias("train_size"),
+        (F.col("_total") - train).alias("test_size"),
     ]
     if created_at is not None:
         fields.append(created_at.alias("created_at"))
-    return parts.select("part", F.to_json(F.struct(*fields)).alias("manifest"))
-
-
-def write_manifest(parts: DataFrame, path: str) -> None:
-    parts.select("manifest").write.mode("overwrite").text(path)
+    return ranked.withColumn("_total", total).select(*fields)
 
 
-def manifest_members(parsed: DataFrame) -> DataFrame:
-    """Rows ``(file_name, split)`` of parsed manifest parts."""
-    pairs = F.concat(
-        F.transform("train_files", lambda f: F.struct(f.alias("file_name"), F.lit("train").alias("split"))),
-        F.transform("test_files", lambda f: F.struct(f.alias("file_name"), F.lit("test").alias("split"))),
-    )
-    return parsed.select(F.inline(pairs))
+def write_manifest(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").json(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return manifest_members(spark.read.schema(MANIFEST_SCHEMA).json(path))
+    """``(file_name, split)`` rows of a stored manifest."""
+    return spark.read.schema(MANIFEST_SCHEMA).json(path).select("file_name", "split")
 
 
 def load_or_split(spark: SparkSession, files: DataFrame, path: str | None = None, **options) -> DataFrame:
@@ -76,5 +52,5 @@ def load_or_split(spark: SparkSession, files: DataFrame, path: str | None = None
     path = path or work_path(spark, "manifest")
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        write_manifest(manifest_parts(files, **options), path)
+        write_manifest(manifest_rows(files, **options), path)
     return read_manifest(spark, path)

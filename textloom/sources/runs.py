@@ -7,8 +7,19 @@ from pyspark.sql import functions as F
 
 from textloom.functions.records import kv_arguments, kv_field
 from textloom.functions.times import duration_text, stamp
+from textloom.sources.files import plain_path
 
-STATS_FILE = "training_stats.txt"  # fixed value: name of a run's statistics file
+# Names of a run's statistics and process files, and the keys of its statistics.
+STATS_FILE = "training_stats.txt"
+PID_FILE = "process_pid.txt"
+COMPLETED, BATCH, ACCUM, EFFECTIVE, PERPLEXITY, TIME = (
+    "Training completed at",
+    "Maximum batch size",
+    "Gradient accumulation steps",
+    "Effective batch size",
+    "Final perplexity",
+    "Total training time",
+)
 
 
 def read_logs(spark: SparkSession, folder: str, pattern: str = "*.log") -> DataFrame:
@@ -21,8 +32,8 @@ def read_logs(spark: SparkSession, folder: str, pattern: str = "*.log") -> DataF
         spark.read.option("pathGlobFilter", pattern)
         .text(folder)
         .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_name").alias("file_name"),
+            plain_path(F.col("_metadata.file_path")).alias("path"),
+            plain_path(F.col("_metadata.file_name")).alias("file_name"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_seq"),
             F.col("value").alias("line"),
@@ -64,13 +75,28 @@ def match_logs(runs: DataFrame, logs: DataFrame) -> DataFrame:
     return runs.join(first, "run", "left")
 
 
-def read_run_stats(spark: SparkSession, root: str) -> DataFrame:
-    """Statistics of every run directory that has them, parsed; the directory names the run."""
-    bodies = (
-        spark.read.text(f"{root}/*/{STATS_FILE}", wholetext=True)
-        .select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("run"), F.col("value").alias("body"))
+def read_run_stats(spark: SparkSession, root: str, file_name: str = STATS_FILE) -> DataFrame:
+    """Statistics of every run directory of ``root`` that has them, parsed; the directory names the run.
+
+    Runs without a file give no row, and a root without any gives an empty table.
+    """
+    reader = spark.read.option("pathGlobFilter", file_name).option("recursiveFileLookup", "true")
+    parts = F.split(plain_path(F.col("_metadata.file_path")), "/")
+    bodies = reader.text(root, wholetext=True).select(
+        F.element_at(parts, -2).alias("run"), F.element_at(parts, -3).alias("_root"), F.col("value").alias("body")
+    )
+    return parse_run_stats(bodies.filter(F.col("_root") == root.rstrip("/").rsplit("/", 1)[-1]))
+
+
+def owned_markers(spark: SparkSession, root: str, pid_file: str = PID_FILE, stats_file: str = STATS_FILE) -> DataFrame:
+    """``(run, has_pid, has_stats)`` of the run directories with a process or a statistics file; no file is opened."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    parts = F.split("path", "/")
+    files = reader.load(root).select(F.element_at(parts, -2).alias("run"), F.element_at(parts, -1).alias("_file"))
+    marks = files.groupBy("run").agg(
+        F.bool_or(F.col("_file") == pid_file).alias("has_pid"), F.bool_or(F.col("_file") == stats_file).alias("has_stats")
     )
-    return parse_run_stats(bodies)
+    return marks.filter("has_pid or has_stats")
 
 
 def parse_run_stats(bodies: DataFrame) -> DataFrame:
@@ -81,12 +107,12 @@ def parse_run_stats(bodies: DataFrame) -> DataFrame:
 
     return bodies.select(
         "run",
-        field("Training completed at", "timestamp_ntz").alias("completed_at"),
-        field("Maximum batch size", "int").alias("batch_size"),
-        field("Gradient accumulation steps", "int").alias("grad_accum"),
-        field("Effective batch size", "int").alias("effective_batch"),
-        field("Final perplexity", "double").alias("perplexity"),
-        kv_field(F.col("body"), "Total training time").alias("training_time"),
+        field(COMPLETED, "timestamp_ntz").alias("completed_at"),
+        field(BATCH, "int").alias("batch_size"),
+        field(ACCUM, "int").alias("grad_accum"),
+        field(EFFECTIVE, "int").alias("effective_batch"),
+        field(PERPLEXITY, "double").alias("perplexity"),
+        kv_field(F.col("body"), TIME).alias("training_time"),
         kv_arguments(F.col("body")).alias("args"),
     )
 
@@ -104,12 +130,12 @@ def stats_text(
     """Statistics of a run as the ``key: value`` text that :func:`parse_run_stats` reads."""
     return F.concat_ws(
         "\n",
-        F.concat(F.lit("Training completed at: "), stamp(completed_at)),
-        F.concat(F.lit("Maximum batch size: "), batch.cast("string")),
-        F.concat(F.lit("Gradient accumulation steps: "), accum.cast("string")),
-        F.concat(F.lit("Effective batch size: "), (batch * accum).cast("string")),
-        F.concat(F.lit("Final perplexity: "), F.format_string("%.2f", perplexity)),
-        F.concat(F.lit("Total training time: "), duration_text(seconds)),
+        F.concat(F.lit(COMPLETED + ": "), stamp(completed_at)),
+        F.concat(F.lit(BATCH + ": "), batch.cast("string")),
+        F.concat(F.lit(ACCUM + ": "), accum.cast("string")),
+        F.concat(F.lit(EFFECTIVE + ": "), (batch * accum).cast("string")),
+        F.concat(F.lit(PERPLEXITY + ": "), F.format_string("%.2f", perplexity)),
+        F.concat(F.lit(TIME + ": "), duration_text(seconds)),
         F.lit(""),
         F.lit("Arguments:"),
         argument_lines(args),
@@ -117,26 +143,17 @@ def stats_text(
 
 
 def summary_text() -> Column:
-    """Report section of a parsed run, with its configuration."""
+    """Report section of a parsed run: one ``name = value`` line per known fact, then its arguments."""
+    facts = ["completed_at", "batch_size", "grad_accum", "effective_batch", "perplexity", "training_time"]
+    lines = [F.concat(F.lit(f"{name} = "), F.col(name).cast("string")) for name in facts]  # null facts are skipped
+    return F.concat_ws("\n", F.concat(F.lit("run = "), F.col("run")), *lines, F.lit("arguments"), argument_lines(F.col("args")))
 
-    def line(label: str, name: str) -> Column:
-        return F.concat(F.lit(label + ": "), F.coalesce(F.col(name).cast("string"), F.lit("")))
 
-    return F.concat_ws(
-        "\n",
-        line("Experiment", "run"),
-        F.lit("-" * 41),
-        line("Maximum batch size", "batch_size"),
-        line("Gradient accumulation steps", "grad_accum"),
-        line("Effective batch size", "effective_batch"),
-        line("Final perplexity", "perplexity"),
-        line("Training time", "training_time"),
-        F.lit(""),
-        F.lit("Configuration:"),
-        argument_lines(F.col("args")),
-        F.lit(""),
-    )
+def write_summary(stats: DataFrame, path: str) -> None:
+    """One text file or more per task; a run's section is one record, ended by a blank line."""
+    stats.select(summary_text().alias("value")).write.mode("overwrite").option("lineSep", "\n\n").text(path)
 
 
-def write_summary(stats: DataFrame, path: str) -> None:
-    stats.select(summary_text().alias("value")).write.mode("overwrite").text(path)
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    """Report sections as written."""
+    return spark.read.option("lineSep", "\n\n").text(path).withColumnRenamed("value", "summary")

@@ -55,16 +55,42 @@ def windowed_usage(samples: DataFrame, window: str, delay: str, *by: str) -> Dat
             F.count(F.lit(1)).alias("samples"),
             F.max("used").alias("peak_used"),
             F.avg("used").alias("mean_used"),
+            F.max("ts").alias("newest"),
         )
         .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by, "samples",
-                "peak_used", "mean_used")
+                "peak_used", "mean_used", "newest")
+    )
+
+
+def store_updates(changed: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
+    """Store what each trigger changed under its batch number; a repeated batch replaces itself."""
+
+    def store(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+
+    return (
+        changed.writeStream.outputMode("update")
+        .foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
 def stream_usage(
     samples: DataFrame, output: str, checkpoint: str, window: str = "1 hour", delay: str = "10 minutes", by: str = "device"
 ) -> StreamingQuery:
-    return run_available(windowed_usage(samples, window, delay, by), output, checkpoint)
+    """Windows as they change, open ones included; :func:`current_usage` reads the newest state of each."""
+    return store_updates(windowed_usage(samples, window, delay, by), output, checkpoint)
+
+
+def current_usage(spark: SparkSession, output: str, delay: str = "10 minutes", by: str = "device") -> DataFrame:
+    """Each window as its newest batch left it, and whether the watermark has closed it."""
+    stored = spark.read.parquet(output)
+    keys = ["window_start", "window_end", by]
+    newest = stored.groupBy(*keys).agg(F.max_by(F.struct("samples", "peak_used", "mean_used"), "batch").alias("_row"))
+    mark = stored.agg(F.max("newest") - F.expr(f"INTERVAL {delay}")).scalar()
+    return newest.select(*keys, "_row.*", (F.col("window_end") <= F.date_trunc("MILLISECOND", mark)).alias("closed"))
 
 
 def latest_per_run(events: DataFrame, order: Column, *fields: str) -> DataFrame:
@@ -75,14 +101,35 @@ def latest_per_run(events: DataFrame, order: Column, *fields: str) -> DataFrame:
     )
 
 
+def _versions(spark: SparkSession, output: str) -> list[int]:
+    """Numbers of the complete versions of a status table, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(output)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [(f.getPath(), f.getPath().getName()) for f in system.listStatus(folder)]
+    done = [n for p, n in names if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(n.split("=")[1]) for n in done if n.startswith("version="))
+
+
 def stream_status(latest: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
-    """Keep the status table current: each trigger stores the runs that changed, under its batch number.
+    """Keep the status table current: each trigger writes the table anew with the runs that changed.
 
-    Writing a batch again replaces it, so a repeated batch after a failure changes nothing.
+    The table has one row per run, whatever the age of the stream. The version before stays until the next one is
+    complete, so a repeated batch starts from it again; older ones are deleted.
     """
 
     def store(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        spark = changed.sparkSession
+        before = [v for v in _versions(spark, output) if v < batch_id]
+        table = changed
+        if before:
+            kept = spark.read.schema(changed.schema).parquet(f"{output}/version={before[-1]}")
+            table = changed.unionByName(kept.join(changed.select("run"), "run", "left_anti"))
+        table.write.mode("overwrite").parquet(f"{output}/version={batch_id}")
+        for old in before[:-1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{output}/version={old}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     return (
         latest.writeStream.outputMode("update")
@@ -94,11 +141,8 @@ def stream_status(latest: DataFrame, output: str, checkpoint: str) -> StreamingQ
 
 
 def current_status(spark: SparkSession, output: str) -> DataFrame:
-    """The status table: each run as its newest batch left it."""
-    stored = spark.read.parquet(output)
-    fields = [c for c in stored.columns if c not in ("run", "batch")]
-    newest = stored.groupBy("run").agg(F.max_by(F.struct(*fields), "batch").alias("_row"))
-    return newest.select("run", "_row.*")
+    """The status table: its newest complete version."""
+    return spark.read.parquet(f"{output}/version={_versions(spark, output)[-1]}")
 
 
 def finish(query: StreamingQuery, then: Callable[[], DataFrame]) -> DataFrame:

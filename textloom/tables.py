@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.numbers import grad_accum
 from textloom.functions.records import classify_error
-from textloom.functions.times import log_stamp
+from textloom.functions.times import duration_text, log_stamp
 from textloom.session import spread
 from textloom.sources.runs import stats_text
 
@@ -34,32 +34,63 @@ def user_run() -> Column:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events rendered as log lines ``(run, line_no, line)``, one run per user.
+    """Events rendered as log lines ``(run, line_no, line)``, one run per user; every event kind of the grammar occurs.
 
-    Views become device lines whose text stands on a second line without a time; the other types become
-    memory, trial, trial result, batch size, epoch, stage and dataset size lines.
+    An event is one line or two. Device lines and arguments stand on a second line without a time; a safe
+    size that works is reported twice, as some logs do.
     """
-    value, size = F.col("value"), (F.col("event_id") % 64 + 1).cast("string")
-    text = value.cast("string")
-    device = F.concat(F.lit("GPU Memory Usage: GPU "), F.col("user_id") % 8, F.lit(": "), text, F.lit("MB/512.0MB (0.0%)"))
-    memory = F.concat(F.lit("RAM Usage: "), text, F.lit("GB/1082.0GB (0.0%)"))
-    trial = F.concat(F.lit("Trying batch size: "), size, F.lit(" with gradient accumulation steps: 1"))
-    misfit = F.when(value < 120, F.concat(F.lit("OOM error at batch size "), size)).otherwise(
-        F.concat(F.lit("Error at batch size "), size, F.lit(": "), F.col("props"))
+    number, value = F.col("event_id").cast("string"), F.col("value")
+    size, text = (F.col("event_id") % 64 + 1).cast("string"), value.cast("string")
+    path = F.concat(F.lit("/in/my doc "), number, F.lit(".src"))
+
+    def said(*pieces) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
+
+    head = said(log_stamp(F.col("ts")), " - INFO - ")
+    device = said("GPU Memory Usage: GPU ", (F.col("user_id") % 8).cast("string"), ": ", text, "MB/512.0MB (0.0%)")
+    misfit = F.when(value < 120, said("OOM error at batch size ", size)).otherwise(
+        said("Error at batch size ", size, ": ", F.col("props"))
     )
+    others = [
+        F.array(said(head, "Train dataset size: ", number, " samples")),
+        F.array(said(head, "Eval dataset size: ", number, " samples")),
+        F.array(said(head, "Training on ", number, " files, testing on ", size, " files")),
+        F.array(said(head, "Initial search range: ", size, " to ", number)),
+        F.array(said(head, "Testing a safe batch size of ", size, " first")),
+        F.array(said(head, "Safe batch size ", size, " works! Going on..."), said(head, "Batch size ", size, " works!")),
+        F.array(said(head, "Loading tokenized datasets from cache")),
+        F.array(said(head, "Cache not found, making it")),
+        F.array(said(head, "Final evaluation metrics: {'eval_loss': ", text, ", 'epoch': 1.0}")),
+        F.array(said(head, "Training complete in ", duration_text(value), "!")),
+        F.array(said(head, "Error on page ", size, " of ", path, ": bad")),
+        F.array(said(head, "Arguments:"), said("  seed: ", number)),
+        F.array(said(head, "Found ", number, " source files")),
+        F.array(said(head, "Successfully processed ", path)),
+        F.array(said(head, "Extracted text too short for ", path)),
+        F.array(said(head, "Error processing ", path, ": worse")),
+        F.array(said(head, "Even safe batch size ", size, " fails")),
+        F.array(said(head, "Maximum batch size: ", size)),
+        F.array(said(head, "Gradient accumulation steps: ", size)),
+        F.array(said(head, "Final perplexity: ", text)),
+    ]
+    other = others[-1]
+    for i, lines in enumerate(others[:-1]):
+        other = F.when(F.col("event_id") % len(others) == i, lines).otherwise(other)
     progress = (
-        F.when(value < 40, F.concat(F.lit("Batch size "), size, F.lit(" works!")))
-        .when(value < 80, F.concat(F.lit("Maximum batch size found: "), size))
-        .when(value < 120, F.concat(F.lit("Epoch "), F.col("event_id") % 3 + 1, F.lit("/3")))
-        .when(value < 200, F.concat(F.lit("Step "), F.col("event_id") % 6 + 1, F.lit(": next stage...")))
-        .otherwise(F.concat(F.lit("Train dataset size: "), F.col("event_id"), F.lit(" samples")))
+        F.when(value < 40, F.array(said(head, "Batch size ", size, " works!")))
+        .when(value < 80, F.array(said(head, "Maximum batch size found: ", size)))
+        .when(value < 120, F.array(said(head, "Epoch ", (F.col("event_id") % 3 + 1).cast("string"), "/3")))
+        .when(value < 160, F.array(said(head, "Step ", (F.col("event_id") % 6 + 1).cast("string"), ": next stage ", size)))
+        .otherwise(other)
     )
     kind = F.col("event_type")
-    message = (
-        F.when(kind == "click", memory).when(kind == "purchase", trial).when(kind == "error", misfit).otherwise(progress)
+    lines = (
+        F.when(kind == "view", F.array(head, device))
+        .when(kind == "click", F.array(said(head, "RAM Usage: ", text, "GB/1082.0GB (0.0%)")))
+        .when(kind == "purchase", F.array(said(head, "Trying batch size: ", size, " with gradient accumulation steps: 1")))
+        .when(kind == "error", F.array(said(head, misfit)))
+        .otherwise(progress)
     )
-    head = F.concat(log_stamp(F.col("ts")), F.lit(" - INFO - "))
-    lines = F.when(kind == "view", F.array(head, device)).otherwise(F.array(F.concat(head, message)))
     return (
         spread(load(spark, sf_dir, "events"), "event_id")
         .select(user_run().alias("run"), "event_id", F.posexplode(lines).alias("_part", "line"))
