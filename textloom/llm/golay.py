@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.llm.common import discard, free_name, store, utf8
 from textloom.llm.components import components
@@ -78,7 +79,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return majority(np.array(values, np.uint64))
 
 
-@F.arrow_udf("bigint")
+@F.arrow_udf(T.LongType())
 def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Fingerprint of each text as a signed long."""
     for texts in batches:

@@ -2,7 +2,9 @@
 
 Two generative models share the buckets of hashed one and two word windows (punctuation runs are words): one is
 counted on the target, labelled rows that count as good text, the other on all documents. A document's log weight is
-the sum over its windows of the log ratio of the two smoothed models. Adding standard Gumbel noise to each log
+the mean over its windows of the log ratio of the two smoothed models, times a standard length of ``LENGTH`` windows, so
+that long documents compete on the same terms; log ratios within ``IGNORED`` of zero count as zero, for a sample's
+mix of languages and subjects differs that much by chance, and such differences would add up over a text. Adding standard Gumbel noise to each log
 weight and keeping the k largest sums draws k documents without replacement in proportion to their weights.
 
 The raw model is counted over every document: a task sums its windows into one row per bucket before anything is
@@ -29,9 +31,11 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import SpanHasher, grams, pieces, store, utf8, word_spans
 
-BUCKET_BITS = 16
+BUCKET_BITS = 18
 TARGET_ROWS = 20_000
-SMOOTHING = 1.0
+SMOOTHING = 4.0  # windows added to the target's count of a bucket and to the count the raw model expects there
+LENGTH = 200.0  # windows of a document of standard length
+IGNORED = 0.35
 SEED = 11
 BINS = 4_096
 
@@ -70,11 +74,14 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
 
 
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Log of target over raw probability per bucket, both smoothed towards the raw model."""
-    general = (raw + SMOOTHING) / (raw + SMOOTHING).sum()
-    prior = SMOOTHING * len(raw) * general
-    own = (target + prior) / (target + prior).sum()
-    return np.log(own) - np.log(general)
+    """Log of target over raw probability per bucket.
+
+    The raw model says how many of the target's windows to expect in a bucket. Both counts get the same addition, so
+    a bucket with little evidence has a ratio near one, whatever the size of the corpus.
+    """
+    expected = raw * (target.sum() / max(raw.sum(), 1.0))
+    ratio = np.log((target + SMOOTHING) / (expected + SMOOTHING))
+    return np.sign(ratio) * np.maximum(np.abs(ratio) - IGNORED, 0.0)
 
 
 def weigher(ratio: np.ndarray):
@@ -89,7 +96,9 @@ def weigher(ratio: np.ndarray):
                 running = np.append(0, np.cumsum(ratio[bucket]))
                 ends = np.cumsum(per)
                 sums = running[ends] - running[ends - per]
-                out[first:last] = sums[: last - first] + sums[last - first :]
+                n = last - first
+                windows = np.maximum(per[:n] + per[n:], 1)
+                out[first:last] = (sums[:n] + sums[n:]) / windows * LENGTH
             yield pa.array(out)
 
     return weigh
