@@ -478,10 +478,18 @@ SELECT run, 'Training completed at: ' || strftime(completed_at, '%Y-%m-%d %H:%M:
 
 @query("write_run_stats", BODY_SQL)
 def write_run_stats(spark, sf_dir):
-    """Statistics texts written as Parquet rows and read back."""
+    """Statistics stored as typed rows with a map of arguments, read back and rendered as text."""
     path = work_path(spark, "run_stats")
-    run_stats(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
+    sources.write_run_stats(sources.parse_run_stats(run_stats(spark, sf_dir)), path)
+    body = sources.stats_text(
+        F.col("completed_at"),
+        F.col("batch_size"),
+        F.col("grad_accum"),
+        F.col("perplexity"),
+        times.parse_duration("training_time"),
+        F.col("args"),
+    )
+    return spark.read.parquet(path).select("run", body.alias("body"))
 
 
 @query(

@@ -142,6 +142,11 @@ def stats_text(
     )
 
 
+def write_run_stats(stats: DataFrame, path: str, mode: str = "append") -> None:
+    """Parsed statistics as Parquet rows: typed facts and the map of arguments of each run."""
+    stats.write.mode(mode).parquet(path)
+
+
 def summary_text() -> Column:
     """Report section of a parsed run: one ``name = value`` line per known fact, then its arguments."""
     facts = ["completed_at", "batch_size", "grad_accum", "effective_batch", "perplexity", "training_time"]
