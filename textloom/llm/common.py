@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from textloom.session import work_path
 
 PIECE_BYTES = 1 << 20
+ARROW_BYTES = 4 << 20
 #: A word for size and shingle counts: a run without space or the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -30,6 +31,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Have the session hand Python workers batches of about ``ARROW_BYTES``; a batch of rows has no such bound.
+
+    Long texts stand in every table of texts, so this is set for the session where an operator runs, and stays set.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return df
+
+
 def free_name(df: DataFrame, label: str) -> str:
     """A column name that no column of the table has, whatever its case."""
     taken = {c.lower() for c in df.columns}
@@ -60,7 +70,9 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts and the offsets of each; a null is an empty text."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = texts.cast(pa.large_string())
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
     _, offsets, data = texts.buffers()
     at = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     body = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)

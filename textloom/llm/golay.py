@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import discard, free_name, store, utf8
+from textloom.llm.common import bounded_batches, discard, free_name, store, utf8
 from textloom.llm.components import components
 
 MAX_BITS = 4
@@ -84,14 +84,13 @@ def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Fingerprint of each text as a signed long."""
     for texts in batches:
         body, offsets = utf8(texts)
-        whole = body.tobytes()
-        values = [fingerprint(whole[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        values = [fingerprint(body[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
         yield pa.array(np.array(values, np.uint64).view(np.int64))
 
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``(doc_id, fp)``, one row per row of the table."""
-    return docs.select(F.col(doc_id).alias("doc_id"), simhash(F.col(text)).alias("fp"))
+    return bounded_batches(docs).select(F.col(doc_id).alias("doc_id"), simhash(F.col(text)).alias("fp"))
 
 
 # --- keys ------------------------------------------------------------------------------------------------------

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import SpanHasher, grams, pieces, store, utf8, word_spans
+from textloom.llm.common import SpanHasher, bounded_batches, grams, pieces, store, utf8, word_spans
 
 BUCKET_BITS = 18
 TARGET_ROWS = 20_000
@@ -154,7 +154,7 @@ def resample(
     n_labels, n_good = marked.agg(F.count(F.lit(1)), F.count_if("good")).first()
     chosen = marked.filter("good").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(target_rows)
     target = docs.join(F.broadcast(chosen), docs[doc_id] == chosen["id"], "left_semi")  # at most target_rows ids
-    texts = docs.select(F.col(text).alias("text"))
+    texts = bounded_batches(docs).select(F.col(text).alias("text"))
     raw_counts = bucket_counts(texts)
     target_counts = bucket_counts(target.select(F.col(text).alias("text"))) if n_good else raw_counts
     weigh = weigher(log_ratio(target_counts, raw_counts))

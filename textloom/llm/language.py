@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import pieces, utf8
+from textloom.llm.common import bounded_batches, pieces, utf8
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 3_000
@@ -151,16 +151,19 @@ def train(
     chosen = known.withColumn("turn", turn).filter(F.col("turn") <= sample_rows).orderBy("turn", "at", "id")
     chosen = chosen.limit(sample_rows).select("id").distinct()
     rows = (
-        docs.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
+        bounded_batches(docs).filter(F.col(label).isNotNull() & F.col(text).isNotNull())
         .select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"), F.col(doc_id).alias("id"))
         .join(F.broadcast(chosen), "id", "left_semi")  # at most sample_rows ids
         .select("text", "label")
         .mapInArrow(_examples, "label string, short boolean, bucket array<int>, n array<int>")
         .toArrow()
     )
-    examples = [
-        (label, short, np.asarray(bucket, np.int64), np.asarray(n, np.float64))
-        for label, short, bucket, n in zip(*(rows.column(i).to_pylist() for i in range(4)))
+    labels, shorts, buckets, counts = (rows.column(i).combine_chunks() for i in range(4))
+    flat, ends = buckets.flatten().to_numpy(), buckets.offsets.to_numpy() - buckets.offsets[0].as_py()
+    weight = counts.flatten().to_numpy()
+    examples = [  # views of two arrays
+        (label, short, flat[a:b], weight[a:b])
+        for label, short, a, b in zip(labels.to_pylist(), shorts.to_pylist(), ends[:-1].tolist(), ends[1:].tolist())
     ]
     examples.sort(key=lambda e: (e[0], e[1], len(e[2]), e[2][:32].tolist(), float(e[3].sum())))
     return _fit(examples, reject_rate, epochs)

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import SpanHasher, discard, free_name, grams, pieces, store, utf8, word_spans
+from textloom.llm.common import SpanHasher, bounded_batches, free_name, grams, pieces, store, utf8, word_spans
 
 SEED_WORDS = 5
 MIN_TILE = 3
@@ -36,7 +36,6 @@ COVERAGE = 0.8
 FILTER_BITS = 24  # 2^24 bits, 2 MB
 PROBES = 3
 WORDS = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-KINDS = "key binary, seed long"
 
 
 # --- tiling of one pair ----------------------------------------------------------------------------------------
@@ -210,18 +209,17 @@ def leaked_texts(
     docs: DataFrame, benchmark: DataFrame, text: str, doc_id: str, item_text: str, item_id: str, least: float
 ) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, key)`` of suspect documents, and ``(key, item_id, coverage)`` of leaks; the key stands for a text."""
-    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("item"))
+    items = bounded_batches(benchmark).select(F.col(item_id).alias("item_id"), F.col(item_text).alias("item"))
     items = items.filter(F.col("item").isNotNull()).withColumn("item_key", F.md5("item")).distinct()
     seeds, _ = store(
         items.select("item_key", "item").distinct().mapInArrow(_item_seeds, "item_key string, seed long, n int"), "seeds"
     )
     lengths = sorted(r.n for r in seeds.select("n").distinct().collect())  # at most SEED_WORDS numbers
     bits = seed_filter(seeds)
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    schema = texts.withColumn("seeds", F.array(F.lit(0).cast("long"))).schema
     suspects, _ = store(
-        docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-        .mapInArrow(_suspects(bits, lengths or [SEED_WORDS]), docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.array(F.lit(0).cast("long")).alias("seeds")).schema)
-        .withColumn("key", F.md5("text")),
-        "suspects",
+        texts.mapInArrow(_suspects(bits, lengths or [SEED_WORDS]), schema).withColumn("key", F.md5("text")), "suspects"
     )
     texts = suspects.groupBy("key").agg(F.first("text").alias("text"))
     pairs = (
