@@ -19,7 +19,7 @@ written, in the order of their texts. An empty table gives an empty result. Othe
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import SpanHasher, pieces, utf8, worker_store
+from textloom.llm.common import SpanHasher, bounded_batches, pieces, utf8, worker_store
 from textloom.session import work_path
 
 END = 0
 ROW_INDEX = 1_000
 STRIPE_BYTES = 16 << 20
-KNOWN_WORDS = 500_000  # words a worker remembers
-BATCH_BYTES = 4 << 20
+KNOWN_WORDS = 300_000  # words a worker remembers
+BATCH_BYTES = 2 << 20
 
 SCHEMA = T.StructType(
     [
@@ -120,7 +120,7 @@ class WordTable:
         self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
         self.ids, self.filled = np.zeros(1 << 18, np.int32), 0
 
-    def add(self, word: bytes, ids: list[int]) -> None:
+    def add(self, word: bytes, ids: Sequence[int]) -> None:
         n, end = len(self.number), self.filled + len(ids)
         if n == len(self.begin):
             self.begin, self.size = np.resize(self.begin, 2 * n), np.resize(self.size, 2 * n)
@@ -152,7 +152,12 @@ class Encoder:
         """Number of each word in the worker's table; unknown words go through the library's model."""
         table = self.kept["words"]
         if len(table.number) + len(words) > max(KNOWN_WORDS, 2 * len(words)):
-            table = self.kept["words"] = WordTable()
+            old, table = table, WordTable()
+            self.kept["words"] = table
+            for word in dict.fromkeys(words):  # the words in use, frequent ones among them, stay known
+                n = old.number.get(word)
+                if n is not None:
+                    table.add(word, old.ids[old.begin[n] : old.begin[n] + old.size[n]])
         for word in {w for w in words if w not in table.number}:
             found = self.model.tokenize(word.decode("latin-1").translate(self.letters))
             table.add(word, [t.id for t in found])
@@ -243,7 +248,7 @@ def write_tokens(
     docs: DataFrame, path: str, tokenizer: str, text: str = "text", doc_id: str = "doc_id", end_id: int = END
 ) -> None:
     """Encode every text and write the ORC files in ascending order of the document id."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = bounded_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     (
         rows.repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
