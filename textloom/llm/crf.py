@@ -25,9 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import bounded_batches
 from textloom.llm.html_blocks import Block, Element, labelled_pages, leaf_blocks
 
-TRAIN_PAGES = 800
+TRAIN_PAGES = 1_500
 EPOCHS = 8
 RATE = 0.15
 DECAY = 1e-4
@@ -53,8 +54,8 @@ def path_features(path: tuple[Element, ...]) -> tuple[str, ...]:
     return tuple(dict.fromkeys(out))
 
 
-def text_features(block: Block, place: float) -> list[str]:
-    """Features of a block's own text and its place in the page."""
+def text_features(block: Block) -> list[str]:
+    """Features of a block's own text."""
     text, n = block.text, len(block.text)
     linked = min(1.0, block.link_chars / n)
     out = [
@@ -62,7 +63,6 @@ def text_features(block: Block, place: float) -> list[str]:
         f"links={int(linked * 4)}",
         f"ends={text[-1] if text[-1] in '.!?:,;' else 'other'}",
         f"stops={min(text.count('. ') + text.count('! ') + text.count('? '), 4)}",
-        f"place={int(place * 5)}",
     ]
     if block.fields:
         out.append("fields")
@@ -87,15 +87,15 @@ class BlockField:
         if not blocks:
             return ""
         seen = {} if seen is None else seen
-        scores, n = [], len(blocks)
+        scores = []
         get = self.weights.get
-        for k, block in enumerate(blocks):
+        for block in blocks:
             base = seen.get(block.path)
             if base is None:
                 if len(seen) > 50_000:
                     seen.clear()
                 base = seen[block.path] = sum(get(f, 0.0) for f in path_features(block.path))
-            scores.append(base + sum(get(f, 0.0) for f in text_features(block, k / n)))
+            scores.append(base + sum(get(f, 0.0) for f in text_features(block)))
         return " ".join(b.text for b, label in zip(blocks, self.viterbi(scores)) if label)
 
     def viterbi(self, scores: list[float]) -> list[int]:
@@ -145,7 +145,7 @@ def train(pages: list[list[Block]], epochs: int = EPOCHS, seed: int = SEED) -> B
     for page in pages:
         rows, columns = [], []
         for k, block in enumerate(page):
-            for f in (*path_features(block.path), *text_features(block, k / len(page))):
+            for f in (*path_features(block.path), *text_features(block)):
                 rows.append(k)
                 columns.append(number.setdefault(f, len(number)))
         data.append((np.array(rows), np.array(columns), np.array([b.gold for b in page])))
@@ -193,5 +193,5 @@ def extract_main(
 ) -> DataFrame:
     """``(page_id, url, text, n_chars)``, one row per row of the table."""
     text = main_text(F.col(html), field or trained_field())
-    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), text.alias("text"))
+    rows = bounded_batches(pages).select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), text.alias("text"))
     return rows.withColumn("n_chars", F.char_length("text").cast("long"))

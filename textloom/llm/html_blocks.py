@@ -264,6 +264,8 @@ class PageMaker:
         pieces = [self.piece() for _ in range(r.choice((1, 2, 3, 5, 8, 12, 20)))]
         if r.random() < 0.1:
             pieces = [self.prose(2, 9)]
+        if r.random() < 0.1:  # very short articles
+            head, pieces = r.choice((head, "")), [f"<p>{self.words(1, 4).capitalize()}.</p>" for _ in range(r.randint(1, 3))]
         for kind in ("ad", "share", "side", "notice"):
             if r.random() < 0.2:
                 part = self.around(kind).replace("<", '<gold data-gold="0"><', 1) + "</gold>"
@@ -279,11 +281,14 @@ class PageMaker:
         else:
             tag, name = r.choice(("div", "section", "td")), r.choice(BODIES)
             name += r.choice(("", "", "-body", "-text", " main", "-inner"))
-            body = f'<{tag} class="{name}" data-gold="1">{body}</{tag}>'
+            named = f' class="{name}"' if r.random() < 0.75 else ""
+            body = f'<{tag}{named} data-gold="1">{body}</{tag}>'
         if r.random() < 0.3:
             body = self.named("div", BODIES + ("wrap", "container", "row"), body)
         before = [k for k in ("notice", "head", "menu", "ad", "side", "form", "share") if r.random() < 0.4]
         after = [k for k in ("share", "ad", "comments", "form", "side", "foot", "notice") if r.random() < 0.4]
+        bare = r.random()  # some pages begin or end with their article
+        before, after = ([] if bare < 0.35 else before), ([] if 0.15 < bare < 0.5 else after)
         inner = "".join(self.around(k) for k in before) + body + "".join(self.around(k) for k in after)
         ends = "</body></html>" if r.random() < 0.8 else ""
         return f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{margin:0}}</style></head><body>{inner}{ends}"
