@@ -79,7 +79,7 @@ def chunk_stats(
     Chunks are counted inside the row of their document; only the sums per group are shuffled.
     """
     sizes = _pieces(documents, list(by), separator, limit, text_col).select(
-        *by, F.transform("_pieces", lambda c: F.length(c)).alias("_sizes")
+        *by, F.explode(F.array(F.transform("_pieces", lambda c: F.length(c)))).alias("_sizes")  # packed once per row
     )
     per_document = sizes.filter(F.size("_sizes") > 0).select(
         *by,

@@ -175,7 +175,8 @@ def _with_ids(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     whole = found.groupBy(*keys).agg(F.first("ids", ignorenulls=True).alias("_head"), F.collect_list(placed).alias("_rest"))
     head = F.transform("_head", lambda x, i: F.struct(i.alias("pos"), x.alias("id")))
     merged = F.concat(F.filter(head, lambda p: p["id"].isNotNull()), "_rest")
-    return whole.select(*keys, F.sort_array(merged)["id"].alias("_ids"))
+    # the generator keeps the sort from being repeated in every use of the column
+    return whole.select(*keys, F.explode(F.array(F.sort_array(merged)["id"])).alias("_ids"))
 
 
 def causal_labels(input_ids: Column, pad: int = PAD) -> Column:
