@@ -84,3 +84,49 @@ def test_odd_rows(spark):
     assert tiling.leaks(docs, items(spark).limit(0)).count() == 0
     self_match = docs.select("doc_id", "text").filter("doc_id = 11")
     assert tiling.leaks(self_match, spark.createDataFrame([(1, "word " * 20)], "item_id long, text string")).count() == 1
+
+
+def test_leaks_without_a_long_run(spark):
+    one, two = helpers.prose(1, 40).split(), helpers.prose(2, 25).split()
+    cut = lambda w, n: [w[i : i + n] for i in range(0, len(w), n)]
+    back = lambda w, n: " ".join(" ".join(p) for p in reversed(cut(w, n)))
+    clean = helpers.prose(9, 300)
+    docs = [
+        (1, back(one, 4)),
+        (2, clean + " " + back(two[:24], 3) + " " + clean),  # 24 of 25 words
+        (3, " ".join(" ".join(p[:4] + ["changed"]) for p in cut(one, 5))),  # 80 %
+        (4, " ".join(" ".join(p + ["inserted"]) for p in cut(one, 4))),
+        (5, " ".join(" ".join(p[:3] + ["changed"]) for p in cut(one, 4))),  # 75 %
+        (6, " ".join(" ".join(p) for p in reversed(cut(one, 2)))),  # parts below a tile
+        (7, clean),
+        (None, back(one, 3) + " " + one[0]),
+    ]
+    frame = spark.createDataFrame([(i, t, None, None, None) for i, t in docs], helpers.DOCS)
+    got = helpers.rows_of(tiling.leaks(frame, items(spark)), "doc_id", "item_id")
+    assert got == sorted([(1, 1), (2, 2), (3, 1), (4, 1), (None, 1)], key=repr)
+    kept = tiling.without_leaks(frame, items(spark))
+    assert sorted(r.doc_id for r in kept.collect()) == [5, 6, 7]
+
+
+def all_leaks(docs, bench):
+    """Pairs by coverage alone, without candidates."""
+    docs, bench = ([(k, tiling.words_of((t or "").lower().encode())) for k, t in x] for x in (docs, bench))
+    return sorted(((d, i) for d, w in docs for i, own in bench if own and tiling.coverage(own, w) >= 0.8), key=repr)
+
+
+def test_candidates_lose_no_pair(spark):
+    r = random.Random(11)
+    words = lambda n: " ".join(r.choice("abcdef") for _ in range(n))
+    bench = [(i, words(r.randint(1, 14))) for i in range(40)]
+    docs = [(i, words(r.randint(0, 40))) for i in range(150)]
+    want = all_leaks(docs, bench)
+    got = tiling.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    assert helpers.rows_of(got, "doc_id", "item_id") == want and want
+
+
+def test_query_matches_coverage_of_all_pairs(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in plans.table(spark, sf, "documents").collect()]
+    bench = [(r.item_id, r.text) for r in plans.table(spark, sf, "benchmark").collect()]
+    want = all_leaks(docs, bench)
+    assert helpers.rows_of(plans.QUERIES["op2_decontamination"](spark, sf), "doc_id", "item_id") == want and want

@@ -1,15 +1,17 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words are lower-cased runs of letters and digits. Seeds are hashed windows of five words (of a shorter item: all
-its words). The seeds of the benchmark fill a Bloom filter of a fixed number of bits, which every task has; a
-document that holds a seed of the filter goes on, with those seeds, to an equi-join with the benchmark's seeds.
+Words are lower-cased runs of letters and digits. Seeds are hashed windows of ``MIN_TILE`` words (of a shorter item:
+all its words), so every tile holds a seed. The seeds of the benchmark fill a Bloom filter of a fixed number of bits,
+which every task has. A document whose words under seeds of the filter could cover the shortest item goes on, with
+those seeds, to an equi-join with the benchmark's seeds; a pair is a candidate when the words of the item under shared
+seeds reach the coverage asked for. All tiles lie under shared seeds, so neither bound loses a leak.
 Each candidate pair of text and item is then tiled: Karp-Rabin windows find where runs of words of the item occur
 in the text, and the longest match is marked again and again, words marked once each, until none of ``MIN_TILE``
 words is left. The share of the item's words under tiles is the coverage; from ``COVERAGE`` on, the item has
 leaked, whatever the order its parts stand in.
 
 The filter has a fixed size, so nothing that is sent to all tasks grows; when it fills, more documents pass it and
-the join decides, with equal results. Texts are shuffled only when a seed matched, once for all copies of a text.
+the join decides, with equal results. Texts are shuffled only for candidate pairs, once for all copies of a text.
 
 Results for odd input: null, empty and wordless texts and items match nothing. Repeated items and repeated texts give
 the same coverage; the result has one row per document id and item id, with the highest coverage. A null document
@@ -30,7 +32,6 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import SpanHasher, bounded_batches, free_name, grams, pieces, store, utf8, word_spans
 
-SEED_WORDS = 5
 MIN_TILE = 3
 COVERAGE = 0.8
 FILTER_BITS = 24  # 2^24 bits, 2 MB
@@ -111,20 +112,22 @@ def coverage(item: list[bytes], text: list[bytes], least: int = MIN_TILE) -> flo
 # --- candidates ------------------------------------------------------------------------------------------------
 
 
-def text_seeds(texts: pa.Array, lengths: list[int], hasher: SpanHasher) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each piece of a batch: number of its first text, seeds, and the text of each seed."""
+def text_seeds(
+    texts: pa.Array, lengths: list[int], hasher: SpanHasher
+) -> Iterator[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """For each piece of a batch and each length: seeds, the text of each seed, and its place among the text's words."""
     body, offsets = utf8(pc.utf8_lower(texts))
     for first, last in pieces(offsets):
         at = offsets[first : last + 1]
         part, at = body[at[0] : at[-1]], at - at[0]
         starts, ends, counts = word_spans(part, at, punctuation=False)
         words = hasher(part, starts, ends)
-        seeds, rows = [], []
+        found = []
         for n in lengths:
             h, per = grams(words, counts, n)
-            seeds.append(h ^ np.uint64(n))
-            rows.append(np.repeat(np.arange(first, last), per))
-        yield first, np.concatenate(seeds), np.concatenate(rows)
+            places = np.arange(len(h)) - np.repeat(np.cumsum(per) - per, per)
+            found.append((h ^ np.uint64(n), np.repeat(np.arange(first, last), per), places))
+        yield found
 
 
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,17 +135,19 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lower = pc.utf8_lower(batch.column(1))
         sizes = np.array([len(words_of(t.encode())) if t else 0 for t in lower.to_pylist()])
-        for n in range(1, SEED_WORDS + 1):
-            own = np.flatnonzero(sizes == n if n < SEED_WORDS else sizes >= n)
+        for n in range(1, MIN_TILE + 1):
+            own = np.flatnonzero(sizes == n if n < MIN_TILE else sizes >= n)
             if len(own):
-                for _, seeds, rows in text_seeds(lower.take(pa.array(own)), [n], hasher):
+                for [(seeds, rows, places)] in text_seeds(lower.take(pa.array(own)), [n], hasher):
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(own[rows])),
                             pa.array(seeds.view(np.int64)),
+                            pa.array(places.astype(np.int32)),
                             pa.array(np.full(len(seeds), n, np.int32)),
+                            pa.array(sizes[own[rows]].astype(np.int32)),
                         ],
-                        names=["item_key", "seed", "n"],
+                        names=["item_key", "seed", "place", "n", "words"],
                     )
 
 
@@ -168,20 +173,37 @@ def seed_filter(seeds: DataFrame) -> bytes:
     return table.tobytes()
 
 
-def _suspects(bits: bytes, lengths: list[int]):
+def least_words(words: int, least: float) -> int:
+    """Words of an item of ``words`` words that tiles must cover for a coverage of ``least``."""
+    return next((c for c in range(1, words + 1) if c / words >= least), words + 1)
+
+
+def _suspects(bits: bytes, needed: dict[int, int]):
+    """Texts with those seeds of the filter under which at least ``needed[length of the seed]`` of their words lie."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(bits, np.uint64)
         hasher = SpanHasher()
         for batch in batches:
-            for _, seeds, rows in text_seeds(batch.column(1), lengths, hasher):
-                hit = np.ones(len(seeds), bool)
-                for place in probes(seeds):
-                    left = np.flatnonzero(hit)
-                    word = table[(place[left] >> np.uint64(6)).astype(np.int64)]
-                    hit[left] = (word >> (place[left] & np.uint64(63)) & np.uint64(1)).astype(bool)
-                seeds, rows = seeds[hit], rows[hit]
+            for found in text_seeds(batch.column(1), list(needed), hasher):
+                kept_seeds, kept_rows = [], []
+                for (n, need), (seeds, rows, at) in zip(needed.items(), found):
+                    hit = np.ones(len(seeds), bool)
+                    for place in probes(seeds):
+                        left = np.flatnonzero(hit)
+                        word = table[(place[left] >> np.uint64(6)).astype(np.int64)]
+                        hit[left] = (word >> (place[left] & np.uint64(63)) & np.uint64(1)).astype(bool)
+                    seeds, rows, at = seeds[hit], rows[hit], at[hit]
+                    if len(rows):
+                        fresh = np.full(len(rows), n)  # words that the seed before does not hold
+                        fresh[1:] = np.where(rows[1:] == rows[:-1], np.minimum(n, np.diff(at)), n)
+                        enough = np.bincount(rows, fresh)[rows] >= need
+                        kept_seeds.append(seeds[enough])
+                        kept_rows.append(rows[enough])
+                seeds = np.concatenate(kept_seeds) if kept_seeds else np.zeros(0, np.uint64)
+                rows = np.concatenate(kept_rows) if kept_rows else np.zeros(0, np.int64)
                 if len(rows):
-                    own, first = np.unique(rows, return_index=True)  # rows of one text need not be together
+                    own = np.unique(rows)  # rows of one text need not be together
                     order = np.argsort(rows, kind="stable")
                     counts = np.bincount(rows)[own]
                     lists = pa.ListArray.from_arrays(
@@ -195,6 +217,30 @@ def _suspects(bits: bytes, lengths: list[int]):
     return run
 
 
+def candidates(suspects: DataFrame, seeds: DataFrame, least: float) -> DataFrame:
+    """``(key, item_key)`` where the item's words under shared seeds reach ``least`` of its words.
+
+    Not more than an item's own places are collected for a pair.
+    """
+    shared = (
+        suspects.select("key", F.explode("seeds").alias("seed"))
+        .distinct()
+        .join(seeds, "seed")
+        .groupBy("key", "item_key", "n", "words")
+        .agg(F.array_sort(F.collect_set("place")).alias("places"))
+    )
+    covered = F.aggregate(
+        "places",
+        F.struct(F.lit(0).alias("words"), F.lit(0).alias("end")),
+        lambda done, at: F.struct(
+            (done["words"] + at + F.col("n") - F.greatest(done["end"], at)).alias("words"),
+            (at + F.col("n")).alias("end"),
+        ),
+        lambda done: done["words"],
+    )
+    return shared.filter(covered / F.col("words") >= least).select("key", "item_key")
+
+
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = pc.utf8_lower(batch.column(2)).to_pylist()
@@ -212,23 +258,22 @@ def leaked_texts(
     items = bounded_batches(benchmark).select(F.col(item_id).alias("item_id"), F.col(item_text).alias("item"))
     items = items.filter(F.col("item").isNotNull()).withColumn("item_key", F.md5("item")).distinct()
     seeds, _ = store(
-        items.select("item_key", "item").distinct().mapInArrow(_item_seeds, "item_key string, seed long, n int"), "seeds"
+        items.select("item_key", "item")
+        .distinct()
+        .mapInArrow(_item_seeds, "item_key string, seed long, place int, n int, words int"),
+        "seeds",
     )
-    lengths = sorted(r.n for r in seeds.select("n").distinct().collect())  # at most SEED_WORDS numbers
+    shortest = seeds.groupBy("n").agg(F.min("words").alias("words")).collect()  # at most MIN_TILE rows
+    needed = {r.n: least_words(r.words, least) for r in shortest}
     bits = seed_filter(seeds)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = texts.withColumn("seeds", F.array(F.lit(0).cast("long"))).schema
     suspects, _ = store(
-        texts.mapInArrow(_suspects(bits, lengths or [SEED_WORDS]), schema).withColumn("key", F.md5("text")), "suspects"
-    )
-    texts = suspects.groupBy("key").agg(F.first("text").alias("text"))
-    pairs = (
-        suspects.select("key", F.explode("seeds").alias("seed"))
-        .distinct()
-        .join(seeds.select("item_key", "seed").distinct(), "seed")
-        .select("key", "item_key")
-        .distinct()
+        texts.mapInArrow(_suspects(bits, needed), schema).withColumn("key", F.md5("text")), "suspects"
     )
+    pairs, _ = store(candidates(suspects, seeds, least), "candidates")
+    texts = suspects.join(pairs.select("key").distinct(), "key", "left_semi")
+    texts = texts.groupBy("key").agg(F.first("text").alias("text"))
     scored = (
         pairs.join(items, "item_key")
         .join(texts, "key")
