@@ -71,3 +71,17 @@ def test_filter_and_empty_tables(spark):
     empty = helpers.no_docs(spark)
     assert language.accepted(empty).columns == empty.columns and language.accepted(empty).count() == 0
     assert language.accepted(helpers.odd_docs(spark).limit(0)).count() == 0
+
+
+def test_few_odd_rows_do_not_set_the_threshold(spark):
+    r = np.random.default_rng(3)
+    odd = lambda: " ".join("".join(chr(c) for c in r.integers(0x4E00, 0x9FFF, 6)) for _ in range(3))
+    rows = [(i, odd() if i % 151 == 1 else t, lang) for i, t, lang in map(tuple, two_languages(spark, 4_000).collect())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, sample_rows=420, reject_rate=0.01)
+    told = language.identify(docs.filter("doc_id % 151 != 1"), model)
+    assert told.filter("rejected").count() <= 0.01 * 4_000
+    texts = ["это русский текст о погоде и о доме", "שלום עולם זה טקסט בעברית", "kala mola tula", "zwrt brzk strn"]
+    few = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.rejected for x in language.identify(few, model).collect()}
+    assert got == {0: True, 1: True, 2: False, 3: False}, (model.threshold, model.temperature)

@@ -7,7 +7,8 @@ layers are trained in numpy by stochastic gradient descent on a bounded, hash-or
 
 A temperature fitted on rows kept out of the training turns the softmax into a calibrated score. A text is
 rejected when it has no letter or when its score lies below the threshold that rejects at most
-``reject_rate`` of those rows.
+``reject_rate`` of the labelled rows with a letter that are neither held out nor learned from. All of them are
+scored for that, in one pass that counts scores by steps of 1 / ``SCORE_STEPS``.
 
 Results for odd input: null, empty and letterless texts are ``und`` with score 0 and are rejected. Copies get
 equal results. A table without any label gives a model without classes: every text is ``und``. Long texts are
@@ -32,6 +33,7 @@ BUCKETS = 1 << 15  # per window size
 WINDOWS = (3, 4)
 FACTORS = (2_654_435_761, 2_246_822_519)
 EMBEDDING = 16
+SCORE_STEPS = 1 << 10  # the highest step ends at 1, so that scores close to 1 are never told apart
 SEED = 7
 
 #: Letters in lower case, bytes beyond ASCII as they are, all else a boundary.
@@ -141,7 +143,7 @@ def train(
     """Fit on at most ``sample_rows`` labelled rows that are not held out, the same number of each label.
 
     Only ids and labels are read to choose them, and each task passes on a bounded number per label. The driver
-    gets bucket counts of the sample, never texts.
+    gets bucket counts of the sample and counts of scores, never texts.
     """
     order = F.xxhash64(F.col(doc_id).cast("string"), F.col(label))
     known = docs.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id)).select(
@@ -150,10 +152,12 @@ def train(
     turn = F.row_number().over(Window.partitionBy("label").orderBy("at", "id"))
     chosen = known.withColumn("turn", turn).filter(F.col("turn") <= sample_rows).orderBy("turn", "at", "id")
     chosen = chosen.limit(sample_rows).select("id").distinct()
-    rows = (
+    labelled = (
         bounded_batches(docs).filter(F.col(label).isNotNull() & F.col(text).isNotNull())
         .select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"), F.col(doc_id).alias("id"))
-        .join(F.broadcast(chosen), "id", "left_semi")  # at most sample_rows ids
+    )
+    rows = (
+        labelled.join(F.broadcast(chosen), "id", "left_semi")  # at most sample_rows ids
         .select("text", "label")
         .mapInArrow(_examples, "label string, short boolean, bucket array<int>, n array<int>")
         .toArrow()
@@ -166,14 +170,37 @@ def train(
         for label, short, a, b in zip(labels.to_pylist(), shorts.to_pylist(), ends[:-1].tolist(), ends[1:].tolist())
     ]
     examples.sort(key=lambda e: (e[0], e[1], len(e[2]), e[2][:32].tolist(), float(e[3].sum())))
-    return _fit(examples, reject_rate, epochs)
+    model, kept_out = _fit(examples, epochs)
+    if model.classes:
+        others = labelled.filter(F.col("id").isNotNull() & ~held_out("id") & _letters("text"))
+        others = others.join(F.broadcast(chosen), "id", "left_anti")
+        model.threshold = _threshold(model, others, kept_out, reject_rate)
+    return model
+
 
+def _letters(text: str) -> Column:
+    return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
 
-def _fit(examples: list, reject_rate: float, epochs: int) -> LanguageModel:
+
+def _threshold(model: LanguageModel, others: DataFrame, kept_out: np.ndarray, reject_rate: float) -> float:
+    """Largest step that at most ``reject_rate`` of the scores of ``others`` and ``kept_out`` lie below."""
+    top = SCORE_STEPS - 1
+    step = F.least(F.floor(predictor(model)(F.col("text"))["score"] * SCORE_STEPS), F.lit(top)).cast("int")
+    counted = others.select(step.alias("step")).groupBy("step").count().toArrow()  # at most SCORE_STEPS rows
+    counts = np.bincount(np.minimum((kept_out * SCORE_STEPS).astype(np.int64), top), minlength=SCORE_STEPS)
+    counts[counted["step"].to_numpy()] += counted["count"].to_numpy()
+    model.facts["calibration_rows"] = int(counts.sum())
+    steps = np.flatnonzero(counts)
+    below = np.cumsum(counts[steps]) - counts[steps]
+    return float(steps[below <= reject_rate * counts.sum()][-1]) / SCORE_STEPS
+
+
+def _fit(examples: list, epochs: int) -> tuple[LanguageModel, np.ndarray]:
+    """Model without a threshold, and the scores of the whole texts kept out of its training."""
     classes = sorted({e[0] for e in examples})
     size = BUCKETS * len(WINDOWS)
     if not classes:
-        return LanguageModel([], np.zeros((size + 1, 0), np.float32), np.zeros(0))
+        return LanguageModel([], np.zeros((size + 1, 0), np.float32), np.zeros(0)), np.zeros(0)
     rng = np.random.default_rng(SEED)
     order = rng.permutation(len(examples))
     kept_out, used = order[: len(order) // 5], order[len(order) // 5 :]
@@ -203,9 +230,8 @@ def _fit(examples: list, reject_rate: float, epochs: int) -> LanguageModel:
     loss = [-np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in tries]
     model.temperature = float(tries[int(np.argmin(loss))])
     p = softmax(logits / model.temperature)
-    model.threshold = float(np.quantile(p.max(1), reject_rate, method="lower")) * 0.999
     model.facts = {"examples": len(examples), "kept_out_accuracy": float((p.argmax(1) == truth).mean())}
-    return model
+    return model, p.max(1)
 
 
 def predictor(model: LanguageModel):
@@ -232,11 +258,10 @@ def identify(
     rejected: str = "rejected",
 ) -> DataFrame:
     """Add language, calibrated score and rejection; columns of these names are replaced."""
-    letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     if not model.classes:
         return docs.withColumns({lang: F.lit(UNKNOWN), score: F.lit(0.0), rejected: F.lit(True)})
     found = predictor(model)(F.col(text))
-    kept = F.when(letters, found)  # evaluated once: the struct is a column of its own below
+    kept = F.when(_letters(text), found)  # evaluated once: the struct is a column of its own below
     name = "_found"
     while name in docs.columns:
         name = f"_{name}"
