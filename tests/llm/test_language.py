@@ -85,3 +85,15 @@ def test_few_odd_rows_do_not_set_the_threshold(spark):
     few = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {x.doc_id: x.rejected for x in language.identify(few, model).collect()}
     assert got == {0: True, 1: True, 2: False, 3: False}, (model.threshold, model.temperature)
+
+
+def test_texts_have_a_boundary_on_either_side():
+    texts = ["A.", "ab", "x", "", "kala mola", "ñ", "!a"]
+    body, offsets = language.utf8(pa.array(texts))
+    together = list(language.subwords(body, offsets))
+    for i, text in enumerate(texts):
+        spaced = np.frombuffer(f"  {text}  ".encode(), np.uint8)
+        for whole, alone in zip(together, language.subwords(spaced, np.array([0, len(spaced)]))):
+            own = whole[offsets[i] : offsets[i + 1]]
+            assert own[own >= 0].tolist() == alone[alone >= 0].tolist()
+    assert all((together[0][offsets[i] : offsets[i + 1]] >= 0).any() for i, t in enumerate(texts) if t)

@@ -44,22 +44,29 @@ for _c in range(ord("a"), ord("z") + 1):
 
 
 def subwords(body: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    """Bucket of the window that starts at each byte, one array per window size; -1 where there is none."""
-    text = NORMAL[body]
-    n = len(text)
-    wide = np.zeros(n + 4, np.uint32)
-    wide[:n] = text
-    wide[n:] = 0x20
-    inner = wide != 0x20
+    """Bucket of the window whose second byte is each byte, one array per window size; -1 where there is none.
+
+    Every text has a boundary byte of its own before its first and after its last byte.
+    """
+    n = len(body)
+    wide = np.full(n + 4, 0x20, np.uint32)
+    wide[1 : n + 1] = NORMAL[body]
+    filled = offsets[1:] > offsets[:-1]
+    starts, ends = offsets[:-1][filled], offsets[1:][filled]
     for k, (size, factor) in enumerate(zip(WINDOWS, FACTORS)):
         code = np.zeros(n, np.uint32)
         good = np.ones(n, bool)
         for j in range(size):
-            code |= wide[j : n + j] << np.uint32(8 * j)
+            at = wide[j : n + j].copy()
+            if j == 0:
+                at[starts] = 0x20  # the byte before each text
+            for back in range(1, j):  # the bytes after each text
+                at[np.maximum(ends - back, starts)] = 0x20
+            code |= at << np.uint32(8 * j)
             if 0 < j < size - 1:
-                good &= inner[j : n + j]
-        for back in range(1, size):  # windows that would leave their text
-            good[np.maximum(offsets[1:] - back, 0)[offsets[1:] > offsets[0]]] = False
+                good &= at != 0x20
+        for back in range(1, size - 2):  # windows that go beyond the byte after their text
+            good[np.maximum(ends - back, starts)] = False
         bucket = ((code * np.uint32(factor)) >> np.uint32(17)).astype(np.int64) + k * BUCKETS
         yield np.where(good, bucket, -1)
 
