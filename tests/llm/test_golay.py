@@ -122,3 +122,13 @@ def test_components_of_a_long_chain(spark):
     assert len(got) == 201 and {r.component for r in got} == {0}
     odd = spark.createDataFrame([(1, None), (None, 2), (3, 3), (5, 4), (4, 5)], "x long, y long")
     assert helpers.rows_of(components(odd, "x", "y"), "node", "component") == [(4, 4), (5, 4)]
+
+
+def test_each_group_keeps_a_row_where_ids_repeat(spark):
+    a, b = helpers.prose(1, 60), helpers.prose(2, 60)
+    first, last = sorted([a, b])
+    rows = [(3, first), (5, first), (5, last), (7, last), (9, helpers.prose(3, 60)), (9, helpers.prose(4, 60)), (9, helpers.prose(4, 60)), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = helpers.rows_of(golay.first_of_group(docs), "doc_id", "text")
+    want = [(3, first), (5, last), (9, helpers.prose(3, 60)), (9, helpers.prose(4, 60)), (None, a)]
+    assert got == sorted(want, key=repr)

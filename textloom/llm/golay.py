@@ -89,8 +89,14 @@ def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``(doc_id, fp)``, one row per row of the table."""
-    return bounded_batches(docs).select(F.col(doc_id).alias("doc_id"), simhash(F.col(text)).alias("fp"))
+    """``(doc_id, fp, digest)``, one row per row of the table; the digest stands for the text."""
+    return bounded_batches(docs).select(
+        F.col(doc_id).alias("doc_id"), simhash(F.col(text)).alias("fp"), _digest(text).alias("digest")
+    )
+
+
+def _digest(text: str) -> Column:
+    return F.coalesce(F.md5(F.col(text)), F.lit(""))
 
 
 # --- keys ------------------------------------------------------------------------------------------------------
@@ -181,6 +187,11 @@ def links(nodes: DataFrame) -> tuple[DataFrame, list[str]]:
 
 def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``(doc_id, fp, component_id)``, one row per row of the table."""
+    return _grouped(docs, text, doc_id).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """``(doc_id, fp, digest, c, component_id)``; groups that share their smallest id differ in ``c``."""
     spark = docs.sparkSession
     rows, _ = store(fingerprints(docs, text, doc_id), "simhash")
     nodes, nodes_path = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
@@ -190,22 +201,25 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         discard(spark, path)
     placed = nodes.join(of, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
     least = placed.groupBy("c").agg(F.min("least").alias("component_id"))
-    named, _ = store(placed.join(least, "c").select("fp", "component_id"), "simhash-groups")
+    named, _ = store(placed.join(least, "c").select("fp", "c", "component_id"), "simhash-groups")
     discard(spark, nodes_path)
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(named, "fp").select("doc_id", "fp", "digest", "c", "component_id")
 
 
 def first_of_group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents that name their group: one of each group of near copies, with all columns.
 
-    Of rows that repeat an id one stays. Rows without an id cannot be named and stay.
+    Where rows of a group share the id that names it, the one with the least fingerprint and digest of its text
+    stays. Rows without an id cannot be named and stay.
     """
-    kept = near_copies(docs, text, doc_id).filter(F.col("doc_id") == F.col("component_id"))
-    key, turn = free_name(docs, "key"), free_name(docs, "turn")
-    kept = kept.select(F.col("doc_id").alias(key)).distinct()
-    named = docs.join(kept, docs[doc_id] == kept[key], "inner")
-    # the join has sorted by the id already; only repeats of an id meet in the window
-    one = named.withColumn(turn, F.row_number().over(Window.partitionBy(key).orderBy(F.col(text)))).filter(
+    named = _grouped(docs, text, doc_id).filter(F.col("doc_id") == F.col("component_id"))
+    named = named.groupBy("c", "doc_id").agg(F.min(F.struct("fp", "digest")).alias("first"))
+    key, own, kept_own, turn = (free_name(docs, n) for n in ("key", "digest", "kept_digest", "turn"))
+    kept = named.select(F.col("doc_id").alias(key), F.col("first.digest").alias(kept_own))
+    marked = docs.withColumn(own, _digest(text))
+    chosen = marked.join(kept, (marked[doc_id] == kept[key]) & (marked[own] == kept[kept_own]), "inner")
+    # the join has sorted by id and digest already; only repeats of a row's id and text meet in the window
+    one = chosen.withColumn(turn, F.row_number().over(Window.partitionBy(key, kept_own).orderBy(F.col(text)))).filter(
         F.col(turn) == 1
     )
     return one.select(*docs.columns).unionByName(docs.filter(F.col(doc_id).isNull()))
