@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import chat_parts, crf, golay, importance, language, mixing, orc_tokens, permutation, tiles, tiling
+from textloom.llm import chat_parts, crf, golay, importance, language, mixing, orc_tokens, permutation, ranked, tiles, tiling
 
 QUERIES = {}
-ORACLES = {"op8_mixing": mixing.ORACLE, "op10_chat_parts": chat_parts.ORACLE}
+ORACLES = {"op8_mixing": mixing.ORACLE, "op10_chat_parts": chat_parts.ORACLE, "op11_ranked": ranked.ORACLE}
 
 
 def query(run):
@@ -83,3 +83,9 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat_parts.chat_digest(turns.unionByName(chat_parts.marked_conversation(spark)))
+
+
+@query
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
