@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import chat_parts, crf, golay, importance, language, mixing, orc_tokens, permutation, ranked, tiles, tiling
+from textloom.llm import chat_parts, crf, golay, importance, language, mixing, orc_tokens, permutation, ranked, shallot, tiles, tiling
 
 QUERIES = {}
-ORACLES = {"op8_mixing": mixing.ORACLE, "op10_chat_parts": chat_parts.ORACLE, "op11_ranked": ranked.ORACLE}
+ORACLES = {
+    "op8_mixing": mixing.ORACLE,
+    "op10_chat_parts": chat_parts.ORACLE,
+    "op11_ranked": ranked.ORACLE,
+    "op12_shallot": shallot.ORACLE,
+}
 
 
 def query(run):
@@ -89,3 +94,9 @@ def op10_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of each benchmark item."""
     return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of the vectors after ten rounds from eight starts."""
+    return shallot.cluster(table(spark, sf_dir, "embeddings"))
