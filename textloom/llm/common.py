@@ -128,6 +128,24 @@ CLASSES[0x7F] = 0
 CLASSES[0x80:] = 1
 for _c in b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz":
     CLASSES[_c] = 1
+#: A-Z in lower case.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def stretches(body: np.ndarray, begin: int, end: int, most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """A range of bytes in stretches of about ``most`` bytes that end outside words."""
+    while end - begin > 2 * most:
+        at = begin + most
+        while at < end:
+            gap = np.flatnonzero(CLASSES[body[at : at + most]] != 1)
+            if len(gap):
+                break
+            at += most
+        cut = min(at + int(gap[0]), end) if at < end else end
+        yield begin, cut
+        begin = cut
+    yield begin, end
 
 
 def word_spans(body: np.ndarray, offsets: np.ndarray, punctuation: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

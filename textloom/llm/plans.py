@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import chat_parts, crf, golay, importance, language, mixing, orc_tokens, permutation, ranked, shallot, tiles, tiling
+from textloom.llm import (
+    chat_parts,
+    crf,
+    golay,
+    importance,
+    language,
+    mixing,
+    orc_tokens,
+    permutation,
+    ranked,
+    shallot,
+    tiles,
+    tiling,
+    toxicity,
+)
 
 QUERIES = {}
 ORACLES = {
@@ -100,3 +114,8 @@ def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of the vectors after ten rounds from eight starts."""
     return shallot.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import CLASSES, PIECE_BYTES, SpanHasher, bounded_batches, discard, pieces, store, utf8, word_spans
+from textloom.llm.common import LOWER, SpanHasher, bounded_batches, discard, pieces, store, stretches, utf8, word_spans
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -48,9 +48,6 @@ SKETCH = 16
 SALTS = 64
 WORDS_AT_ONCE = 1 << 18
 
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
-
 
 def terms_of(text: Column) -> Column:
     """Distinct terms of a text as keys: the term, or a zero character and the SHA-256 of a long one."""
@@ -107,7 +104,7 @@ class TermTable:
         body, offsets = utf8(texts)
         size, total, keys = self.at.size, np.zeros(len(texts), np.int64), []
         for first, last in pieces(offsets):
-            for begin, end in _cuts(body, offsets[first], offsets[last]):
+            for begin, end in stretches(body, offsets[first], offsets[last]):
                 at = np.clip(offsets[first : last + 1], begin, end) - begin
                 part = LOWER[body[begin:end]]
                 starts, ends, counts = word_spans(part, at, False)
@@ -118,21 +115,6 @@ class TermTable:
         return total, np.cumsum(np.bincount(key // size, minlength=len(texts))), key % size, count
 
 
-def _cuts(body: np.ndarray, begin: int, end: int) -> Iterator[tuple[int, int]]:
-    """A range of bytes in stretches of about a piece that end outside words."""
-    while end - begin > 2 * PIECE_BYTES:
-        at = begin + PIECE_BYTES
-        while at < end:
-            gap = np.flatnonzero(CLASSES[body[at : at + PIECE_BYTES]] != 1)
-            if len(gap):
-                break
-            at += PIECE_BYTES
-        cut = min(at + int(gap[0]), end) if at < end else end
-        yield begin, cut
-        begin = cut
-    yield begin, end
-
-
 def _vectors(docs: DataFrame, keys: list[str], text: str, doc_id: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(keys)
 
