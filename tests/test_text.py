@@ -1,12 +1,13 @@
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from textloom.functions import numbers, text, times
-from textloom.operators import batches, chat, model, ranking, tokens
+from textloom.operators import batches, chat, chunks, model, ranking, tokens
 
 
 def one(spark, column):
@@ -279,3 +280,27 @@ def test_functions_travel_by_value():
     from pyspark import cloudpickle
 
     assert "textloom" in cloudpickle.list_registry_pickle_by_value()
+
+
+def test_a_document_of_very_many_paragraphs_is_cut_once(spark):
+    text = "\n".join(f"p{i} " + "x" * (i % 90) for i in range(20_000))
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "doc_id int, text string")
+    cut = chunks.chunk_paragraphs(df, "\n", 100)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("aggregate(") == 1
+    start = time.perf_counter()
+    rows = cut.orderBy("chunk_no").collect()
+    assert time.perf_counter() - start < 30
+    assert "\n".join(r.text for r in rows) == text and {r.doc_id for r in rows} == {1}
+    assert [r.chunk_no for r in rows] == list(range(len(rows)))
+
+
+def test_other_tokens_repeat_in_and_across_chunks(spark, vocab, monkeypatch):
+    monkeypatch.setattr(tokens, "HEAD_TOKENS", 1)
+    frame = spark.createDataFrame(
+        [(1, 0, "b zz b a yy b"), (1, 1, "zz zz"), (None, 0, "b a"), (2, 0, ""), (2, 1, None)], "doc_id int, chunk_no int, text string"
+    )
+    ids = {r.token: r.id for r in vocab.collect()}
+    for r in tokens.encode(frame, vocab, 8).join(frame, ["doc_id", "chunk_no"]).collect():
+        want = [tokens.BOS] + [ids.get(t, tokens.UNK) for t in (r.text or "").split()]
+        assert r.input_ids == want + [tokens.PAD] * (8 - len(want))

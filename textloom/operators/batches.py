@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,20 +76,25 @@ def score_rows(
     """
     keys = list(keys)
 
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loss_of = scorer()
-        for frame in frames:
-            rows = [np.asarray(row) for row in frame[ids]]
-            gold = [np.asarray(row) for row in frame[labels]]
-            scored = frame[keys].copy()
-            scored["loss_sum"] = [float(x) for x in loss_of(rows, gold)] if rows else []
-            scored["labelled"] = [int((row != IGNORED_LABEL).sum()) for row in gold]
-            scored["positions"] = [len(row) for row in rows]
-            yield scored
+        for batch in batches:
+            rows, gold = (_arrays(batch.column(name)) for name in (ids, labels))
+            loss = [float(x) for x in loss_of(rows, gold)] if rows else []
+            labelled = [int(np.count_nonzero(row != IGNORED_LABEL)) for row in gold]
+            figures = [pa.array(loss, pa.float64()), pa.array(labelled, pa.int64()), pa.array([len(row) for row in rows], pa.int64())]
+            names = [*keys, "loss_sum", "labelled", "positions"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(key) for key in keys], *figures], names=names)
 
     types = dict(samples.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["loss_sum double", "labelled bigint", "positions bigint"])
-    return samples.select(*keys, ids, labels).mapInPandas(score, schema)
+    return samples.select(*keys, ids, labels).mapInArrow(score, schema)
+
+
+def _arrays(lists: pa.ListArray) -> list[np.ndarray]:
+    """Each row of a list column as a view of its flat values; a null is an empty row."""
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+    return np.split(flat, ends[:-1]) if len(ends) else []
 
 
 def score_batches(scores: DataFrame, plan: DataFrame, keys: Sequence[str] = ("doc_id", "chunk_no")) -> DataFrame:

@@ -64,11 +64,14 @@ def _pieces(df: DataFrame, keep: list[str], separator: str, limit: int, text_col
 def chunk_paragraphs(
     df: DataFrame, separator: str = "\n\n", limit: int = CHUNK_LIMIT, text_col: str = "text"
 ) -> DataFrame:
-    """One row per chunk: the other columns of ``df``, ``chunk_no`` from 0 and ``text``. Narrow, no shuffle."""
+    """One row per chunk: the other columns of ``df``, ``chunk_no`` from 0 and ``text``. Narrow, no shuffle.
+
+    The outer generator keeps the optimizer from testing the pieces before they are a column, which would cut the
+    whole text again for every chunk.
+    """
     keep = [c for c in df.columns if c != text_col]
-    return _pieces(df, keep, separator, limit, text_col).select(
-        *keep, F.posexplode("_pieces").alias("chunk_no", text_col)
-    )
+    pieces = _pieces(df, keep, separator, limit, text_col)
+    return pieces.select(*keep, F.posexplode_outer("_pieces").alias("chunk_no", text_col)).filter("chunk_no is not null")
 
 
 def chunk_stats(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.operators.ranking import sorted_rank
+from textloom.session import materialise
 
 # Reserved ids, the first free id, the ignored label, and the sequence length.
 PAD, UNK, BOS, EOS = 0, 1, 2, 3
@@ -100,7 +101,7 @@ def encode(
     """Begin marker, ids cut to ``max_length``, padding, attention mask and special-token mask.
 
     ``keys`` identify a chunk. Tokens of the vocabulary's head are looked up inside the tasks, whole Arrow batches at
-    once; only the positions of other tokens become rows and are joined with the vocabulary.
+    once; only the other tokens of a chunk become rows and are joined with the vocabulary.
     """
     keys = list(keys)
     pad = EOS if pad_is_eos else PAD
@@ -119,7 +120,10 @@ def encode(
 
 
 def _head_lookup(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
-    """Replace ``_tokens`` with ``_ids``, null where the token is not in the head, and those tokens in ``_others``."""
+    """Replace ``_tokens`` with ``_ids`` and ``_others``, the chunk's different tokens outside the head.
+
+    A position of the k-th other token (from 1) has -k as its id.
+    """
     head = known.filter((F.col("id") < FIRST_ID + HEAD_TOKENS) & (F.length("token") <= HEAD_CHARS)).toArrow()
     shared = cut.sparkSession.sparkContext.broadcast((head["token"].combine_chunks(), head["id"].combine_chunks()))
 
@@ -127,18 +131,21 @@ def _head_lookup(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame
         tokens, ids = shared.value
         for batch in batches:
             lists = batch.column("_tokens")
-            flat = lists.flatten()
+            flat, ends = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
             found = ids.take(pc.index_in(flat, value_set=tokens.cast(flat.type)))
-            ends = pc.subtract(lists.offsets, lists.offsets[0])
-            missing = pc.is_null(found)
-            before = np.concatenate([[0], np.cumsum(missing.to_numpy(zero_copy_only=False))])
-            other_ends = pa.array(before[ends.to_numpy()], ends.type)
-            columns = [batch.column(key) for key in keys]
+            holes = np.flatnonzero(pc.is_null(found).to_numpy(zero_copy_only=False))
+            rare = flat.take(pa.array(holes)).dictionary_encode()
+            size = max(len(rare.dictionary), 1)
+            chunk = np.searchsorted(ends, holes, side="right") - 1
+            own, back = np.unique(chunk * size + rare.indices.to_numpy(), return_inverse=True)
+            first = np.searchsorted(own, np.arange(len(batch) + 1) * size)
+            places = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).copy()
+            places[holes] = first[chunk] - back - 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    *columns,
-                    type(lists).from_arrays(ends, found),
-                    type(lists).from_arrays(other_ends, flat.filter(missing)),
+                    *[batch.column(key) for key in keys],
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places, pa.int32())),
+                    pa.ListArray.from_arrays(pa.array(first, pa.int32()), rare.dictionary.take(pa.array(own % size)).cast(pa.string())),
                 ],
                 names=[*keys, "_ids", "_others"],
             )
@@ -151,32 +158,19 @@ def _head_lookup(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame
 def _with_ids(cut: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """Ids of the tokens of each chunk.
 
-    A chunk becomes one row with the ids of its head tokens and one row per other position; all go through one
-    join and meet again by the chunk's keys. The first kind of row carries a key no token can be, spread by a hash.
+    The looked-up chunks are written once. Only their different other tokens become rows, narrow ones, that are joined with
+    the vocabulary and gathered by chunk; a chunk's array of ids is shuffled once, to meet them. AQE splits both joins
+    where a token or the chunks of an id are frequent.
     """
-    looked = _head_lookup(cut, known, keys)
-    places = F.transform(
-        F.filter(F.transform("_ids", lambda x, i: F.struct(i.alias("pos"), x.alias("id"))), lambda p: p["id"].isNull()),
-        lambda p: p["pos"],
-    )
-    others = F.transform(
-        F.arrays_zip(places.alias("pos"), F.col("_others").alias("token")),
-        lambda o: F.struct(F.lit(None).cast("array<int>").alias("ids"), o["pos"].alias("pos"), o["token"].alias("token")),
-    )
-    own = F.struct(
-        F.col("_ids").alias("ids"),
-        F.lit(None).cast("int").alias("pos"),
-        F.concat(F.lit(" "), F.xxhash64(*keys).cast("string")).alias("token"),
-    )
-    rows = looked.select(*keys, F.explode(F.concat(F.array(own), others)).alias("_r")).select(*keys, "_r.*")
-    found = rows.join(known, "token", "left")
-    placed = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(UNK)).alias("id")))
+    looked = materialise(_head_lookup(cut, known, keys), "looked-up")
+    rows = looked.select(*keys, F.posexplode("_others").alias("_k", "token"))
+    found = rows.join(known, "token", "left").select(*keys, F.struct("_k", F.coalesce("id", F.lit(UNK)).alias("id")).alias("_o"))
     # a chunk has at most max_length tokens here
-    whole = found.groupBy(*keys).agg(F.first("ids", ignorenulls=True).alias("_head"), F.collect_list(placed).alias("_rest"))
-    head = F.transform("_head", lambda x, i: F.struct(i.alias("pos"), x.alias("id")))
-    merged = F.concat(F.filter(head, lambda p: p["id"].isNotNull()), "_rest")
-    # the generator keeps the sort from being repeated in every use of the column
-    return whole.select(*keys, F.explode(F.array(F.sort_array(merged)["id"])).alias("_ids"))
+    gathered = found.groupBy(*[F.col(key).alias(f"_of_{key}") for key in keys]).agg(
+        F.sort_array(F.collect_list("_o"))["id"].alias("_found")
+    )
+    same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
+    return looked.join(gathered, same, "left").select(*keys, F.transform("_ids", lambda x: F.when(x < 0, F.get("_found", -x - 1)).otherwise(x)).alias("_ids"))
 
 
 def causal_labels(input_ids: Column, pad: int = PAD) -> Column:
