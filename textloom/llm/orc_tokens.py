@@ -34,7 +34,7 @@ from textloom.session import work_path
 END = 0
 ROW_INDEX = 1_000
 STRIPE_BYTES = 16 << 20
-KNOWN_WORDS = 300_000  # words a worker remembers
+KNOWN_WORDS = 300_000  # words a worker remembers, in two tables
 BATCH_BYTES = 2 << 20
 
 SCHEMA = T.StructType(
@@ -139,7 +139,7 @@ class Encoder:
 
         self.kept = worker_store(f"tokenizer {path}")
         if not self.kept:
-            self.kept |= {"library": Tokenizer.from_file(path), "words": WordTable()}
+            self.kept |= {"library": Tokenizer.from_file(path), "words": WordTable(), "older": WordTable()}
         self.library = self.kept["library"]
         self.model, self.letters = self.library.model, byte_letters()
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
@@ -149,18 +149,20 @@ class Encoder:
         return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, np.int32)
 
     def numbers(self, words: list[bytes]) -> tuple[np.ndarray, WordTable]:
-        """Number of each word in the worker's table; unknown words go through the library's model."""
-        table = self.kept["words"]
-        if len(table.number) + len(words) > max(KNOWN_WORDS, 2 * len(words)):
-            old, table = table, WordTable()
-            self.kept["words"] = table
-            for word in dict.fromkeys(words):  # the words in use, frequent ones among them, stay known
-                n = old.number.get(word)
-                if n is not None:
-                    table.add(word, old.ids[old.begin[n] : old.begin[n] + old.size[n]])
+        """Number of each word in the worker's table; unknown words go through the library's model.
+
+        A full table becomes the older one, from which words still in use are taken over as they come.
+        """
+        if len(self.kept["words"].number) >= KNOWN_WORDS // 2:
+            self.kept |= {"older": self.kept["words"], "words": WordTable()}
+        table, older = self.kept["words"], self.kept["older"]
         for word in {w for w in words if w not in table.number}:
-            found = self.model.tokenize(word.decode("latin-1").translate(self.letters))
-            table.add(word, [t.id for t in found])
+            n = older.number.get(word)
+            if n is not None:
+                table.add(word, older.ids[older.begin[n] : older.begin[n] + older.size[n]])
+            else:
+                found = self.model.tokenize(word.decode("latin-1").translate(self.letters))
+                table.add(word, [t.id for t in found])
         return np.fromiter(map(table.number.__getitem__, words), np.int64, len(words)), table
 
     def __call__(self, body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
