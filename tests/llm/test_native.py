@@ -171,3 +171,13 @@ def test_queries_match_sql(spark, name):
 def test_plans_stay_in_the_jvm(spark, name):
     plan = plans.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "ExistingRDD", "CartesianProduct"))
+
+
+def test_mixed_leaves_columns_with_helpers_names(spark):
+    names = ["_size_own", "_turn_own", "_turn_copy", "_key_source", "_key", "_of", "_n", "_own_size"]
+    docs = spark.range(60).selectExpr("id as doc_id", "repeat('w ', 1 + cast(id % 9 as int)) as text", "if(id % 3 = 0, 'a', 'b') as source")
+    docs = docs.selectExpr("*", *[f"concat('{n}', doc_id) as {n}" for n in names])
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns and got.distinct().exceptAll(docs).count() == 0
+    taken = mixing.copies(docs).selectExpr("sum(copies) as n").first().n
+    assert got.count() == taken > 0

@@ -105,24 +105,25 @@ def mixed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: s
 
     Rows that share an id and a size are told apart by their order only, so of them the first ones are emitted.
     """
-    key, turn, n = free_name(docs, "key"), free_name(docs, "turn"), free_name(docs, "n")
+    key, of, turn, n, size, own_size, own_turn, copy = (
+        free_name(docs, name) for name in ("key", "of", "turn", "n", "size", "own_size", "own_turn", "copy")
+    )
     taken = copies(docs, text, doc_id, source).filter("copies > 0")
-    size = free_name(docs, "size")
     who = Window.partitionBy("doc_id", "source", "size").orderBy(F.desc("copies"))
     taken = taken.withColumn(turn, F.row_number().over(who)).select(
-        F.col("doc_id").alias(key), F.col("source").alias(f"{key}_source"), F.col("size").alias(size), turn, F.col("copies").alias(n)
+        F.col("doc_id").alias(key), F.col("source").alias(of), F.col("size").alias(size), turn, F.col("copies").alias(n)
     )
-    mine = Window.partitionBy(doc_id, source, f"{size}_own").orderBy(F.col(text))
-    rows = docs.withColumn(f"{size}_own", word_count(F.col(text))).withColumn(f"{turn}_own", F.row_number().over(mine))
+    mine = Window.partitionBy(doc_id, source, own_size).orderBy(F.col(text))
+    rows = docs.withColumn(own_size, word_count(F.col(text))).withColumn(own_turn, F.row_number().over(mine))
     same = (
         F.col(doc_id).eqNullSafe(F.col(key))
-        & F.col(source).eqNullSafe(F.col(f"{key}_source"))
-        & (F.col(f"{size}_own") == F.col(size))
-        & (F.col(f"{turn}_own") == F.col(turn))
+        & F.col(source).eqNullSafe(F.col(of))
+        & (F.col(own_size) == F.col(size))
+        & (F.col(own_turn) == F.col(turn))
     )
     joined = rows.join(taken, same)
     again = F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))
-    return joined.withColumn(f"{turn}_copy", again).select(*docs.columns)
+    return joined.withColumn(copy, again).select(*docs.columns)
 
 
 ORACLE = f"""
