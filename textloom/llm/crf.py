@@ -9,7 +9,8 @@ whatever the table holds. Viterbi decoding gives the best labelling of a page, a
 Pages are independent rows: the work is one Arrow function without a shuffle.
 
 Results for odd input: null, empty and markup-free pages without text give the empty text; a page of bare text is
-labelled like any other. Broken markup is closed as the next block starts. Long pages are read whole.
+labelled like any other. Broken markup is closed as the next block starts; ``html_blocks`` says how. Long pages are
+read whole, in time that grows with their length.
 Copies give equal results. Empty tables give an empty result; other columns stay unread.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import bounded_batches
-from textloom.llm.html_blocks import Block, Element, labelled_pages, leaf_blocks
+from textloom.llm.html_blocks import HIDDEN, Block, Element, Node, labelled_pages, leaf_blocks
 
 TRAIN_PAGES = 1_500
 EPOCHS = 8
@@ -36,13 +37,18 @@ SEED = 3
 RIGHTS = re.compile(r"©|\(c\)|copyright|all rights", re.I)
 
 
+def element_features(element: Element, above: str, where: str) -> list[str]:
+    """Features of one element below ``above``, in the article or main part ``where`` it stands in."""
+    out = [f"in={element.tag}", f"{where}:in={element.tag}", f"{above}>{element.tag}"]
+    return out + [f"name={n}" for n in element.names] + [f"{where}:name={n}" for n in element.names]
+
+
 def path_features(path: tuple[Element, ...]) -> tuple[str, ...]:
     """Features of the elements around a block, alone and together with where they stand."""
     out = [f"leaf={path[-1].tag if path else 'none'}"]
     above, where = "", "page"
     for element in path:
-        out += [f"in={element.tag}", f"{where}:in={element.tag}", f"{above}>{element.tag}"]
-        out += [f"name={n}" for n in element.names] + [f"{where}:name={n}" for n in element.names]
+        out += element_features(element, above, where)
         above = element.tag
         if element.tag in ("article", "main"):
             where = element.tag
@@ -54,6 +60,59 @@ def path_features(path: tuple[Element, ...]) -> tuple[str, ...]:
     return tuple(dict.fromkeys(out))
 
 
+class PathScore:
+    """Sums of the weights of ``path_features`` for the blocks of a page in order, each element entered and left once."""
+
+    def __init__(self, weights: dict[str, float], known: dict) -> None:
+        """``known`` keeps features and weights of elements from page to page."""
+        self.get, self.known, self.met, self.total = weights.get, known, {}, 0.0
+        #: Of each element entered: its node and features, the sum before, and what follows for the elements inside.
+        self.entered: list[tuple] = []
+
+    def at(self, node: Node) -> float:
+        way = []
+        while node.parent and not (len(self.entered) >= node.depth and self.entered[node.depth - 1][0] is node):
+            way.append(node)
+            node = node.parent
+        while len(self.entered) > node.depth:
+            _, features, self.total, *_ = self.entered.pop()
+            for f, _ in features:
+                self.met[f] -= 1
+        for node in reversed(way):
+            self._enter(node)
+        _, _, _, above, where, named, bare, leaf = self.entered[-1] if self.entered else NOWHERE
+        score = self.total + self.get(f"leaf={above or 'none'}", 0.0) + self.get(f"{where}:leaf={above or 'none'}", 0.0)
+        score += sum(self.get(f"inner={n}", 0.0) for n in leaf)
+        return score if named else score + self.get(f"{where}:bare={'-'.join(bare)}", 0.0)
+
+    def _enter(self, node: Node) -> None:
+        above, where, named, bare, _ = self.entered[-1][3:] if self.entered else NOWHERE[3:]
+        element, before = node.element, self.total
+        if element.tag in HIDDEN:  # not closed, so it is nothing
+            self.entered.append((node, (), before, above, where, named, bare, self.entered[-1][7] if self.entered else ()))
+            return
+        features = self.known.get((element, above, where))
+        if features is None:
+            if len(self.known) > 50_000:
+                self.known.clear()
+            features = tuple((f, self.get(f, 0.0)) for f in element_features(element, above, where))
+            self.known[element, above, where] = features
+        for f, weight in features:
+            n = self.met.get(f, 0)
+            if not n:
+                self.total += weight
+            self.met[f] = n + 1
+        if element.tag in ("article", "main"):
+            where, named, bare = element.tag, False, ()
+        else:
+            named = named or bool(element.names)
+            bare = bare if named or element.tag in bare else (*bare, element.tag)
+        self.entered.append((node, features, before, element.tag, where, named, bare, element.names))
+
+
+NOWHERE = (None, (), 0.0, "", "page", False, (), ())
+
+
 def text_features(block: Block) -> list[str]:
     """Features of a block's own text."""
     text, n = block.text, len(block.text)
@@ -82,20 +141,12 @@ class BlockField:
     start: np.ndarray
     end: np.ndarray
 
-    def extract(self, html: str, seen: dict | None = None) -> str:
+    def extract(self, html: str, known: dict | None = None) -> str:
         blocks = leaf_blocks(html)
         if not blocks:
             return ""
-        seen = {} if seen is None else seen
-        scores = []
-        get = self.weights.get
-        for block in blocks:
-            base = seen.get(block.path)
-            if base is None:
-                if len(seen) > 50_000:
-                    seen.clear()
-                base = seen[block.path] = sum(get(f, 0.0) for f in path_features(block.path))
-            scores.append(base + sum(get(f, 0.0) for f in text_features(block)))
+        around, get = PathScore(self.weights, {} if known is None else known), self.weights.get
+        scores = [around.at(b.path) + sum(get(f, 0.0) for f in text_features(b)) for b in blocks]
         return " ".join(b.text for b, label in zip(blocks, self.viterbi(scores)) if label)
 
     def viterbi(self, scores: list[float]) -> list[int]:
@@ -181,9 +232,9 @@ def main_text(html: Column, field: BlockField) -> Column:
 
     @F.arrow_udf("string")
     def extract(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        seen: dict = {}
+        known: dict = {}
         for pages in batches:
-            yield pa.array([field.extract(p.as_py() or "", seen) for p in pages], pa.string())
+            yield pa.array([field.extract(p.as_py() or "", known) for p in pages], pa.string())
 
     return F.coalesce(extract(html), F.lit(""))
 

@@ -1,7 +1,14 @@
 """Pages as sequences of leaf blocks, and labelled pages to learn from.
 
-A leaf block is the text between two borders of block elements, with the block elements around it. Comments,
-declarations, and elements that never show text are skipped; missing end tags close as the next block starts.
+A leaf block is the text between two borders of block elements, with the element it stands in. Tags and attributes are
+read by the rules of HTML: a quote inside an unquoted value is part of it, a quote that nothing closes opens nothing,
+and an unfinished tag at the end of a page is no text. Comments, declarations and raw-text elements are skipped, the
+latter to the end of the page where nothing closes them. Elements that show no text of their own (``HIDDEN``) hide what
+they hold only if they are closed; where their parent or the page ends first, their text stays. Formulas and drawing
+surfaces are part of the text around them. Other missing end tags close as the next block starts.
+
+A page is read once, from front to back, whatever its markup: elements are linked nodes, and the elements around a
+block are never copied.
 """
 
 from __future__ import annotations
@@ -11,17 +18,21 @@ import re
 from html import unescape
 from typing import NamedTuple
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+MARKUP = re.compile(r"<(?:!--|[!?]|/?[A-Za-z]|/)")
+TAG = re.compile(
+    r"""(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++)?+)?+)*+)>"""
 )
-#: Elements whose content is not text of the page.
-SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "title", "textarea", "select"}
+#: Elements whose content is characters up to their end tag, none of them text of the page.
+RAW = frozenset("script style title textarea iframe".split())
+#: Elements that show nothing, or controls, when they are closed.
+HIDDEN = frozenset("noscript template select svg".split())
 #: Elements that do not interrupt a block.
 INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover "
+    "munderover mspace mstyle semantics object canvas".split()
 )
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that a new one of the same group closes.
 CLOSED_BY_ITSELF = {"li": "li", "dt": "d", "dd": "d", "tr": "tr", "td": "c", "th": "c", "option": "o"}
 SCOPES = frozenset("ul ol dl table body html article section div main".split())
@@ -36,9 +47,31 @@ class Element(NamedTuple):
     gold: int
 
 
+class Node:
+    """An element with the one around it; ``depth`` counts elements, the root has none."""
+
+    __slots__ = ("parent", "element", "depth", "gold", "hides", "hider")
+
+    def __init__(self, parent: Node | None, element: Element | None) -> None:
+        self.parent, self.element = parent, element
+        self.depth = parent.depth + 1 if parent else 0
+        self.gold = element.gold if element and (element.gold or element.tag == "gold") else parent.gold if parent else 0
+        #: The nearest element around, or this one, that may hide its text; and whether this one is closed and does.
+        self.hides = False
+        self.hider = self if element and element.tag in HIDDEN else parent.hider if parent else None
+
+    def path(self) -> tuple[Element, ...]:
+        """Elements from the root down to this one."""
+        out, node = [], self
+        while node.parent:
+            out.append(node.element)
+            node = node.parent
+        return tuple(reversed(out))
+
+
 class Block(NamedTuple):
     text: str
-    path: tuple[Element, ...]
+    path: Node | tuple[Element, ...]
     link_chars: int
     marks: int  # inline elements inside
     fields: int  # form fields inside
@@ -55,86 +88,117 @@ def _element(tag: str, attributes: str) -> Element:
     return Element(tag, names, gold)
 
 
-def leaf_blocks(html: str) -> list[Block]:
-    """Leaf blocks of a page in order; blank ones are left out."""
-    out: list[Block] = []
-    stack: list[Element] = []
-    path: tuple[Element, ...] | None = ()
-    text: list[str] = []
-    in_link = link_chars = marks = fields = 0
-
-    def finish() -> None:
-        nonlocal link_chars, marks, fields
-        if text:
-            words = " ".join(unescape("".join(text)).split())
+class Reader:
+    """State of one pass over a page."""
+
+    def __init__(self) -> None:
+        self.blocks: list[Block] = []
+        self.hiders: list[Node] = []
+        self.here = Node(None, None)
+        self.open: dict[str, int] = {}  # open elements by tag, and by group of those that close each other
+        self.text: list[str] = []
+        self.in_link = self.link_chars = self.marks = self.fields = 0
+
+    def finish(self) -> None:
+        """End the block."""
+        if self.text:
+            words = " ".join(unescape("".join(self.text)).split())
             if words:
-                around = tuple(stack) if path is None else path
-                gold = next((e.gold for e in reversed(around) if e.gold or e.tag == "gold"), 0)
-                out.append(Block(words, around, link_chars, marks, fields, gold))
-            text.clear()
-        link_chars = marks = fields = 0
+                self.blocks.append(Block(words, self.here, self.link_chars, self.marks, self.fields, self.here.gold))
+            self.text.clear()
+        self.link_chars = self.marks = self.fields = 0
+
+    def push(self, element: Element) -> None:
+        self.here = Node(self.here, element)
+        if self.here.hider is self.here:
+            self.hiders.append(self.here)
+        for name in (element.tag, CLOSED_BY_ITSELF.get(element.tag)):
+            if name:
+                self.open[name] = self.open.get(name, 0) + 1
+
+    def pop(self) -> Node:
+        node = self.here
+        for name in (node.element.tag, CLOSED_BY_ITSELF.get(node.element.tag)):
+            if name:
+                self.open[name] -= 1
+        self.here = node.parent
+        return node
 
-    at, end = 0, len(html)
+    def close(self, tag: str) -> None:
+        if self.open.get(tag):
+            while (node := self.pop()).element.tag != tag:
+                pass
+            node.hides = True
+
+    def start(self, tag: str, attributes: str) -> None:
+        above = self.here.element.tag if self.here.element else ""
+        if above == "p" or above in HEADINGS and tag[0] == "h":
+            self.pop()
+        group = CLOSED_BY_ITSELF.get(tag)
+        if group and self.open.get(group):
+            node = self.here
+            while node.element.tag not in SCOPES and CLOSED_BY_ITSELF.get(node.element.tag) != group:
+                node = node.parent
+            if CLOSED_BY_ITSELF.get(node.element.tag) == group:
+                while self.here is not node.parent:
+                    self.pop()
+        self.push(_element(tag, attributes))
+        self.in_link = 0
+
+
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+
+def leaf_blocks(html: str) -> list[Block]:
+    """Leaf blocks of a page in order; blank ones are left out."""
+    r, at, end = Reader(), 0, len(html)
     while at < end:
-        found = TOKEN.search(html, at)
+        found = MARKUP.search(html, at)
         piece = html[at : found.start()] if found else html[at:]
         if piece:
-            text.append(piece)
-            if in_link:
-                link_chars += len(piece)
+            r.text.append(piece)
+            if r.in_link:
+                r.link_chars += len(piece)
         if not found:
             break
-        at = found.end()
-        tag = found.group(2)
-        if not tag:
+        mark = found.group()
+        if not mark[-1].isalpha():
+            close = html.find("-->" if mark == "<!--" else ">", found.end())
+            at = end if close < 0 else close + (3 if mark == "<!--" else 1)
             continue
-        tag, closing = tag.lower(), bool(found.group(1))
+        read = TAG.match(html, found.start() + 1)
+        if not read:
+            break
+        at = read.end()
+        tag, closing, attributes = read.group(2).lower(), bool(read.group(1)), read.group(3)
         if tag in INLINE:
             if tag == "a":
-                in_link = 0 if closing else 1
-            marks += not closing
-            continue
-        if tag == "br":
-            text.append(" ")
-            continue
-        if tag in ("input", "button"):
-            fields += 1
-            if tag == "input":
-                continue
-        if tag in SKIPPED and not closing:
-            if found.group(3).endswith("/"):
-                continue
-            if tag in ("select", "textarea"):
-                fields += 1
-            close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-            at = close.end() if close else end
-            text.append(" ")
-            continue
-        finish()
-        if tag in VOID:
-            continue
-        if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+                r.in_link = 0 if closing else 1
+            r.marks += not closing
+        elif tag == "br":
+            r.text.append(" ")
+        elif tag in RAW:
+            if not closing and not attributes.endswith("/"):
+                r.fields += tag == "textarea"
+                close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
+                shut = html.find(">", close.end()) if close else -1
+                at = end if shut < 0 else shut + 1
+                r.text.append(" ")
+        elif tag == "input":
+            r.fields += 1
         else:
-            if stack and stack[-1].tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
-                if stack[-1].tag == "p" or tag[0] == "h":
-                    stack.pop()
-            group = CLOSED_BY_ITSELF.get(tag)
-            if group:
-                for k in range(len(stack) - 1, -1, -1):
-                    if CLOSED_BY_ITSELF.get(stack[k].tag) == group:
-                        del stack[k:]
-                        break
-                    if stack[k].tag in SCOPES:
-                        break
-            stack.append(_element(tag, found.group(3)))
-            in_link = 0
-        path = None
-    finish()
-    return out
+            r.fields += tag in ("button", "select")
+            r.finish()
+            if tag not in VOID:
+                if closing:
+                    r.close(tag)
+                elif not (tag in HIDDEN and attributes.endswith("/")):
+                    r.start(tag, attributes)
+    r.finish()
+    for node in r.hiders:  # outer ones first
+        around = node.parent.hider
+        node.hides = node.hides or bool(around and around.hides)
+    return [b for b in r.blocks if not (b.path.hider and b.path.hider.hides)]
 
 
 # --- labelled pages --------------------------------------------------------------------------------------------
@@ -298,4 +362,4 @@ def labelled_pages(n: int, seed: int = 5) -> list[list[Block]]:
     """Blocks with labels of ``n`` invented pages; the label marks are in no feature."""
     maker = PageMaker(seed)
     pages = [leaf_blocks(maker.page()) for _ in range(n)]
-    return [[b._replace(path=tuple(e for e in b.path if e.tag != "gold")) for b in page] for page in pages if page]
+    return [[b._replace(path=tuple(e for e in b.path.path() if e.tag != "gold")) for b in page] for page in pages if page]
