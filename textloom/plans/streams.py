@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from textloom.session import work_path
+from textloom.sources.tail import tail_logs
 from textloom.streaming import streams
 from textloom.tables import load
 
@@ -77,3 +79,31 @@ def stream_status(spark, sf_dir):
     latest = streams.latest_per_run(events, F.col("event_id"), "event_id", "ts", "value")
     running = streams.stream_status(latest, f"{out}/data", f"{out}/checkpoint")
     return streams.finish(running, lambda: streams.current_status(spark, f"{out}/data"))
+
+
+@query(
+    "log_tail",
+    """SELECT event_id, ts AS logged_at, CASE WHEN event_id <= (SELECT max(event_id) // 2 FROM events) THEN 1 ELSE 2 END AS trigger,
+       row_number() OVER (ORDER BY event_id) AS position FROM events""",
+)
+def log_tail(spark, sf_dir):
+    """Events written as logs in two halves with a trigger after each: every line arrives once, in its half and place."""
+    out = work_path(spark, "tail")
+    line = F.concat_ws(" ", F.col("event_id").cast("string"), F.col("ts").cast("string"))
+    events = load(spark, sf_dir, "events")
+    middle = F.floor(events.agg(F.max("event_id")).scalar() / 2)
+    for trigger, half in ((1, F.col("event_id") <= middle), (2, F.col("event_id") > middle)):
+        events.filter(half).orderBy("event_id").select(line.alias("value")).write.mode("append").text(f"{out}/logs")
+        lines = tail_logs(spark, f"{out}/logs", "*.txt").withColumn("trigger", F.lit(trigger))
+        streams.run_available(lines, f"{out}/lines", f"{out}/checkpoint").awaitTermination()
+    lines = spark.read.parquet(f"{out}/lines")
+    sizes = lines.groupBy("trigger", "path").agg(F.count(F.lit(1)).alias("n"))  # one row per writing task
+    before = sizes.select("trigger", "path", (F.sum("n").over(Window.orderBy("trigger", "path")) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("trigger", "path").orderBy("position"))
+    fields = F.split("line", " ", 2)
+    return lines.withColumn("place", place).join(before, ["trigger", "path"]).select(
+        fields[0].cast("bigint").alias("event_id"),
+        fields[1].cast("timestamp_ntz").alias("logged_at"),
+        "trigger",
+        (F.col("before") + F.col("place")).alias("position"),
+    )
