@@ -1,8 +1,11 @@
 import os
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from textloom.operators import runs as ops
 from textloom.streaming import streams
+from textloom.streaming.live import live_status
 
 DOCS = "doc_id long, text string"
 EVENTS = "run string, event_id long, ts timestamp, device int, used double"
@@ -45,6 +48,7 @@ def test_usage_drops_late_rows_and_keeps_open_windows(spark, folder):
     late = [("r", 4, "2024-01-01 00:30:00", 0, 99.0), ("r", 5, "2024-01-01 04:00:00", 0, 2.0)]
     got = run(put(spark, folder, late, schema, "b"))
     assert sorted((r.window_start.hour, r.samples, r.peak_used, r.closed) for r in got) == [(0, 2, 7.0, True), (2, 1, 1.0, True), (4, 1, 2.0, False)]
+    assert len([d for d in os.listdir(out) if d.startswith("version=")]) <= 2
 
 
 def test_status_stays_current(spark, folder):
@@ -65,3 +69,38 @@ def test_status_stays_current(spark, folder):
         got = run(put(spark, folder, [("a", 10 + i, "2024-01-01 00:00:00", 0, 1.0 * i)], schema, name))
     assert sorted((r.run, r.events, r.used) for r in got) == [("a", 6, 2.0), ("b", 1, 6.0)]
     assert len([d for d in os.listdir(out) if d.startswith("version=")]) == 2
+
+
+def test_a_silent_run_ends_by_its_timer(spark, folder):
+    """After each restart the table equals the batch status at the watermark."""
+    schema = "run string, event_id long, ts string, device int, used double"
+    start, seen = datetime(2024, 1, 1), []
+    out, state = os.path.join(folder, "out"), os.path.join(folder, "state")
+    steps = [
+        [("a", 0, 1), ("b", 0, 1), ("c", 1, 0), ("d", 2, 3)],  # run, minute, bits: 1 marker, 2 statistics
+        [("d", 40, 0), ("b", 41, 2)],
+        [("d", 300, 0)],
+        [("c", 301, 1), ("e", 330, 1)],
+        [("e", 700, 0)],
+    ]
+    told = set()
+    for i, rows in enumerate(steps):
+        seen += [(r, start + timedelta(minutes=m), bits) for r, m, bits in rows]
+        source = put(spark, folder, [(r, i, str(start + timedelta(minutes=m)), bits, 0.0) for r, m, bits in rows], schema, f"s{i}")
+        session = streams.timer_session(spark)
+        lines = streams.file_stream(session, source, spark.createDataFrame([], EVENTS).schema)
+        has = lambda bit: F.col("device").bitwiseAND(F.lit(bit)) != 0
+        query = streams.stream_status(live_status(lines, 3600, "5 minutes", has(1), has(2)), out, state)
+        got = {r.run: r.status for r in streams.finish(query, lambda: streams.current_status(session, out)).collect()}
+        mark = max(t for _, t, _ in seen) - timedelta(minutes=5)
+        facts = [
+            (r, any(x & 1 for q, _, x in seen if q == r), any(x & 2 for q, _, x in seen if q == r), max(t for q, t, _ in seen if q == r))
+            for r in {r for r, _, _ in seen}
+        ]
+        facts = spark.createDataFrame(facts, "run string, has_pid boolean, has_stats boolean, last_ts timestamp_ntz")
+        for name in ("found_batch", "epoch", "batch_size", "perplexity"):
+            facts = facts.withColumn(name, F.lit(None).cast("string"))
+        batch = ops.run_status(facts, F.lit(mark).cast("timestamp_ntz"), "INTERVAL 60 MINUTES")
+        assert got == {r.run: r.status for r in batch.collect()}
+        told |= set(got.values())
+    assert told == {"Unknown", "Running", "Completed", "Failed"}

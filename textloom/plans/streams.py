@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textloom.session import work_path
 from textloom.sources.tail import tail_logs
 from textloom.streaming import streams
+from textloom.streaming.live import live_status as live
 from textloom.tables import load
 
 QUERIES = {}
@@ -107,3 +108,25 @@ def log_tail(spark, sf_dir):
         "trigger",
         (F.col("before") + F.col("place")).alias("position"),
     )
+
+
+@query(
+    "live_status",
+    """WITH f AS (SELECT 'run_' || user_id AS run, bool_or(value > 60) AS has_pid, bool_or(event_type = 'purchase') AS has_stats,
+                  date_trunc('millisecond', max(ts)) AS last_ts FROM events GROUP BY user_id),
+m AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS mark FROM events)
+SELECT run, CASE WHEN NOT has_pid THEN 'Unknown' WHEN last_ts + INTERVAL 6 HOUR >= mark THEN 'Running'
+                 WHEN has_stats THEN 'Completed' ELSE 'Failed' END AS status, has_pid, has_stats, last_ts
+FROM f, m""",
+)
+def live_status(spark, sf_dir):
+    """Every event as a line of its user's run, some with its marker or statistics; runs end by timers at the watermark."""
+    out = work_path(spark, "live")
+    session = streams.timer_session(spark)
+    lines = table_stream(session, sf_dir, "events").select(
+        F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("run"), F.col("ts").cast("timestamp").alias("ts"), "value", "event_type"
+    )
+    changed = live(lines, 6 * 3600, "10 minutes", F.col("value") > 60, F.col("event_type") == "purchase")
+    running = streams.stream_status(changed, f"{out}/data", f"{out}/checkpoint")
+    stored = streams.finish(running, lambda: streams.current_status(session, f"{out}/data"))
+    return stored.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz"))

@@ -20,6 +20,15 @@ def state_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+def timer_session(spark: SparkSession) -> SparkSession:
+    """A state session for streams with timers: their state store, and times that mean the same to Python and Spark."""
+    session = state_session(spark)
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    return session
+
+
 def file_stream(
     spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet", files_per_batch: int | None = None
 ) -> DataFrame:
@@ -62,35 +71,19 @@ def windowed_usage(samples: DataFrame, window: str, delay: str, *by: str) -> Dat
     )
 
 
-def store_updates(changed: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
-    """Store what each trigger changed under its batch number; a repeated batch replaces itself."""
-
-    def store(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
-
-    return (
-        changed.writeStream.outputMode("update")
-        .foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
 def stream_usage(
     samples: DataFrame, output: str, checkpoint: str, window: str = "1 hour", delay: str = "10 minutes", by: str = "device"
 ) -> StreamingQuery:
     """Windows as they change, open ones included; :func:`current_usage` reads the newest state of each."""
-    return store_updates(windowed_usage(samples, window, delay, by), output, checkpoint)
+    return keep_current(windowed_usage(samples, window, delay, by), ["window_start", "window_end", by], output, checkpoint)
 
 
 def current_usage(spark: SparkSession, output: str, delay: str = "10 minutes", by: str = "device") -> DataFrame:
-    """Each window as its newest batch left it, and whether the watermark has closed it."""
-    stored = spark.read.parquet(output)
-    keys = ["window_start", "window_end", by]
-    newest = stored.groupBy(*keys).agg(F.max_by(F.struct("samples", "peak_used", "mean_used"), "batch").alias("_row"))
+    """Each window as its newest trigger left it, and whether the watermark has closed it."""
+    stored = current_table(spark, output)
     mark = stored.agg(F.max("newest") - F.expr(f"INTERVAL {delay}")).scalar()
-    return newest.select(*keys, "_row.*", (F.col("window_end") <= F.date_trunc("MILLISECOND", mark)).alias("closed"))
+    closed = F.col("window_end") <= F.date_trunc("MILLISECOND", mark)
+    return stored.select("window_start", "window_end", by, "samples", "peak_used", "mean_used", closed.alias("closed"))
 
 
 def latest_per_run(events: DataFrame, order: Column, *fields: str) -> DataFrame:
@@ -102,7 +95,7 @@ def latest_per_run(events: DataFrame, order: Column, *fields: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, output: str) -> list[int]:
-    """Numbers of the complete versions of a status table, oldest first."""
+    """Numbers of the complete versions of a table, oldest first."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(output)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not system.exists(folder):
@@ -112,27 +105,27 @@ def _versions(spark: SparkSession, output: str) -> list[int]:
     return sorted(int(n.split("=")[1]) for n in done if n.startswith("version="))
 
 
-def stream_status(latest: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
-    """Keep the status table current: each trigger writes the table anew with the runs that changed.
+def keep_current(changed: DataFrame, keys: list[str], output: str, checkpoint: str) -> StreamingQuery:
+    """Keep a table current: each trigger writes it anew with the rows that changed.
 
-    The table has one row per run, whatever the age of the stream. The version before stays until the next one is
+    The table has one row per key, whatever the number of triggers. The version before stays until the next one is
     complete, so a repeated batch starts from it again; older ones are deleted.
     """
 
-    def store(changed: DataFrame, batch_id: int) -> None:
-        spark = changed.sparkSession
+    def store(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
         before = [v for v in _versions(spark, output) if v < batch_id]
-        table = changed
+        table = rows
         if before:
-            kept = spark.read.schema(changed.schema).parquet(f"{output}/version={before[-1]}")
-            table = changed.unionByName(kept.join(changed.select("run"), "run", "left_anti"))
+            kept = spark.read.schema(rows.schema).parquet(f"{output}/version={before[-1]}")
+            table = rows.unionByName(kept.join(rows.select(*keys), keys, "left_anti"))
         table.write.mode("overwrite").parquet(f"{output}/version={batch_id}")
         for old in before[:-1]:
             path = spark._jvm.org.apache.hadoop.fs.Path(f"{output}/version={old}")
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     return (
-        latest.writeStream.outputMode("update")
+        changed.writeStream.outputMode("update")
         .foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -140,11 +133,21 @@ def stream_status(latest: DataFrame, output: str, checkpoint: str) -> StreamingQ
     )
 
 
-def current_status(spark: SparkSession, output: str) -> DataFrame:
-    """The status table: its newest complete version."""
+def current_table(spark: SparkSession, output: str) -> DataFrame:
+    """The newest complete version of a table that is kept current."""
     return spark.read.parquet(f"{output}/version={_versions(spark, output)[-1]}")
 
 
+def stream_status(latest: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
+    """Keep the newest row of each run."""
+    return keep_current(latest, ["run"], output, checkpoint)
+
+
+def current_status(spark: SparkSession, output: str) -> DataFrame:
+    """The status table."""
+    return current_table(spark, output)
+
+
 def finish(query: StreamingQuery, then: Callable[[], DataFrame]) -> DataFrame:
     """Wait for the available input and return what was stored."""
     query.awaitTermination()
