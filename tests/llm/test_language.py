@@ -97,3 +97,43 @@ def test_texts_have_a_boundary_on_either_side():
             own = whole[offsets[i] : offsets[i + 1]]
             assert own[own >= 0].tolist() == alone[alone >= 0].tolist()
     assert all((together[0][offsets[i] : offsets[i + 1]] >= 0).any() for i, t in enumerate(texts) if t)
+def slow_prediction(model, text):
+    """Window after window, from the definition."""
+    raw = bytes(language.NORMAL[b] for b in text.encode())
+    raw, rows = b" " + raw + b" ", []
+    for k, (size, factor) in enumerate(zip(language.WINDOWS, language.FACTORS)):
+        for i in range(len(raw) - size + 1):
+            window = raw[i : i + size]
+            if b" " not in window[1:-1]:
+                code = int.from_bytes(window, "little")
+                rows.append(model.table[((code * factor) % 2**32 >> 17) + k * language.BUCKETS])
+    logits = np.sum(rows, axis=0, dtype=float) / max(len(rows), 1) + model.bias
+    p = np.exp(logits / model.temperature)
+    return model.classes[int(np.argmax(p))], float(np.max(p) / p.sum())
+
+
+def test_predictions_recomputed_slowly(spark):
+    model = language.train(two_languages(spark))
+    r = np.random.default_rng(3)
+    texts = [" ".join(r.choice(OF[("xx", "yy")[i % 2]], 1 + i)) for i in range(30)] + ["A", "ab", "Äö kala!", "zwrt kala mola zwrt"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in language.identify(docs, model).collect():
+        lang, score = slow_prediction(model, row.text)
+        assert row.lang_pred == lang and abs(row.score - score) < 1e-5
+
+
+def test_the_sample_is_the_smallest_hashes_of_each_label(spark, monkeypatch):
+    docs = spark.range(20_000).selectExpr("id as doc_id", "'kala' as text", "if(id % 7 = 0, 'a', 'b') as lang")
+    known = docs.selectExpr("doc_id as id", "lang as label", "shiftrightunsigned(xxhash64(doc_id), 1) as at")
+    got = language._smallest(known, 500)
+    for label in "ab":
+        every = sorted(r.at for r in known.filter(f"label = '{label}'").collect())
+        some = sorted(r.at for r in got.filter(f"label = '{label}'").collect())
+        assert some[:500] == every[:500] and len(some) < 1_500
+
+
+def test_columns_with_helpers_names_stay_as_they_were(spark):
+    names = ["_rejected_text", "_rejected_lang", "_rejected_score", "_REJECTED", "_found", "_own_text", "_lang", "_score"]
+    docs = two_languages(spark).selectExpr("*", *[f"concat('{n}', doc_id) as {n}" for n in names])
+    got = language.accepted(docs)
+    assert got.columns == docs.columns and got.count() > 250 and got.exceptAll(docs).count() == 0

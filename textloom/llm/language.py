@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import bounded_batches, pieces, utf8
+from textloom.llm.common import bounded_batches, free_name, pieces, utf8
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 3_000
@@ -116,7 +116,7 @@ def held_out(doc_id: str) -> Column:
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct buckets with counts of each labelled text, and of one short stretch of it."""
+    """Distinct buckets of each labelled text, and of one short stretch of it, with their shares, as bytes."""
     for batch in batches:
         body, offsets = utf8(batch.column(0))
         out = []
@@ -128,14 +128,27 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bucket = np.concatenate([b[b >= 0] for b in subwords(part, np.array([0, len(part)]))])
                 if len(bucket):
                     index, count = np.unique(bucket, return_counts=True)
-                    out.append((label, short, index.tolist(), count.tolist()))
+                    out.append((label, short, index.astype("<u2").tobytes(), (count / count.sum()).astype("<f4").tobytes()))
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*out) if out else ([],) * 4, EXAMPLE_TYPES)],
-            names=["label", "short", "bucket", "n"],
+            names=["label", "short", "bucket", "share"],
         )
 
 
-EXAMPLE_TYPES = (pa.string(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+EXAMPLE_TYPES = (pa.string(), pa.bool_(), pa.binary(), pa.binary())
+
+
+def _smallest(known: DataFrame, sample_rows: int) -> DataFrame:
+    """Rows ``(id, label, at)`` that hold the ``sample_rows`` smallest ``at`` of each label, and about as many more.
+
+    Rows are counted by label and bit length of the hash, so a label of any size is at most 64 counts.
+    """
+    bits = F.length(F.bin("at"))
+    sizes = known.groupBy("label", bits.alias("bits")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("label").orderBy("bits").rowsBetween(Window.unboundedPreceding, -1))
+    last = sizes.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < sample_rows)
+    last = last.groupBy("label").agg(F.max("bits").alias("last"))
+    return known.join(last, "label").filter(bits <= F.col("last")).select("id", "label", "at")
 
 
 def train(
@@ -149,15 +162,15 @@ def train(
 ) -> LanguageModel:
     """Fit on at most ``sample_rows`` labelled rows that are not held out, the same number of each label.
 
-    Only ids and labels are read to choose them, and each task passes on a bounded number per label. The driver
-    gets bucket counts of the sample and counts of scores, never texts.
+    Only ids and labels are read to choose them: counts by label and bit length of a hash bound the rows that can be
+    chosen, and only those meet in a window. The driver gets buckets of the sample and counts of scores, never texts.
     """
-    order = F.xxhash64(F.col(doc_id).cast("string"), F.col(label))
+    order = F.shiftrightunsigned(F.xxhash64(F.col(doc_id).cast("string"), F.col(label)), 1)
     known = docs.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id)).select(
         F.col(doc_id).alias("id"), F.col(label).alias("label"), order.alias("at")
     )
     turn = F.row_number().over(Window.partitionBy("label").orderBy("at", "id"))
-    chosen = known.withColumn("turn", turn).filter(F.col("turn") <= sample_rows).orderBy("turn", "at", "id")
+    chosen = _smallest(known, sample_rows).withColumn("turn", turn).filter(F.col("turn") <= sample_rows).orderBy("turn", "at", "id")
     chosen = chosen.limit(sample_rows).select("id").distinct()
     labelled = (
         bounded_batches(docs).filter(F.col(label).isNotNull() & F.col(text).isNotNull())
@@ -166,18 +179,18 @@ def train(
     rows = (
         labelled.join(F.broadcast(chosen), "id", "left_semi")  # at most sample_rows ids
         .select("text", "label")
-        .mapInArrow(_examples, "label string, short boolean, bucket array<int>, n array<int>")
+        .mapInArrow(_examples, "label string, short boolean, bucket binary, share binary")
         .toArrow()
     )
-    labels, shorts, buckets, counts = (rows.column(i).combine_chunks() for i in range(4))
-    flat, ends = buckets.flatten().to_numpy(), buckets.offsets.to_numpy() - buckets.offsets[0].as_py()
-    weight = counts.flatten().to_numpy()
-    examples = [  # views of two arrays
-        (label, short, flat[a:b], weight[a:b])
-        for label, short, a, b in zip(labels.to_pylist(), shorts.to_pylist(), ends[:-1].tolist(), ends[1:].tolist())
+    examples = [  # views of the Arrow buffers
+        (label.as_py(), short.as_py(), np.frombuffer(bucket.as_buffer(), "<u2"), np.frombuffer(share.as_buffer(), "<f4"))
+        for label, short, bucket, share in zip(*rows.columns)
+        if bucket.is_valid
     ]
-    examples.sort(key=lambda e: (e[0], e[1], len(e[2]), e[2][:32].tolist(), float(e[3].sum())))
+    examples.sort(key=lambda e: (e[0], e[1], len(e[2]), e[2][:32].tolist(), e[3][:32].tolist()))
     model, kept_out = _fit(examples, epochs)
+    del examples, rows
+    pa.default_memory_pool().release_unused()
     if model.classes:
         others = labelled.filter(F.col("id").isNotNull() & ~held_out("id") & _letters("text"))
         others = others.join(F.broadcast(chosen), "id", "left_anti")
@@ -214,12 +227,11 @@ def _fit(examples: list, epochs: int) -> tuple[LanguageModel, np.ndarray]:
     target = np.array([classes.index(e[0]) for e in examples])
     embedding = np.zeros((size, EMBEDDING))
     weights, bias = rng.normal(0, 1 / np.sqrt(EMBEDDING), (EMBEDDING, len(classes))), np.zeros(len(classes))
-    share = [e[3] / e[3].sum() for e in examples]
     steps, done = epochs * len(used), 0
     for _ in range(epochs):
         for i in rng.permutation(used):
             rate, done = 1.0 - done / steps, done + 1
-            bucket, part = examples[i][2], share[i]
+            bucket, part = examples[i][2], examples[i][3].astype(float)
             hidden = part @ embedding[bucket]
             wrong = softmax((hidden @ weights + bias)[None])[0]
             wrong[target[i]] -= 1
@@ -231,7 +243,7 @@ def _fit(examples: list, epochs: int) -> tuple[LanguageModel, np.ndarray]:
     table[:-1] = embedding @ weights
     model = LanguageModel(classes, np.asfortranarray(table), bias)
     whole = [i for i in (kept_out if len(kept_out) else order) if not examples[i][1]] or list(order)
-    logits = np.array([share[i] @ table[examples[i][2]] + bias for i in whole])
+    logits = np.array([examples[i][3].astype(float) @ table[examples[i][2]] + bias for i in whole])
     truth = target[whole]
     tries = np.exp(np.linspace(np.log(0.05), np.log(20), 60))
     loss = [-np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in tries]
@@ -269,9 +281,7 @@ def identify(
         return docs.withColumns({lang: F.lit(UNKNOWN), score: F.lit(0.0), rejected: F.lit(True)})
     found = predictor(model)(F.col(text))
     kept = F.when(_letters(text), found)  # evaluated once: the struct is a column of its own below
-    name = "_found"
-    while name in docs.columns:
-        name = f"_{name}"
+    name = free_name(docs, "found")
     return (
         docs.withColumn(name, kept)
         .withColumns(
@@ -288,8 +298,6 @@ def identify(
 def accepted(docs: DataFrame, text: str = "text", label: str = "lang", doc_id: str = "doc_id") -> DataFrame:
     """The documents whose language is told, with all their columns as they were."""
     model = train(docs, text, label, doc_id)
-    name = "_rejected"
-    while name in docs.columns:
-        name = f"_{name}"
-    flagged = identify(docs.withColumn(f"{name}_text", F.col(text)), model, f"{name}_text", f"{name}_lang", f"{name}_score", name)
-    return flagged.filter(~F.col(name)).select(*docs.columns)
+    own, lang, score, gone = (free_name(docs, name) for name in ("own_text", "lang", "score", "rejected"))
+    flagged = identify(docs.withColumn(own, F.col(text)), model, own, lang, score, gone)
+    return flagged.filter(~F.col(gone)).select(*docs.columns)
