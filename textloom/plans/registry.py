@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textloom.plans import corpus, runs, streams, text
+from textloom.plans import corpus, rows, runs, streams, text
 
-GROUPS = [corpus, text, runs, streams]
+GROUPS = [corpus, text, rows, runs, streams]
 
 
 def queries() -> dict:
