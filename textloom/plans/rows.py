@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textloom.operators import batches, packing
+from textloom.operators import batches, packing, parallel_chunks
 from textloom.operators.tokens import MAX_LENGTH
-from textloom.plans.corpus import BASE_ALL
+from textloom.plans.corpus import BASE_ALL, CHUNKS_SQL, PARAGRAPH, documents
 from textloom.plans.text import ENCODE_SQL, encoded
 from textloom.session import materialise
 
@@ -79,3 +79,15 @@ def collate_batches(spark, sf_dir):
         digest("attention_mask").alias("mask_md5"),
         digest("labels").alias("labels_md5"),
     )
+
+
+@query(
+    "parallel_pack",
+    f"""WITH RECURSIVE {BASE_ALL}, {CHUNKS_SQL}
+SELECT doc_id, CAST(chunk_no AS INTEGER) AS chunk_no, length(text) AS chars, md5(text) AS text_md5 FROM chunks""",
+)
+def parallel_pack(spark, sf_dir):
+    """Chunks of all documents, packed by blocks of 64 paragraphs that know nothing of those before them."""
+    source = documents(spark, sf_dir).select("doc_id", "text")
+    found = parallel_chunks.parallel_pack(source, ["doc_id"], PARAGRAPH, block=64, group=4)
+    return found.select("doc_id", "chunk_no", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5"))
