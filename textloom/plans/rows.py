@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textloom.operators import batches, packing, parallel_chunks
+from textloom.operators import batches, packing, parallel_chunks, trainer
 from textloom.operators.tokens import MAX_LENGTH
 from textloom.plans.corpus import BASE_ALL, CHUNKS_SQL, PARAGRAPH, documents
 from textloom.plans.text import ENCODE_SQL, encoded
@@ -91,3 +91,44 @@ def parallel_pack(spark, sf_dir):
     source = documents(spark, sf_dir).select("doc_id", "text")
     found = parallel_chunks.parallel_pack(source, ["doc_id"], PARAGRAPH, block=64, group=4)
     return found.select("doc_id", "chunk_no", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5"))
+
+
+GRID = {"slow": {"rate": 0.05}, "fast": {"rate": 0.5}, "held": {"rate": 0.5, "penalty": 0.2}, "tight": {"rate": 0.2, "penalty": 0.01}}
+GRID_SQL = ", ".join(f"('{run}', {a['rate']}::DOUBLE, {a.get('penalty', 0.0)}::DOUBLE)" for run, a in GRID.items())
+
+
+@query(
+    "grid_trainer",
+    f"""WITH RECURSIVE d AS (
+  SELECT ln(1 + length(text)) / 10 AS x, (length(text) - length(replace(text, chr(10), ''))) / 10.0::DOUBLE AS y, doc_id % 5 = 0 AS test FROM documents
+), s AS (SELECT count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx, sum(y) AS sy, sum(x * y) AS sxy FROM d WHERE NOT test),
+grid(run, rate, penalty) AS (VALUES {GRID_SQL}),
+w AS (
+  SELECT 0 AS step, run, rate, penalty, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM grid
+  UNION ALL
+  SELECT step + 1, run, rate, penalty, a - rate * ((n * a + sx * b - sy) / n + penalty * a), b - rate * ((sx * a + sxx * b - sxy) / n + penalty * b)
+  FROM w, s WHERE step < 10
+), l AS (
+  SELECT run, any_value(a) AS a, any_value(b) AS b, count(*) AS test_rows, sum((a + b * x - y) * (a + b * x - y)) / 2 / count(*) AS test_loss
+  FROM w, d WHERE step = 10 AND test GROUP BY run
+)
+SELECT CAST(row_number() OVER (ORDER BY test_loss, run) AS INTEGER) AS position, run, round(a, 6) AS intercept, round(b, 6) AS slope,
+       n AS train_rows, test_rows, round(test_loss, 6) AS test_loss FROM l, s""",
+)
+def grid_trainer(spark, sf_dir):
+    """Lines of a document by its length: four configurations of one linear model, trained together."""
+    text = F.col("text")
+    lines = (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))) / 10.0
+    rows = documents(spark, sf_dir).select(
+        (F.log(1 + F.length(text)) / 10).alias("x"), lines.alias("y"), (F.col("doc_id") % 5 == 0).alias("test")
+    )
+    found = trainer.train_grid(rows, GRID, ["x"], "y", "test", steps=10)
+    return found.select(
+        "position",
+        "run",
+        F.round(F.col("parameters")[0], 6).alias("intercept"),
+        F.round(F.col("parameters")[1], 6).alias("slope"),
+        "train_rows",
+        "test_rows",
+        F.round("test_loss", 6).alias("test_loss"),
+    )
