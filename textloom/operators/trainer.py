@@ -45,15 +45,16 @@ class LinearTrainer:
 
 
 def _summed(rows: DataFrame, models: Sequence[tuple[Any, np.ndarray]], of: Callable) -> tuple[np.ndarray, int]:
-    """``of(trainer, parameters, x, y)`` summed over all rows for each model, and the number of rows."""
-    shared = rows.sparkSession.sparkContext.broadcast(models)
+    """``of(trainer, parameters, x, y)`` summed over all rows for each model, and the number of rows.
 
+    The models travel with the function, by value, so that a trainer may be a class of the caller's own script.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = [None] * len(shared.value), 0
+        total, n = [None] * len(models), 0
         for batch in batches:
             y = batch.column(1).to_numpy()
             x = batch.column(0).flatten().to_numpy().reshape(len(y), -1) if len(y) else None
-            for i, (trainer, parameters) in enumerate(shared.value if len(y) else ()):
+            for i, (trainer, parameters) in enumerate(models if len(y) else ()):
                 part = np.atleast_1d(of(trainer, parameters, x, y))
                 total[i] = part if total[i] is None else total[i] + part
             n += len(y)
