@@ -181,5 +181,11 @@ def grams(words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np
 
 
 def worker_store(name: str) -> dict:
-    """A dict that lives as long as the Python worker, for tables that tasks of one worker can share."""
-    return sys.modules["__main__"].__dict__.setdefault("_textloom_worker", {}).setdefault(name, {})
+    """A dict that lives as long as the Python worker, for tables that its tasks can share; only one name's is kept.
+
+    Operators that need none ask too, so that no worker carries the tables of an earlier operator along.
+    """
+    stores = sys.modules["__main__"].__dict__.setdefault("_textloom_worker", {})
+    for other in stores.keys() - {name}:
+        stores.pop(other).clear()
+    return stores.setdefault(name, {})

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import bounded_batches, discard, free_name, store, utf8
+from textloom.llm.common import bounded_batches, discard, free_name, store, utf8, worker_store
 from textloom.llm.components import components
 
 MAX_BITS = 4
@@ -82,6 +82,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 @F.arrow_udf(T.LongType())
 def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Fingerprint of each text as a signed long."""
+    worker_store("simhash")
     for texts in batches:
         body, offsets = utf8(texts)
         values = [fingerprint(body[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
@@ -165,13 +166,18 @@ def _near() -> Column:
     return F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= MAX_BITS
 
 
+def _keyed(nodes: DataFrame) -> DataFrame:
+    """``(fp, c, key)``; fingerprints are dealt to a set number of tasks, for their keys are seventy times their bytes."""
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return nodes.repartition(tasks, "fp").mapInArrow(_keys, "fp long, c long, key long")
+
+
 def links(nodes: DataFrame) -> tuple[DataFrame, list[str]]:
     """Links ``(a, b)`` between distinct fingerprints that connect all that is connected.
 
     ``nodes`` has one column ``fp`` without repeats. Also returned: stored tables to discard after use.
     """
-    kinds = "fp long, c long, key long"
-    keyed = nodes.select("fp", F.col("fp").alias("c")).mapInArrow(_keys, kinds)
+    keyed = _keyed(nodes.select("fp", F.col("fp").alias("c")))
     first = keyed.groupBy("key").agg(F.min("fp").alias("fp"))
     stars = keyed.alias("x").join(first.alias("y"), "key").filter((F.col("x.fp") != F.col("y.fp")) & _near())
     stars, stars_path = store(stars.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct(), "stars")
@@ -179,7 +185,7 @@ def links(nodes: DataFrame) -> tuple[DataFrame, list[str]]:
     placed = nodes.join(groups, nodes["fp"] == groups["node"], "left").select(
         "fp", F.coalesce("component", "fp").alias("c")
     )
-    keyed = placed.mapInArrow(_keys, kinds)
+    keyed = _keyed(placed)
     apart = keyed.alias("x").join(keyed.alias("y"), "key").filter((F.col("x.c") < F.col("y.c")) & _near())
     apart = apart.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
     return stars.unionByName(apart), [stars_path, groups_path]
