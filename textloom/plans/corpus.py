@@ -11,7 +11,7 @@ from textloom.operators.chunks import chunk_paragraphs, chunk_stats, first_chunk
 from textloom.operators.ranking import global_rank, sample_n, sorted_rank
 from textloom.operators.split import apply_split, corpus_counts, having_result, split_overlap, train_test_split
 from textloom.session import materialise, spread, work_path
-from textloom.sources import cache, files, manifest
+from textloom.sources import cache, files, manifest, snapshots
 from textloom.tables import file_listing, load, page_rows
 
 PARAGRAPH = "\n"  # the driver documents separate paragraphs with one newline
@@ -493,3 +493,20 @@ def sorted_paths(spark, sf_dir):
     """Paths in order, with their place in it."""
     placed = sorted_rank(file_listing(spark, sf_dir).select("path"), [F.col("path")])
     return placed.select("path", (F.col("rank") + 1).alias("position"))
+
+
+@query(
+    "snapshot_diff",
+    """WITH old AS (SELECT doc_id, md5(text) AS h FROM documents WHERE doc_id % 50 <> 1),
+new AS (SELECT doc_id, CASE WHEN doc_id % 50 = 2 THEN md5(text || '!') ELSE md5(text) END AS h FROM documents WHERE doc_id % 50 <> 3)
+SELECT doc_id, CASE WHEN old.h IS NULL THEN 'new' WHEN new.h IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM old FULL JOIN new USING (doc_id) WHERE old.h IS DISTINCT FROM new.h""",
+)
+def snapshot_diff(spark, sf_dir):
+    """Two snapshots of all documents; some are new, some gone and some changed in the second."""
+    out = work_path(spark, "snapshots")
+    docs, slot = documents(spark, sf_dir), F.col("doc_id") % 50
+    text = F.when(slot == 2, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    for name, rows in (("old", docs.filter(slot != 1)), ("new", docs.filter(slot != 3).withColumn("text", text))):
+        snapshots.write_snapshot(rows.withColumn("digest", F.md5("text")), ["doc_id"], "digest", f"{out}/{name}")
+    return snapshots.snapshot_diff(spark, f"{out}/old", f"{out}/new", ["doc_id"])
