@@ -104,3 +104,28 @@ def test_a_silent_run_ends_by_its_timer(spark, folder):
         assert got == {r.run: r.status for r in batch.collect()}
         told |= set(got.values())
     assert told == {"Unknown", "Running", "Completed", "Failed"}
+
+
+def test_a_text_is_ingested_once_across_files_and_restarts(spark, folder):
+    schema = "doc_id long, text string, arrived timestamp"
+    out, state = os.path.join(folder, "out"), os.path.join(folder, "state")
+    day = datetime(2024, 1, 1)
+    steps = [
+        ([(1, "a" * 9, day), (2, "a" * 9, day), (3, "b" * 9, day), (4, "short", day), (5, None, day)], {"a", "b"}),
+        ([(6, "a" * 9, day + timedelta(days=1)), (7, "c" * 9, day + timedelta(days=1))], {"c"}),
+        ([(8, "d" * 9, day + timedelta(days=30))], {"d"}),
+        ([(9, "a" * 9, day + timedelta(days=31)), (10, "d" * 9, day + timedelta(days=31))], {"a"}),  # forgotten, remembered
+    ]
+    before = 0
+    for i, (rows, new) in enumerate(steps):
+        frame = spark.createDataFrame(rows, schema)
+        frame.coalesce(1).write.parquet(os.path.join(folder, "staging", f"o{i}"))
+        source = os.path.join(folder, "in")
+        os.makedirs(source, exist_ok=True)
+        part = next(p for p in os.listdir(os.path.join(folder, "staging", f"o{i}")) if p.endswith(".parquet"))
+        os.link(os.path.join(folder, "staging", f"o{i}", part), os.path.join(source, f"o{i}.parquet"))
+        stream = streams.file_stream(streams.state_session(spark), source, frame.schema)
+        stored = streams.finish(streams.ingest_once(stream, out, state, 6), lambda: spark.read.parquet(out)).collect()
+        assert len(stored) == before + len(new)
+        before = len(stored)
+        assert new <= {r.text[0] for r in stored}

@@ -130,3 +130,15 @@ def live_status(spark, sf_dir):
     running = streams.stream_status(changed, f"{out}/data", f"{out}/checkpoint")
     stored = streams.finish(running, lambda: streams.current_status(session, f"{out}/data"))
     return stored.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz"))
+
+
+@query(
+    "ingest_once",
+    "SELECT DISTINCT md5(text) AS digest, length(text) AS n_chars FROM documents WHERE length(text) >= 500",
+)
+def ingest_once(spark, sf_dir):
+    """Different texts of all documents, dated by their file."""
+    out = work_path(spark, "once")
+    arriving = table_stream(streams.state_session(spark), sf_dir, "documents").withColumn("arrived", F.col("_metadata.file_modification_time"))
+    running = streams.ingest_once(arriving, f"{out}/data", f"{out}/checkpoint")
+    return streams.finish(running, lambda: spark.read.parquet(f"{out}/data")).select("digest", "n_chars")

@@ -55,6 +55,19 @@ def stream_ingest(stream: DataFrame, output: str, checkpoint: str, minimum: int
     return run_available(min_chars(stream, minimum), output, checkpoint)
 
 
+def ingest_once(
+    stream: DataFrame, output: str, checkpoint: str, minimum: int = MIN_CHARS, arrived: str = "arrived", delay: str = "7 days", text: str = "text"
+) -> StreamingQuery:
+    """Keep long enough documents whose text has not come before, in any file and across restarts.
+
+    Of equal texts one row is kept, with ``digest``. ``arrived`` is the time of a row, such as its file's; a text is remembered
+    until the watermark, the newest time less ``delay``, has passed its first row by ``delay``, so the state holds digests of that
+    span only.
+    """
+    kept = min_chars(stream, minimum).withColumn("digest", F.md5(text)).withWatermark(arrived, delay)
+    return run_available(kept.dropDuplicatesWithinWatermark(["digest"]), output, checkpoint)
+
+
 def windowed_usage(samples: DataFrame, window: str, delay: str, *by: str) -> DataFrame:
     """Peak and mean of ``used`` per tumbling window of ``ts``; rows behind the watermark are dropped."""
     return (
