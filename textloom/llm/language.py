@@ -148,7 +148,8 @@ def _smallest(known: DataFrame, sample_rows: int) -> DataFrame:
     before = F.sum("n").over(Window.partitionBy("label").orderBy("bits").rowsBetween(Window.unboundedPreceding, -1))
     last = sizes.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < sample_rows)
     last = last.groupBy("label").agg(F.max("bits").alias("last"))
-    return known.join(last, "label").filter(bits <= F.col("last")).select("id", "label", "at")
+    # a row per class; broadcast by hint, or the rows would be dealt by label before they are bounded
+    return known.join(F.broadcast(last), "label").filter(bits <= F.col("last")).select("id", "label", "at")
 
 
 def train(
