@@ -17,7 +17,8 @@ HEADLINE = (
     "train_test_split split_disjoint sample_n epoch_batches vocab encode truncation_report batch_size_frontier "
     "score_batches evaluate_perplexity "
     "ngram_lm lm_perplexity sweep perplexity read_logs parse_log hardware_usage search_bounds trial_frontier tail_per_run "
-    "compare_runs run_status stream_usage stream_status"
+    "compare_runs run_status stream_usage stream_status "
+    "parallel_pack pack_sequences collate_batches live_status"
 ).split()
 
 
