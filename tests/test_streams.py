@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from textloom.operators import runs as ops
+from textloom.plans import streams as plans
 from textloom.streaming import streams
 from textloom.streaming.live import live_status
 
@@ -129,3 +130,16 @@ def test_a_text_is_ingested_once_across_files_and_restarts(spark, folder):
         assert len(stored) == before + len(new)
         before = len(stored)
         assert new <= {r.text[0] for r in stored}
+
+
+def stored_table(spark, folder):
+    """Documents as a folder of three files, named unlike the table."""
+    rows = [(1, "en", "a" * 600), (2, "de", "b" * 600), (3, "en", "a" * 600), (4, "en", "short"), (5, None, None), (5, "fr", "c" * 500)]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, text string").withColumn("n_chars", F.length("text").cast("long"))
+    frame.repartition(3).write.parquet(os.path.join(folder, "documents.parquet"))
+    return folder
+
+
+def test_stream_ingest_of_a_table_in_many_files(spark, folder):
+    got = plans.stream_ingest(spark, stored_table(spark, folder)).collect()
+    assert sorted((r.doc_id, r.lang, r.n_chars) for r in got) == [(1, "en", 600), (2, "de", 600), (3, "en", 600), (5, "fr", 500)]

@@ -26,7 +26,11 @@ def query(name: str, oracle: str | None = None):
 
 
 def table_stream(spark, sf_dir, name):
-    return streams.file_stream(spark, sf_dir, load(spark, sf_dir, name).schema, f"{name}.parquet")
+    """A table as a stream, whether it is one file or a folder of files."""
+    path, schema = f"{sf_dir}/{name}.parquet", load(spark, sf_dir, name).schema
+    if streams.is_folder(spark, path):
+        return streams.file_stream(spark, path, schema, "*")
+    return streams.file_stream(spark, sf_dir, schema, f"{name}.parquet")
 
 
 @query(

@@ -29,6 +29,12 @@ def timer_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path names a folder; a file stream lists folders, and takes one file by its folder and name only."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(named).isDirectory()
+
+
 def file_stream(
     spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet", files_per_batch: int | None = None
 ) -> DataFrame:
