@@ -1,5 +1,6 @@
 import os
 from datetime import datetime, timedelta
+from hashlib import md5
 
 from pyspark.sql import functions as F
 
@@ -143,3 +144,8 @@ def stored_table(spark, folder):
 def test_stream_ingest_of_a_table_in_many_files(spark, folder):
     got = plans.stream_ingest(spark, stored_table(spark, folder)).collect()
     assert sorted((r.doc_id, r.lang, r.n_chars) for r in got) == [(1, "en", 600), (2, "de", 600), (3, "en", 600), (5, "fr", 500)]
+
+
+def test_ingest_once_of_a_table_in_many_files(spark, folder):
+    got = plans.ingest_once(spark, stored_table(spark, folder)).collect()
+    assert sorted((r.digest, r.n_chars) for r in got) == sorted((md5((c * n).encode()).hexdigest(), n) for c, n in (("a", 600), ("b", 600), ("c", 500)))
