@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from textloom.operators import documents as docs
 from textloom.operators.chunks import chunk_paragraphs, first_chunks
 from textloom.operators.split import apply_split, corpus_counts, split_overlap, train_test_split
+from textloom.plans import corpus as plans
 from textloom.sources import cache, files, manifest
 
 
@@ -282,3 +283,16 @@ def test_first_chunks_equals_prefix_of_all(spark):
     every = [tuple(r) for r in chunk_paragraphs(frame, limit=10).orderBy("doc_id", "chunk_no").collect()]
     for n in (1, 2, 3, 50):
         assert sorted(tuple(r) for r in first_chunks(frame, n, limit=10).collect()) == every[:n]
+
+
+def test_stored_files_are_found_and_read(spark, folder):
+    rows = [(i, f"text {i}\r\nlast ü") for i in range(1, 300)] + [(500, ""), (501, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(os.path.join(folder, "documents.parquet"))
+    stored = plans.stored_files(spark, folder)
+    assert len(os.listdir(stored)) <= plans.FILE_SHARDS  # not a folder per document, each of which would be a task of the listing
+    found = files.discover(spark, stored, ".txt", recursive=True)
+    assert found.rdd.getNumPartitions() <= 16  # not 4 MB of a task for each file
+    size = lambda i, t: len((t or "").encode()) + (2 if i % 97 == 0 else 1)
+    assert sorted((r.doc_id, r.length) for r in plans.discover_files(spark, folder).collect()) == [(i, size(i, t)) for i, t in rows]
+    read = {r.doc_id: (r.n_chars, r.error) for r in plans.read_texts(spark, folder).collect()}
+    assert read == {i: (None, "invalid UTF-8") if i % 97 == 0 else (len((t or "").replace("\r\n", "\n")) + 1, None) for i, t in rows}

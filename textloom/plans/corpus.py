@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import itertools
+from collections.abc import Iterator
+
+from pyarrow.fs import FileSystem
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.text import html_text, output_name
@@ -102,17 +106,40 @@ def corpus_slice(spark, sf_dir):
 # --- sources ------------------------------------------------------------------------------------
 
 
+FILE_SHARDS = 64  # folders that hold the folders of the documents; each is made and listed by one task
+
+
+def _store_files(folder: str):
+    """Writer of rows ``(shard, name, value)`` that come in the order of their names, one file per name and one line per row."""
+
+    def write(rows: Iterator[Row]) -> None:
+        system, top = FileSystem.from_uri(folder)
+        for (shard, name), lines in itertools.groupby(rows, lambda row: (row.shard, row.name)):
+            place = f"{top}/shard={shard}/name={name}"
+            system.create_dir(place)
+            with system.open_output_stream(f"{place}/part-0.txt") as out:
+                for line in lines:
+                    out.write(bytes(line.value or b"") + b"\n")
+
+    return write
+
+
 def stored_files(spark: SparkSession, sf_dir: str) -> str:
-    """Every document as a file in a folder of its own, ``name=my doc 5%``; returns the folder above.
+    """Every document as a file in a folder of its own, ``name=my doc 5%``, in one of the shards of the returned folder.
 
-    Every 97th document gets a byte that no UTF-8 text has.
+    Every 97th document gets a byte that no UTF-8 text has. Spark's own writer runs a process to set the mode of each
+    local file and its driver moves each document's folder, one after the other; here every task puts its files in place.
     """
     folder = work_path(spark, "files")
     broken = F.when(F.col("doc_id") % 97 == 0, F.expr("cast(X'FF' AS string)")).otherwise("")
     text = F.concat("text", broken)
-    name = F.concat(F.lit("my doc "), F.col("doc_id"), F.lit("%"))
-    rows = documents(spark, sf_dir).select(name.alias("name"), text.alias("value"))
-    rows.write.partitionBy("name").option("lineSep", "\n").text(folder)
+    name = F.concat(F.lit("my doc "), F.col("doc_id"), F.lit("%25"))  # escaped as Spark escapes a partition's value
+    name = F.coalesce(name, F.lit("__HIVE_DEFAULT_PARTITION__"))
+    shard = F.pmod(F.crc32(name.cast("binary")), F.lit(FILE_SHARDS))
+    rows = documents(spark, sf_dir).select(shard.alias("shard"), name.alias("name"), text.cast("binary").alias("value"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
+    rows.repartition(FILE_SHARDS, "shard").sortWithinPartitions("shard", "name").foreachPartition(_store_files(whole))
     return folder
 
 

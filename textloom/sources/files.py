@@ -8,12 +8,21 @@ from pyspark.sql import functions as F
 from textloom.functions.text import base_name
 
 
+def small_files(spark: SparkSession) -> SparkSession:
+    """Session for scans of very many small files: one counts little more than its bytes, so a task takes hundreds of them."""
+    session = spark.newSession()
+    for name in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        session.conf.set(name, spark.conf.get(name))
+    session.conf.set("spark.sql.files.openCostInBytes", "64k")
+    return session
+
+
 def discover(spark: SparkSession, folder: str, extension: str, recursive: bool = False) -> DataFrame:
     """Files of one extension directly in a folder, or also below it, case-sensitive; file contents are not read.
 
     Files of zero bytes hold no document and are not listed by Spark's file sources.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{extension}")
+    reader = small_files(spark).read.format("binaryFile").option("pathGlobFilter", f"*{extension}")
     listing = reader.option("recursiveFileLookup", str(recursive).lower()).load(folder)
     return listing.select("path", base_name(F.col("path")).alias("file_name"), "length", "modificationTime")
 
