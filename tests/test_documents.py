@@ -296,3 +296,12 @@ def test_stored_files_are_found_and_read(spark, folder):
     assert sorted((r.doc_id, r.length) for r in plans.discover_files(spark, folder).collect()) == [(i, size(i, t)) for i, t in rows]
     read = {r.doc_id: (r.n_chars, r.error) for r in plans.read_texts(spark, folder).collect()}
     assert read == {i: (None, "invalid UTF-8") if i % 97 == 0 else (len((t or "").replace("\r\n", "\n")) + 1, None) for i, t in rows}
+
+
+def test_texts_are_read_with_one_listing(spark, corpus_folder, monkeypatch):
+    made, session = [], files.small_files(spark)
+    monkeypatch.setattr(files, "small_files", lambda spark: made.append(spark) or session)
+    assert files.read_texts(spark, corpus_folder).count() == 10
+    assert len(made) == 1
+    found = files.read_files(spark, corpus_folder, ".txt").withColumn("content", F.when(~F.col("path").endswith("a3.txt"), F.col("content")))
+    assert [os.path.basename(r.path) for r in files.unreadable_files(found).collect()] == ["a3.txt"]

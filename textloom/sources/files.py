@@ -40,16 +40,16 @@ def plain_path(path: Column) -> Column:
 
 def read_files(spark: SparkSession, folder: str, extension: str, recursive: bool = False) -> DataFrame:
     """Whole files as ``(path, content)``; one file is one document. Files that cannot be read are left out."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{extension}").option("ignoreCorruptFiles", "true")
+    reader = small_files(spark).read.format("binaryFile").option("pathGlobFilter", f"*{extension}").option("ignoreCorruptFiles", "true")
     return reader.option("recursiveFileLookup", str(recursive).lower()).load(folder).select("path", "content")
 
 
-def unreadable_files(spark: SparkSession, folder: str, extension: str, recursive: bool = False) -> DataFrame:
-    """``path`` of the listed files that give no content; the contents are read, only paths are compared."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{extension}")
-    listed = reader.option("recursiveFileLookup", str(recursive).lower()).load(folder).select("path")
-    read = read_files(spark, folder, extension, recursive).filter(F.length("content") >= 0)
-    return listed.join(read.select("path"), "path", "left_anti")
+def unreadable_files(files: DataFrame) -> DataFrame:
+    """``path`` of the listed files of :func:`read_files` that give no content; the contents are read, only paths are compared.
+
+    Without the contents no file is opened, so the paths alone are those of the listing, which is made once for both.
+    """
+    return files.select("path").join(files.filter(F.length("content") >= 0).select("path"), "path", "left_anti")
 
 
 def decode_texts(files: DataFrame, content: str = "content") -> DataFrame:
@@ -66,10 +66,9 @@ def decode_texts(files: DataFrame, content: str = "content") -> DataFrame:
 
 def read_texts(spark: SparkSession, folder: str, extension: str = ".txt", recursive: bool = False) -> DataFrame:
     """``(path, text, error)`` of a folder; files that cannot be read or decoded carry ``error`` and no text."""
-    broken = unreadable_files(spark, folder, extension, recursive).select(
-        "path", F.lit(None).cast("string").alias("text"), F.lit("unreadable").alias("error")
-    )
-    return decode_texts(read_files(spark, folder, extension, recursive)).unionByName(broken)
+    found = read_files(spark, folder, extension, recursive)
+    broken = unreadable_files(found).select("path", F.lit(None).cast("string").alias("text"), F.lit("unreadable").alias("error"))
+    return decode_texts(found).unionByName(broken)
 
 
 def write_documents(documents: DataFrame, path: str, by_split: bool = False, mode: str = "append") -> None:
