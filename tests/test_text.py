@@ -304,3 +304,13 @@ def test_other_tokens_repeat_in_and_across_chunks(spark, vocab, monkeypatch):
     for r in tokens.encode(frame, vocab, 8).join(frame, ["doc_id", "chunk_no"]).collect():
         want = [tokens.BOS] + [ids.get(t, tokens.UNK) for t in (r.text or "").split()]
         assert r.input_ids == want + [tokens.PAD] * (8 - len(want))
+
+
+def test_tokenizer_batches_are_bounded_by_their_texts(spark):
+    texts = ["x" * 1_000] * 2_000 + ["y" * (2 * tokens.HOOK_CHARS), "", "z"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    tokenizer = lambda: lambda batch: [[len(text), sum(map(len, batch))] for text in batch]
+    got = tokens.tokenize_with(frame, tokenizer, item="bigint").orderBy("id").collect()
+    assert [r.tokens[0] for r in got] == [len(text) for text in texts]
+    assert max(r.tokens[1] for r in got if r.text[:1] == "x") <= tokens.HOOK_CHARS + 1_000
+    assert max(r.tokens[1] for r in got) <= 3 * tokens.HOOK_CHARS

@@ -1,7 +1,10 @@
-"""Column functions on numbers."""
+"""Column functions on numbers, and runs of bounded size for work on batches."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,3 +33,10 @@ def gigabytes(size: Column) -> Column:
 
 def perplexity_of(loss: Column) -> Column:
     return F.exp(loss)
+
+
+def bounded_runs(sizes: Sequence[int] | np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Start and end of consecutive items whose sizes sum to at most ``most`` and one item."""
+    last = np.cumsum(sizes, dtype=np.int64) // most
+    cuts = (np.flatnonzero(np.diff(last)) + 1).tolist()
+    yield from zip([0, *cuts], [*cuts, len(last)]) if len(last) else ()

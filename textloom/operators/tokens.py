@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.functions.numbers import bounded_runs
 from textloom.operators.ranking import sorted_rank
 from textloom.session import materialise
 
@@ -28,6 +29,9 @@ TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\r\f\x0b]+"
 HEAD_TOKENS = 65_536
 HEAD_CHARS = 64
 
+# Characters of texts whose tokens a task of a user tokenizer holds at once, besides one longer text.
+HOOK_CHARS = 1 << 19
+
 
 def tokenize(text: Column, pattern: str = TOKEN_PATTERN) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -36,13 +40,18 @@ def tokenize(text: Column, pattern: str = TOKEN_PATTERN) -> Column:
 def tokenize_with(
     df: DataFrame, tokenizer: Callable[[], Callable[[list[str]], list]], text_col: str = "text", item: str = "string"
 ) -> DataFrame:
-    """Add ``tokens`` from a user tokenizer; ``tokenizer()`` is called once per task, its result once per batch."""
+    """Add ``tokens`` from a user tokenizer; ``tokenizer()`` is called once per task, its result once per batch.
+
+    A batch is cut where its texts reach ``HOOK_CHARS`` characters, as the tokens of all its rows can be many times their texts.
+    """
 
     @F.pandas_udf(f"array<{item}>")
     def split_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode_batch = tokenizer()
         for batch in batches:
-            yield pd.Series(encode_batch(batch.tolist()))
+            texts = batch.tolist()
+            for start, end in bounded_runs([len(t) if isinstance(t, str) else 0 for t in texts], HOOK_CHARS):
+                yield pd.Series(encode_batch(texts[start:end]))
 
     return df.withColumn("tokens", split_batches(F.col(text_col)))
 
