@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -42,3 +43,24 @@ def test_one_huge_document(spark):
 
 def test_no_documents(spark):
     assert pc.parallel_pack(spark.createDataFrame([], "doc_id long, text string"), ["doc_id"]).count() == 0
+
+
+def test_tables_take_bounded_memory():
+    """Tables of one state where the past does not matter, and batches of few full ones."""
+    sizes = pa.array([[0, 1]] * 3_000, pa.list_(pa.int32()))
+    blocks = {"doc_id": list(range(3_000)), "_block": [0, 1, 2] * 1_000, "_sizes": sizes}
+    made = list(pc._tables(2_048, 1, ["doc_id"])([pa.RecordBatch.from_pydict(blocks)]))
+    lengths = [len(t) for b in made for t in b.column("_table").to_pylist()]
+    assert lengths == [4, 2_050 * 4, 2_050 * 4] * 1_000
+    assert max(sum(map(len, b.column("_table").to_pylist())) for b in made) <= pc.HELD_BYTES + 2_050 * 4
+    assert [i for b in made for i in b.column("doc_id").to_pylist()] == list(range(3_000))
+    full = {"doc_id": [1], "_block": [1], "_sizes": pa.array([[3_000, 1]], pa.list_(pa.int32()))}
+    assert [len(t) for b in pc._tables(2_048, 1, ["doc_id"])([pa.RecordBatch.from_pydict(full)]) for t in b.column("_table").to_pylist()] == [4]
+
+
+def test_numbers_come_in_bounded_batches():
+    sizes = pa.array([[1] * 4_096] * 400, pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(400)), "_block": [0] * 400, "_sizes": sizes, "_state": [0] * 400})
+    made = list(pc._numbered(10, 1, ["doc_id"])([batch]))
+    assert [i for b in made for i in b.column("doc_id").to_pylist()] == list(range(400))
+    assert max(b.column("_numbers").nbytes for b in made) <= pc.HELD_BYTES * 1.2

@@ -13,15 +13,18 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.functions.numbers import bounded_runs
 from textloom.functions.text import paragraphs
 from textloom.operators.chunks import CHUNK_LIMIT
 from textloom.session import materialise
 
 BLOCK = 4_096  # paragraphs of a table
 GROUP = 256  # tables that are composed at once
+HELD_BYTES = 4 << 20  # of the rows that a task makes at once
 
 
 def _transition(sizes: np.ndarray, limit: int, gap: int, states: np.ndarray) -> np.ndarray:
@@ -44,17 +47,39 @@ def _starts(sizes: np.ndarray, limit: int, gap: int, state: int) -> tuple[np.nda
     return out, state
 
 
+def _after(table: np.ndarray, state):
+    """The state or states after a table; a table of one state gives it whatever came before."""
+    return table[state] if len(table) > 1 else table
+
+
+def _in_runs(batches: Iterator[pa.RecordBatch], column: str, item: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces whose lists hold ``HELD_BYTES`` at ``item`` bytes for each element."""
+    for batch in batches:
+        held = np.asarray(pc.list_value_length(batch.column(column))) + 1  # a row is counted besides its elements
+        for start, end in bounded_runs(held, max(HELD_BYTES // item, 1)):
+            yield batch.slice(start, end - start)
+
+
 def _tables(limit: int, gap: int, names: list[str]):
+    """A table for each block: ``limit`` + 2 states, or one where what came before does not matter."""
+
+    def made(batch: pa.RecordBatch, end: int, tables: list[bytes]) -> pa.RecordBatch:
+        own = batch.slice(end - len(tables), len(tables))
+        columns = [own.column(n) for n in (*names, "_block")]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(tables, pa.binary())], names=[*names, "_at", "_table"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tables = []
-            for number, sizes in zip(batch.column("_block").to_pylist(), batch.column("_sizes")):
+            tables, held = [], 0
+            for i, (number, sizes) in enumerate(zip(batch.column("_block").to_pylist(), batch.column("_sizes"))):
                 # a document starts empty, so its first block needs one state only
                 states = np.arange(limit + 2) if number else np.zeros(1, np.int64)
-                found = _transition(sizes.values.to_numpy(), limit, gap, states)
-                tables.append(np.resize(found, limit + 2).astype("<i4").tobytes() if len(found) == 1 else found.astype("<i4").tobytes())
-            columns = [batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, batch.column("_block"), pa.array(tables, pa.binary())], names=[*names, "_at", "_table"])
+                tables.append(_transition(sizes.values.to_numpy(), limit, gap, states).astype("<i4").tobytes())
+                held += len(tables[-1])
+                if held > HELD_BYTES:
+                    yield made(batch, i + 1, tables)
+                    tables, held = [], 0
+            yield made(batch, len(batch), tables)
 
     return run
 
@@ -63,13 +88,13 @@ def _composed(names: list[str]):
     """One table for each group, in the order of ``_held``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches:  # of as many bytes as Arrow batches may have; a group's table is no longer than those it is made of
             tables = []
             for held in batch.column("_held"):
                 state = None
                 for table in held.values.field("_table"):
                     table = np.frombuffer(table.as_buffer(), "<i4")
-                    state = table if state is None else table[state]
+                    state = table if state is None else _after(table, state)
                 tables.append(np.ascontiguousarray(state).tobytes())
             columns = [batch.column(n) for n in (*names, "_group")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(tables, pa.binary())], names=[*names, "_at", "_table"])
@@ -87,7 +112,7 @@ def _walked(names: list[str]):
                 own = []
                 for table in held.values.field("_table"):
                     own.append(state)
-                    state = int(np.frombuffer(table.as_buffer(), "<i4")[state])
+                    state = int(np.atleast_1d(_after(np.frombuffer(table.as_buffer(), "<i4"), state))[0])
                 states.append(own)
             at = pa.array([held.values.field("_at").to_pylist() for held in batch.column("_held")], pa.list_(pa.int64()))
             columns = [batch.column(n) for n in names]
@@ -116,7 +141,7 @@ def _numbered(limit: int, gap: int, names: list[str]):
     """Blocks with the chunk number of each paragraph inside the block: -1 goes on with what was open, null is in none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _in_runs(batches, "_sizes", 8):
             numbers, counts = [], []
             for sizes, state in zip(batch.column("_sizes"), batch.column("_state").to_pylist()):
                 sizes = sizes.values.to_numpy()
