@@ -149,3 +149,21 @@ def test_stream_ingest_of_a_table_in_many_files(spark, folder):
 def test_ingest_once_of_a_table_in_many_files(spark, folder):
     got = plans.ingest_once(spark, stored_table(spark, folder)).collect()
     assert sorted((r.digest, r.n_chars) for r in got) == sorted((md5((c * n).encode()).hexdigest(), n) for c, n in (("a", 600), ("b", 600), ("c", 500)))
+
+
+def test_ingest_once_of_files_without_a_time(spark, folder):
+    table = os.path.join(stored_table(spark, folder), "documents.parquet")
+    for name in os.listdir(table):
+        os.utime(os.path.join(table, name), (0, 0))
+    got = plans.ingest_once(spark, folder).collect()
+    assert sorted((r.digest, r.n_chars) for r in got) == sorted((md5((c * n).encode()).hexdigest(), n) for c, n in (("a", 600), ("b", 600), ("c", 500)))
+
+
+def test_texts_dated_by_their_trigger_are_ingested_once_across_restarts(spark, folder):
+    out, state = os.path.join(folder, "out"), os.path.join(folder, "state")
+    schema = spark.createDataFrame([], DOCS).schema
+    for i, (rows, texts) in enumerate([([(1, "a" * 9), (2, "a" * 9)], "a"), ([(3, "a" * 9), (4, "b" * 9)], "ab"), ([(5, "c" * 9), (6, "b" * 9)], "abc")]):
+        source = put(spark, folder, rows, DOCS, f"t{i}")
+        stream = streams.file_stream(streams.state_session(spark), source, schema).withColumn("arrived", F.current_timestamp())
+        stored = streams.finish(streams.ingest_once(stream, out, state, 5), lambda: spark.read.parquet(out))
+        assert sorted(r.text[0] for r in stored.collect()) == list(texts)

@@ -66,9 +66,10 @@ def ingest_once(
 ) -> StreamingQuery:
     """Keep long enough documents whose text has not come before, in any file and across restarts.
 
-    Of equal texts one row is kept, with ``digest``. ``arrived`` is the time of a row, such as its file's; a text is remembered
-    until the watermark, the newest time less ``delay``, has passed its first row by ``delay``, so the state holds digests of that
-    span only.
+    Of equal texts one row is kept, with ``digest``. ``arrived`` is the time of a row; a text is remembered until the watermark,
+    the newest time less ``delay``, has passed its first row by ``delay``, so the state holds digests of that span only. Rows not
+    after the watermark, which begins at 1970, are late and left out. Times of files can be late; ``current_timestamp()`` is only
+    if the clock goes back by ``delay``.
     """
     kept = min_chars(stream, minimum).withColumn("digest", F.md5(text)).withWatermark(arrived, delay)
     return run_available(kept.dropDuplicatesWithinWatermark(["digest"]), output, checkpoint)
