@@ -14,10 +14,13 @@ from textloom.llm.common import discard, store
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
-    """``links`` has both directions (large) or only downward ones (small); result points to smaller nodes."""
+    """``links`` has both directions (large) or only downward ones (small); result points to smaller nodes.
+
+    The join merges: links stored in few bytes each are many rows to broadcast.
+    """
     least = links.groupBy("a").agg(F.min("b").alias("m"))
     least = least.select("a", F.least("a", "m").alias("m"))
-    moved = links.join(least, "a")
+    moved = links.join(least.hint("merge"), "a")
     if large:
         return moved.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(

@@ -16,7 +16,8 @@ pairs of segments, an equi-join brings all linked fingerprints together, and the
 Scale: equal fingerprints are one row before any key is made. Before the full join every fingerprint is
 compared with the smallest one of each of its buckets, and the components of these links are found; the join
 then lets through only links between different components. A group of very many near copies thus yields about
-one link per member and key, not all pairs. The joins are plain equi-joins whose hot keys adaptive execution splits.
+one link per member and key, not all pairs. The joins are plain equi-joins whose hot keys adaptive execution splits;
+keys, links and their groups are merged, never broadcast: the size Spark expects of them says little of their number.
 
 Results for odd input: null, empty and blank texts have fingerprint zero and link with each other. A null id
 takes part with its text but never names a component; its component is null when its group has no id at all.
@@ -167,9 +168,12 @@ def _near() -> Column:
 
 
 def _keyed(nodes: DataFrame) -> DataFrame:
-    """``(fp, c, key)``; fingerprints are dealt to a set number of tasks, for their keys are seventy times their bytes."""
+    """``(fp, c, key)``; fingerprints are dealt to a set number of tasks, for their keys are seventy times their bytes.
+
+    Spark takes the keys for as many rows as there are fingerprints, so joins are told to merge, never to broadcast.
+    """
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return nodes.repartition(tasks, "fp").mapInArrow(_keys, "fp long, c long, key long")
+    return nodes.repartition(tasks, "fp").mapInArrow(_keys, "fp long, c long, key long").hint("merge")
 
 
 def links(nodes: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -182,7 +186,7 @@ def links(nodes: DataFrame) -> tuple[DataFrame, list[str]]:
     stars = keyed.alias("x").join(first.alias("y"), "key").filter((F.col("x.fp") != F.col("y.fp")) & _near())
     stars, stars_path = store(stars.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct(), "stars")
     groups, groups_path = store(components(stars, "a", "b"), "star-groups")
-    placed = nodes.join(groups, nodes["fp"] == groups["node"], "left").select(
+    placed = nodes.join(groups.hint("merge"), nodes["fp"] == groups["node"], "left").select(
         "fp", F.coalesce("component", "fp").alias("c")
     )
     keyed = _keyed(placed)
