@@ -75,3 +75,23 @@ def test_run_is_registered(spark):
 
     assert driver.queries()["pipeline"] is corpus_pipeline.run and language is not None
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_near_copies_broadcast_no_keys(spark, monkeypatch):
+    """The stage sends no keys through the driver, however few Spark takes them for."""
+    plan = {}
+
+    def kept(df, label, store=golay.store):
+        plan[label] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, label)
+
+    def linked(nodes, links=golay.links):
+        found, paths = links(nodes)
+        plan["apart"] = found._jdf.queryExecution().executedPlan().toString()
+        return found, paths
+
+    monkeypatch.setattr(golay, "store", kept)
+    monkeypatch.setattr(golay, "links", linked)
+    docs = plans.table(spark, "/root/testdata/sf0.001", "documents")
+    assert 0 < corpus_pipeline.near_dedup(spark, docs, SF).count() <= docs.count()
+    assert all("MapInArrow" in plan[label] and "Broadcast" not in plan[label] for label in ("stars", "apart"))

@@ -17,7 +17,7 @@ Scale: equal fingerprints are one row before any key is made. Before the full jo
 compared with the smallest one of each of its buckets, and the components of these links are found; the join
 then lets through only links between different components. A group of very many near copies thus yields about
 one link per member and key, not all pairs. The joins are plain equi-joins whose hot keys adaptive execution splits;
-keys, links and their groups are merged, never broadcast: the size Spark expects of them says little of their number.
+keys and groups are merged, never broadcast: the size Spark expects of them says little of their number.
 
 Results for odd input: null, empty and blank texts have fingerprint zero and link with each other. A null id
 takes part with its text but never names a component; its component is null when its group has no id at all.
