@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -305,3 +306,34 @@ def test_texts_are_read_with_one_listing(spark, corpus_folder, monkeypatch):
     assert len(made) == 1
     found = files.read_files(spark, corpus_folder, ".txt").withColumn("content", F.when(~F.col("path").endswith("a3.txt"), F.col("content")))
     assert [os.path.basename(r.path) for r in files.unreadable_files(found).collect()] == ["a3.txt"]
+
+
+def odd_tree(folder):
+    """Files and folders with names that Spark's file sources take, escape or pass over."""
+    for name in ("a.txt", "b.TXT", "my doc 5%.txt", "sub/c.txt", "sub/k=1/d+ü.txt", ".hid/e.txt", "_x/f.txt", "_k=2/g.txt", "_metadata/h.txt", "_i.txt", "_j=1.txt", ".k.txt", "l.txt._COPYING_", "deep/er/m.txt", "deep/n.md"):
+        os.makedirs(os.path.dirname(os.path.join(folder, name)), exist_ok=True)
+        with open(os.path.join(folder, name), "wb") as f:
+            f.write(name.encode())
+    open(os.path.join(folder, "empty.txt"), "wb").close()
+
+
+def test_listing_is_made_by_tasks_and_equals_that_of_sparks_source(spark, folder):
+    odd_tree(folder)
+    found = files.discover(spark, folder, ".txt", recursive=True)
+    assert "binaryFile" not in found._jdf.queryExecution().executedPlan().toString()  # its driver holds every entry
+    own = files._spark_files(spark, folder, ".txt", True).select("path", "length", "modificationTime")
+    want = sorted(own.collect())
+    assert sorted(found.select(*own.columns).collect()) == want and len(want) == 8
+    assert {r.file_name for r in found.collect()} >= {"my doc 5%.txt", "d+ü.txt", "m.txt"}
+    flat = os.path.join(folder, "deep")
+    assert [r.file_name for r in files.discover(spark, flat, ".md").collect()] == ["n.md"]
+    assert files.discover(spark, flat, ".txt").collect() == []
+
+
+def test_listing_falls_back_to_sparks_source(spark, folder):
+    odd_tree(folder)
+    for place, extension, recursive in ((f"{folder}/*/", ".txt", True), (folder, ".t?t", True), (f"{folder}/sub", ".txt", False)):
+        own = files._spark_files(spark, place, extension, recursive).select("path", "length")
+        assert sorted(files.discover(spark, place, extension, recursive).select("path", "length").collect()) == sorted(own.collect()) != []
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        files.discover(spark, f"{folder}/none", ".txt")

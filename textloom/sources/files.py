@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import itertools
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.text import base_name
+from textloom.session import work_path
+
+ENTRY = "path string, length long, modified long, folder boolean"
+ENTRY_ROWS = 10_000
 
 
 def small_files(spark: SparkSession) -> SparkSession:
@@ -17,13 +27,92 @@ def small_files(spark: SparkSession) -> SparkSession:
     return session
 
 
+def _hidden(name: str, folder: bool) -> bool:
+    """Names that Spark's file sources pass over."""
+    if folder and name.startswith(("_metadata", "_common_metadata")):
+        return False
+    return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+
+
+def _entries(uri: str, extension: str):
+    """Folders below the root to what lies directly in them: folders, and files of the extension that are not empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, top = FileSystem.from_uri(uri)
+        rows = []
+        for folder in itertools.chain.from_iterable(batch.column(0).to_pylist() for batch in batches):
+            for found in system.get_file_info(FileSelector("/".join((top.rstrip("/"), folder)) if folder else top)):
+                name, is_folder = found.base_name, found.type == FileType.Directory
+                wanted = is_folder or (found.type == FileType.File and found.size and name.endswith(extension))
+                if wanted and not _hidden(name, is_folder):
+                    path = f"{folder}/{name}" if folder else name
+                    rows.append((path, found.size, (found.mtime_ns or 0) // 1_000_000, is_folder))
+                if len(rows) == ENTRY_ROWS:
+                    yield _batch(rows)
+                    rows = []
+        yield _batch(rows)
+
+    return run
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else ((),) * 4
+    types = (pa.string(), pa.int64(), pa.int64(), pa.bool_())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["path", "length", "modified", "folder"])
+
+
+def _root(spark: SparkSession, folder: str, extension: str) -> tuple[str, str] | None:
+    """The folder as a URI and as paths of Spark's file sources start, if it is one that Arrow's file systems reach.
+
+    Patterns are left to Spark's file sources, and so are folders of other file systems and those that do not exist.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+    uri, start = whole.toUri().toString(), whole.toString().rstrip("/") + "/"
+    try:
+        system, top = FileSystem.from_uri(uri)
+        known = system.get_file_info(top).type == FileType.Directory
+    except (ValueError, NotImplementedError, OSError):
+        return None
+    return None if re.search(r"[][{}*?\\]", folder + extension) or not known else (uri, start)
+
+
+def _listed(spark: SparkSession, session: SparkSession, uri: str, extension: str, recursive: bool) -> DataFrame | None:
+    """``(path, length, modified)`` of files, paths below the folder; tasks list the folders of one depth after the other.
+
+    The driver holds no entry: folders and files are stored, and a folder is listed by one task. Without ``recursive``,
+    None where folders of partitions lie in the folder, which Spark's file sources read too.
+    """
+    tasks, stored = int(spark.conf.get("spark.sql.shuffle.partitions")), []
+    folders = session.range(1).select(F.lit("").alias("path"))
+    while not stored or (recursive and not folders.isEmpty()):
+        stored.append(work_path(spark, "listing"))
+        folders.repartition(tasks, "path").mapInArrow(_entries(uri, extension), ENTRY).write.parquet(stored[-1])
+        folders = session.read.schema(ENTRY).parquet(stored[-1]).filter("folder").select("path")
+    if not recursive and not folders.filter(F.col("path").contains("=")).isEmpty():
+        return None
+    return session.read.schema(ENTRY).parquet(*stored).filter("NOT folder").drop("folder")
+
+
+def _spark_files(session: SparkSession, folder: str, extension: str, recursive: bool) -> DataFrame:
+    """The files by Spark's own source, whose driver holds the listing."""
+    reader = session.read.format("binaryFile").option("pathGlobFilter", f"*{extension}").option("ignoreCorruptFiles", "true")
+    return reader.option("recursiveFileLookup", str(recursive).lower()).load(folder)
+
+
 def discover(spark: SparkSession, folder: str, extension: str, recursive: bool = False) -> DataFrame:
     """Files of one extension directly in a folder, or also below it, case-sensitive; file contents are not read.
 
-    Files of zero bytes hold no document and are not listed by Spark's file sources.
+    Files of zero bytes hold no document and are not listed, as by Spark's file sources.
     """
-    reader = small_files(spark).read.format("binaryFile").option("pathGlobFilter", f"*{extension}")
-    listing = reader.option("recursiveFileLookup", str(recursive).lower()).load(folder)
+    session, root = small_files(spark), _root(spark, folder, extension)
+    listing = _listed(spark, session, root[0], extension, recursive) if root else None
+    if listing is None:
+        listing = _spark_files(session, folder, extension, recursive)
+    else:
+        listing = listing.select(
+            F.concat(F.lit(root[1]), "path").alias("path"), "length", F.timestamp_millis("modified").alias("modificationTime")
+        )
     return listing.select("path", base_name(F.col("path")).alias("file_name"), "length", "modificationTime")
 
 
