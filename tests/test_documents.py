@@ -1,5 +1,6 @@
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import Observation
@@ -335,5 +336,26 @@ def test_listing_falls_back_to_sparks_source(spark, folder):
     for place, extension, recursive in ((f"{folder}/*/", ".txt", True), (folder, ".t?t", True), (f"{folder}/sub", ".txt", False)):
         own = files._spark_files(spark, place, extension, recursive).select("path", "length")
         assert sorted(files.discover(spark, place, extension, recursive).select("path", "length").collect()) == sorted(own.collect()) != []
+        assert sorted(r.path for r in files.read_texts(spark, place, extension, recursive).collect()) == sorted(r.path for r in own.collect())
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         files.discover(spark, f"{folder}/none", ".txt")
+
+
+def test_contents_are_read_by_tasks(spark, folder):
+    odd_tree(folder)
+    found = files.read_files(spark, folder, ".txt", recursive=True)
+    assert "binaryFile" not in found._jdf.queryExecution().executedPlan().toString()
+    own = files._spark_files(spark, folder, ".txt", True).select("path", "content")
+    assert sorted(found.collect()) == sorted(own.collect())
+    paths = pa.RecordBatch.from_arrays([pa.array(["a.txt", "deep", "sub/c.txt"])], names=["path"])  # a folder cannot be read
+    [batch] = files._contents(f"file://{folder}", f"file:{folder}/")([paths])
+    assert [r["path"] for r in batch.to_pylist()] == [f"file:{folder}/{name}" for name in ("a.txt", "deep", "sub/c.txt")]
+    assert batch.column(1).to_pylist() == [b"a.txt", None, b"sub/c.txt"]
+
+
+def test_unread_files_carry_an_error(spark, corpus_folder, monkeypatch):
+    read = files.read_files(spark, corpus_folder, ".txt")
+    lost = read.withColumn("content", F.when(~F.col("path").endswith("a3.txt"), F.col("content")))
+    monkeypatch.setattr(files, "read_files", lambda *_: lost)
+    rows = {os.path.basename(r.path): (r.text is None, r.error) for r in files.read_texts(spark, corpus_folder).collect()}
+    assert rows["a3.txt"] == (True, "unreadable") and rows["bad.txt"] == (True, "invalid UTF-8") and rows["a1.txt"] == (False, None)

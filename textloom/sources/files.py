@@ -16,6 +16,7 @@ from textloom.session import work_path
 
 ENTRY = "path string, length long, modified long, folder boolean"
 ENTRY_ROWS = 10_000
+READ_BYTES = 4 << 20
 
 
 def small_files(spark: SparkSession) -> SparkSession:
@@ -127,14 +128,48 @@ def plain_path(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def _contents(uri: str, start: str):
+    """Paths below the root to paths and contents, in batches of about ``READ_BYTES``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, top = FileSystem.from_uri(uri)
+        paths, contents, size = [], [], 0
+        for path in itertools.chain.from_iterable(batch.column(0).to_pylist() for batch in batches):
+            paths.append(start + path)
+            contents.append(_content(system, "/".join((top.rstrip("/"), path))))
+            size += len(contents[-1] or b"")
+            if size >= READ_BYTES or len(paths) == ENTRY_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], names=["path", "content"])
+                paths, contents, size = [], [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], names=["path", "content"])
+
+    return run
+
+
+def _content(system: FileSystem, path: str) -> bytes | None:
+    """Bytes of a file, None where they cannot be read; a file that is gone fails the job, as in Spark's file sources."""
+    try:
+        with system.open_input_file(path) as file:
+            return file.read()
+    except FileNotFoundError:
+        raise
+    except OSError:
+        return None
+
+
 def read_files(spark: SparkSession, folder: str, extension: str, recursive: bool = False) -> DataFrame:
-    """Whole files as ``(path, content)``; one file is one document. Files that cannot be read are left out."""
-    reader = small_files(spark).read.format("binaryFile").option("pathGlobFilter", f"*{extension}").option("ignoreCorruptFiles", "true")
-    return reader.option("recursiveFileLookup", str(recursive).lower()).load(folder).select("path", "content")
+    """Whole files as ``(path, content)``; one file is one document. Files that cannot be read have a null content."""
+    session, root = small_files(spark), _root(spark, folder, extension)
+    listing = _listed(spark, session, root[0], extension, recursive) if root else None
+    if listing is None:
+        found = _spark_files(session, folder, extension, recursive).select("path", "content")
+        return found.unionByName(unreadable_files(found).withColumn("content", F.lit(None).cast("binary")))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return listing.select("path").repartition(tasks, "path").mapInArrow(_contents(*root), "path string, content binary")
 
 
 def unreadable_files(files: DataFrame) -> DataFrame:
-    """``path`` of the listed files of :func:`read_files` that give no content; the contents are read, only paths are compared.
+    """``path`` of the listed files of Spark's own source that give no content; the contents are read, only paths are compared.
 
     Without the contents no file is opened, so the paths alone are those of the listing, which is made once for both.
     """
@@ -156,8 +191,8 @@ def decode_texts(files: DataFrame, content: str = "content") -> DataFrame:
 def read_texts(spark: SparkSession, folder: str, extension: str = ".txt", recursive: bool = False) -> DataFrame:
     """``(path, text, error)`` of a folder; files that cannot be read or decoded carry ``error`` and no text."""
     found = read_files(spark, folder, extension, recursive)
-    broken = unreadable_files(found).select("path", F.lit(None).cast("string").alias("text"), F.lit("unreadable").alias("error"))
-    return decode_texts(found).unionByName(broken)
+    read = decode_texts(found.withColumn("unread", F.col("content").isNull()))
+    return read.select("path", "text", F.when(F.col("unread"), "unreadable").otherwise(F.col("error")).alias("error"))
 
 
 def write_documents(documents: DataFrame, path: str, by_split: bool = False, mode: str = "append") -> None:
